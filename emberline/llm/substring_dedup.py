@@ -23,8 +23,6 @@ from .suffixes import common_prefix, deep_shallow_sort
 
 LENGTH, GRAM = 100, 24
 REACH = LENGTH - GRAM
-#: Bytes of a side that may be broadcast instead of shuffling the texts; a larger one is joined by shuffle.
-SMALL_BYTES = 8_000_000
 #: Different surroundings of one anchor up to which one task compares them; more are compared by Spark.
 GROUP = 50_000
 #: Up to so many, pairs are compared; above it, classes by length of the common prefix.
@@ -179,12 +177,6 @@ def _compare_large(contexts: DataFrame) -> DataFrame:
     return again.select("doc_id", start.alias("start"), (start + LENGTH).alias("end"))
 
 
-def _with_texts(docs: DataFrame, other: DataFrame, items: str, how: str) -> DataFrame:
-    """Join on doc_id; the texts are shuffled only if the other side (an array ``items`` for each document) isn't small."""
-    size = other.agg(F.coalesce(F.sum(48 + 40 * F.size(items)), F.lit(0))).first()[0]
-    return docs.join(F.broadcast(other) if size <= SMALL_BYTES else other, "doc_id", how)
-
-
 def removed_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, spans array<struct<start,end>>) of ``docs`` (doc_id not null, text): what earlier strings repeat.
     The spans neither overlap nor touch."""
@@ -202,7 +194,7 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     whole = judged.where("again").select("doc_id", (place - left).alias("start"), (place + GRAM + right).alias("end"))
     wanted = judged.where(~F.col("again")).groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "place", "group")).alias("wanted"))
     wanted = save(wanted, "wanted")
-    contexts = _with_texts(docs, wanted, "wanted", "inner").mapInPandas(
+    contexts = docs.join(wanted, "doc_id").mapInPandas(
         _fetch, "anchor long, group long, doc_id long, place long, left binary, right binary"
     )
     if judged.where((F.col("group") > GROUP) & ~F.col("again")).limit(1).count():
@@ -261,7 +253,7 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     """
     plain = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), "text")
     spans = save(removed_spans(plain), "spans")
-    out = _with_texts(plain, spans, "spans", "left").mapInPandas(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    out = plain.join(spans, "doc_id", "left").mapInPandas(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(_NO_ID)))
 
 
