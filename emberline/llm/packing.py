@@ -156,7 +156,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     pieces = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(BUCKETS)).cast("int"))
     counts = pieces.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     table = pd.DataFrame(counts.collect(), columns=["length", "bucket", "n"])  # capacity * BUCKETS rows at most
-    table = table.sort_values(["length", "bucket"])
+    table = table.astype("int64").sort_values(["length", "bucket"])
     table["before"] = table.groupby("length")["n"].cumsum() - table["n"]
     histogram = {int(k): int(v) for k, v in table.groupby("length")["n"].sum().items()}
     before = spark.createDataFrame([(int(a), int(b), int(c)) for a, b, c in zip(table.length, table.bucket, table.before)], "length long, bucket int, before long")
