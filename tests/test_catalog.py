@@ -7,7 +7,7 @@ import pytest
 
 from emberline.fixtures import TABLES
 from emberline.operators import spatial
-from emberline.plans import catalog, labels
+from emberline.plans import catalog, labels, reports
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,7 +21,8 @@ def norm(v):
 @pytest.mark.parametrize(
     "name",
     ["coverage_segments", "detection_keys", "project_points", "zone_of", "assign_state", "causal_recurrence", "anomaly_baselines",
-     "neighbourhood_active_days", "near_critical_site", "asof_scenes", "build_labels"],
+     "neighbourhood_active_days", "near_critical_site", "asof_scenes", "build_labels",
+     "detail_shards", "temporal_split", "spatial_block_split", "pre_split_features", "classification_report", "burn_severity"],
 )
 def test_matches_sql(spark, name):
     con = duckdb.connect()
@@ -48,3 +49,9 @@ def test_empty_side(spark):
     none = spatial.box_segments(labels.context(spark, SF).limit(0), "feature_id")
     assert spatial.nearest(points, none).count() == 0
     assert spatial.containing(points, none).count() == 0
+
+
+def test_numbering_and_cutoff_of_no_rows(spark):
+    rows = labels.detections(spark, SF).limit(0)
+    assert reports.numbered(rows, "acq_date", "det_id").count() == 0
+    assert reports.cutoff_of(rows).count() == 0
