@@ -128,15 +128,25 @@ def fit(pos: np.ndarray, unl: np.ndarray) -> Network | None:
     return train(pos, unl, class_prior(first.logit(pos), first.logit(unl)))
 
 
-def _sample(docs: DataFrame, rows: int) -> np.ndarray:
-    """Features of the ``rows`` first texts in the order of a hash, computed on the executors."""
+def _sample(docs: DataFrame, rows: int, among: DataFrame | None = None) -> np.ndarray:
+    """Features of the ``rows`` first texts in the order of a hash, computed on the executors.
+
+    The rows are chosen by hash and id alone, from those with an id of ``among`` if given; texts stay where
+    they are read, and what is broadcast has at most ``rows`` rows of two numbers.
+    """
 
     @F.pandas_udf("binary")
     def packed(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: features(t).tobytes())
 
-    chosen = docs.select("text").orderBy(F.xxhash64("text"), "text").limit(rows)
-    got = chosen.repartition(docs.sparkSession.sparkContext.defaultParallelism).select(packed("text").alias("x")).collect()
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
+    narrow = keyed.select("doc_id", "key")
+    if among is not None:
+        narrow = narrow.join(among, "doc_id", "left_semi")
+    chosen = narrow.orderBy("key", "doc_id").limit(rows).distinct().toDF("chosen_id", "chosen_key")
+    same = F.col("doc_id").eqNullSafe(F.col("chosen_id")) & (F.col("key") == F.col("chosen_key"))
+    found = keyed.join(F.broadcast(chosen), same).select("key", "doc_id", packed("text").alias("x"))
+    got = found.orderBy("key", "doc_id").limit(rows).collect()
     return np.array([np.frombuffer(r.x, dtype=np.float32) for r in got], dtype=np.float64).reshape(-1, N_FEATURES)
 
 
@@ -148,7 +158,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Network | None:
     """Positives: documents with quality 1 that aren't held out. Unlabelled: documents that aren't held out."""
     texts = docs.where(~held_out()).select("doc_id", "text")
     good = labels.where((F.col("quality") == 1) & ~held_out()).select("doc_id").distinct()
-    return fit(_sample(texts.join(good, "doc_id", "left_semi"), POSITIVES), _sample(texts, UNLABELLED))
+    return fit(_sample(texts, POSITIVES, good), _sample(texts, UNLABELLED))
 
 
 def predict(docs: DataFrame, model: Network | None) -> DataFrame:
