@@ -7,7 +7,7 @@ import pytest
 
 from emberline.fixtures import TABLES
 from emberline.operators import spatial
-from emberline.plans import catalog, labels, reports
+from emberline.plans import alerts, catalog, labels, reports  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
@@ -22,7 +22,8 @@ def norm(v):
     "name",
     ["coverage_segments", "detection_keys", "project_points", "zone_of", "assign_state", "causal_recurrence", "anomaly_baselines",
      "neighbourhood_active_days", "near_critical_site", "asof_scenes", "build_labels",
-     "detail_shards", "temporal_split", "spatial_block_split", "pre_split_features", "classification_report", "burn_severity"],
+     "detail_shards", "temporal_split", "spatial_block_split", "pre_split_features", "classification_report", "burn_severity",
+     "industrial_subtype", "period_over_period", "months_table", "facility_group_counts", "new_unmapped_source"],
 )
 def test_matches_sql(spark, name):
     con = duckdb.connect()
