@@ -34,6 +34,8 @@ _BASE = np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _NO_ID = -(2**63)
+#: What names a document: its id and a hash of its text.
+KEY = ["doc_id", "digest"]
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -82,13 +84,14 @@ def _raw(text) -> bytes:
 def _anchor_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     anchors = Anchors()
     for batch in batches:
-        found = [(d, anchors(raw)) for d, t in zip(batch.doc_id, batch.text) if len(raw := _raw(t)) >= LENGTH]
+        found = [((d, h), anchors(raw)) for d, h, t in zip(batch.doc_id, batch.digest, batch.text) if len(raw := _raw(t)) >= LENGTH]
         if found:
             yield pd.DataFrame(
                 {
                     "anchor": np.concatenate([a for _, (a, _, _) in found]),
                     "around": np.concatenate([c for _, (_, c, _) in found]),
-                    "doc_id": np.repeat(np.array([d for d, _ in found], dtype=np.int64), [len(a) for _, (a, _, _) in found]),
+                    "doc_id": np.repeat(np.array([d for (d, _), _ in found], dtype=np.int64), [len(a) for _, (a, _, _) in found]),
+                    "digest": np.repeat(np.array([h for (_, h), _ in found], dtype=np.int64), [len(a) for _, (a, _, _) in found]),
                     "place": np.concatenate([p for _, (_, _, p) in found]),
                 }
             )
@@ -97,13 +100,13 @@ def _anchor_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
-        for d, t, wanted in zip(batch.doc_id, batch.text, batch.wanted):
+        for d, h, t, wanted in zip(batch.doc_id, batch.digest, batch.text, batch.wanted):
             raw = _raw(t)
             for w in wanted:
                 p, left, right = w["place"] >> 16, w["place"] >> 8 & 255, w["place"] & 255
                 if p + GRAM + right <= len(raw):
-                    rows.append((w["anchor"], w["group"], d, p, raw[p - left : p], raw[p + GRAM : p + GRAM + right]))
-        yield pd.DataFrame(rows, columns=["anchor", "group", "doc_id", "place", "left", "right"])
+                    rows.append((w["anchor"], w["group"], d, h, p, raw[p - left : p], raw[p + GRAM : p + GRAM + right]))
+        yield pd.DataFrame(rows, columns=["anchor", "group", "doc_id", "digest", "place", "left", "right"])
 
 
 def _classes(order: list[tuple[int, int]], depth: int, n: int) -> np.ndarray:
@@ -150,52 +153,54 @@ def repeated_around(lefts: list[bytes], rights: list[bytes]) -> list[tuple[int,
 
 
 def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows arrive sorted by (anchor, doc_id, place)."""
-    rows = (r for batch in batches for r in batch[["anchor", "doc_id", "place", "left", "right"]].itertuples(index=False))
+    """Rows arrive sorted by (anchor, doc_id, digest, place); copies of a row stand side by side and count once."""
+    rows = (r for batch in batches for r in batch[["anchor", "doc_id", "digest", "place", "left", "right"]].itertuples(index=False))
     out = []
     for _, group in groupby(rows, key=lambda r: r.anchor):
-        group = list(group)
+        group = [next(copies) for _, copies in groupby(group, key=lambda r: (r.doc_id, r.digest, r.place))]
         if len(group) > 1:
             for r, reach in zip(group, repeated_around([r.left for r in group], [r.right for r in group])):
                 if reach:
-                    out.append((r.doc_id, r.place - reach[0], r.place + GRAM + reach[1]))
+                    out.append((r.doc_id, r.digest, r.place - reach[0], r.place + GRAM + reach[1]))
         if len(out) >= 20_000:
-            yield pd.DataFrame(out, columns=["doc_id", "start", "end"])
+            yield pd.DataFrame(out, columns=["doc_id", "digest", "start", "end"])
             out = []
-    yield pd.DataFrame(out, columns=["doc_id", "start", "end"])
+    yield pd.DataFrame(out, columns=["doc_id", "digest", "start", "end"])
 
 
 def _compare_large(contexts: DataFrame) -> DataFrame:
     """The same for groups of any size: each string around an anchor is a key, its first occurrence stays."""
     fits = F.sequence(F.lit(0), F.lit(REACH))
-    rows = contexts.withColumn("l", F.explode(F.filter(fits, lambda l: (l <= F.length("left")) & (F.lit(REACH) - l <= F.length("right")))))
+    rows = contexts.dropDuplicates(["anchor", *KEY, "place"]).withColumn("l", F.explode(F.filter(fits, lambda l: (l <= F.length("left")) & (F.lit(REACH) - l <= F.length("right")))))
     tail = F.expr(f"substring(left, length(left) - l + 1, l)")
     rows = rows.withColumn("string", F.md5(F.concat(tail, F.expr(f"substring(right, 1, {REACH} - l)"))))
-    firsts = rows.groupBy("anchor", "l", "string").agg(F.min(F.struct("doc_id", "place")).alias("first"))
-    again = rows.join(firsts, ["anchor", "l", "string"]).where(F.struct("doc_id", "place") > F.col("first"))
+    firsts = rows.groupBy("anchor", "l", "string").agg(F.min(F.struct(*KEY, "place")).alias("first"))
+    again = rows.join(firsts, ["anchor", "l", "string"]).where(F.struct(*KEY, "place") > F.col("first"))
     start = F.col("place") - F.col("l")
-    return again.select("doc_id", start.alias("start"), (start + LENGTH).alias("end"))
+    return again.select(*KEY, start.alias("start"), (start + LENGTH).alias("end"))
 
 
 def removed_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, spans array<struct<start,end>>) of ``docs`` (doc_id not null, text): what earlier strings repeat.
+    """(doc_id, digest, spans array<struct<start,end>>) of ``docs`` (as keyed() gives them): what earlier strings repeat.
     The spans neither overlap nor touch."""
-    anchors = docs.mapInPandas(_anchor_rows, "anchor long, around long, doc_id long, place long").repartition("anchor")
-    same = Window.partitionBy("anchor", "around").orderBy("doc_id", "place")
+    anchors = docs.mapInPandas(_anchor_rows, "anchor long, around long, doc_id long, digest long, place long").repartition("anchor")
+    same = Window.partitionBy("anchor", "around").orderBy(*KEY, "place")
     group = Window.partitionBy("anchor")
-    me, first = F.struct("doc_id", "place"), F.first(F.struct("doc_id", "place")).over(same)
+    me = F.struct(*KEY, "place")
     judged = (
-        anchors.withColumn("again", me > first)
+        anchors.withColumn("again", me > F.first(me).over(same))
+        .withColumn("copy", me.eqNullSafe(F.lag(me).over(same)))
         .withColumn("nth", F.row_number().over(same))
         .withColumn("group", F.sum((F.col("nth") == 1).cast("int")).over(group))
     )
-    judged = save(judged.where(F.col("again") | ((F.col("group") > 1) & (F.col("nth") == 1))).select("anchor", "doc_id", "place", "again", "group"), "anchors")
+    judged = judged.where(~F.col("copy") & (F.col("again") | ((F.col("group") > 1) & (F.col("nth") == 1))))
+    judged = save(judged.select("anchor", *KEY, "place", "again", "group"), "anchors")
     place, left, right = F.shiftright("place", 16), F.shiftright("place", 8).bitwiseAND(255), F.col("place").bitwiseAND(255)
-    whole = judged.where("again").select("doc_id", (place - left).alias("start"), (place + GRAM + right).alias("end"))
-    wanted = judged.where(~F.col("again")).groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "place", "group")).alias("wanted"))
+    whole = judged.where("again").select(*KEY, (place - left).alias("start"), (place + GRAM + right).alias("end"))
+    wanted = judged.where(~F.col("again")).groupBy(*KEY).agg(F.collect_list(F.struct("anchor", "place", "group")).alias("wanted"))
     wanted = save(wanted, "wanted")
-    contexts = docs.join(wanted, "doc_id").mapInPandas(
-        _fetch, "anchor long, group long, doc_id long, place long, left binary, right binary"
+    contexts = docs.join(wanted, KEY).mapInPandas(
+        _fetch, "anchor long, group long, doc_id long, digest long, place long, left binary, right binary"
     )
     if judged.where((F.col("group") > GROUP) & ~F.col("again")).limit(1).count():
         contexts = save(contexts, "contexts")
@@ -204,12 +209,12 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     else:
         large = None
     parted = (
-        contexts.drop("group").repartition("anchor").sortWithinPartitions("anchor", "doc_id", "place")
-        .mapInPandas(_compare, "doc_id long, start long, end long")
+        contexts.drop("group").repartition("anchor").sortWithinPartitions("anchor", *KEY, "place")
+        .mapInPandas(_compare, "doc_id long, digest long, start long, end long")
     )
     spans = whole.unionByName(parted) if large is None else whole.unionByName(parted).unionByName(large)
-    listed = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    return listed.mapInPandas(_merge, "doc_id long, spans array<struct<start:long,end:long>>")
+    listed = spans.groupBy(*KEY).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return listed.mapInPandas(_merge, "doc_id long, digest long, spans array<struct<start:long,end:long>>")
 
 
 def merged(spans, n: int = 2**62) -> list[tuple[int, int]]:
@@ -226,7 +231,7 @@ def merged(spans, n: int = 2**62) -> list[tuple[int, int]]:
 def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         runs = [[{"start": a, "end": b} for a, b in merged(spans)] for spans in batch.spans]
-        yield pd.DataFrame({"doc_id": batch.doc_id, "spans": runs})
+        yield pd.DataFrame({"doc_id": batch.doc_id, "digest": batch.digest, "spans": runs})
 
 
 def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -244,16 +249,23 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id (a null as the least), digest, text."""
+    digest = F.xxhash64("text", F.col("doc_id").isNull()).alias("digest")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), digest, "text")
+
+
 def dedup_substrings(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row of ``docs``.
 
-    A null text is empty; texts under LENGTH bytes keep everything. Ids name documents: a null id comes
-    before all others, and rows that share an id and a text count as one document that both show. Of
-    further columns nothing is used; an empty table gives no rows.
+    A null text is empty; texts under LENGTH bytes keep everything. Documents
+    come in the order of their ids, a null id before all others; texts under one id (or none) in the order of their
+    digests. Rows that share an id and a text count as one document that both show. Of further columns
+    nothing is used; an empty table gives no rows.
     """
-    plain = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), "text")
+    plain = keyed(docs)
     spans = save(removed_spans(plain), "spans")
-    out = plain.join(spans, "doc_id", "left").mapInPandas(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    out = plain.join(spans, KEY, "left").mapInPandas(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(_NO_ID)))
 
 

@@ -158,6 +158,25 @@ def test_substrings(spark, odd, none):
     assert substring_dedup.dedup_substrings(odd).count() == len(ODD) and substring_dedup.dedup_substrings(none).count() == 0
 
 
+def test_substrings_of_repeated_rows_and_ids(spark, monkeypatch):
+    rng = random.Random(11)
+    words = [f"{rng.randint(0, 10**6):x}" for _ in range(400)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    passage = text(40)
+    inside = lambda: text(20) + passage + text(20)
+    rows = [(1, inside())] * 3 + [(2, inside()), (2, inside()), (3, inside()), (3, text(40))]
+    rows += [(None, inside()), (None, text(50)), (None, text(20) + rows[0][1][:300])] + [(None, inside())] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    order = sorted({((r.doc_id, r.digest), r.text) for r in substring_dedup.keyed(docs).collect()})
+    of_text = {t: key for key, t in order}
+    want = brute_removed(order)
+    want = sorted((d if d is not None else -1, *want[of_text[t]]) for d, t in rows)
+    for group in (substring_dedup.GROUP, 1):
+        monkeypatch.setattr(substring_dedup, "GROUP", group)
+        got = [(-1 if r.doc_id is None else r.doc_id, r.n_removed, r.kept_sha256) for r in substring_dedup.dedup_substrings(docs).collect()]
+        assert sorted(got) == want
+
+
 def test_packing(spark, odd, none):
     from tokenizers import Tokenizer
 
