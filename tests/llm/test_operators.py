@@ -219,3 +219,16 @@ def test_pii(spark, odd, none):
     # A context that precedes known identifiers reveals an unknown one.
     docs = spark.createDataFrame([(i, f"contact user{i}77.x@mail.com") for i in range(20)] + [(99, "contact zk81q7756")], "doc_id long, text string")
     assert [r.spans for r in pii.op10_pii(spark, docs).where("doc_id = 99").collect()] == ["id:8:17"]
+
+
+def test_pii_contexts_of_any_form(spark):
+    def ids(rows):
+        docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+        return [s for r in pii.op10_pii(spark, docs).orderBy("doc_id").collect() for s in r.spans.split(",") if s.startswith("id:")]
+
+    name = lambda i: "".join("abcdefghij"[int(c)] for c in str(100 + i))
+    cards = [n for n in ("4111 1111 1111 " + str(k) for k in range(1000, 1300)) if sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(n.replace(" ", "")[::-1])) % 10 == 0]
+    rows = [f"call +1 (555) 010 {1000 + i}" for i in range(20)] + [f"write {name(i)}@mail.com" for i in range(20)] + [f"card: {n}" for n in cards[:20]]
+    assert ids([*rows, "call 5550199123", "write zk81q7756", "card: 12345678", "seen 12345678"]) == ["id:5:15", "id:6:15", "id:6:14"]
+    rows = [f"contact user{i}77.x@mail.com" for i in range(20)]
+    assert ids([*rows, "contact " + "k1" * 50, "contact " + "k" * 60 + "1", "contact " + "k" * 99]) == ["id:8:108", "id:8:69"]
