@@ -12,18 +12,21 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .session import crc32_of_id
+from .session import crc32_of_id, save
 
 UNKNOWN = "und"
-#: Bytes of one dictionary, and dictionaries of each language: what is sent to the executors is bounded by
-#: DICT_BYTES * DICTS * MAX_LANGUAGES.
-DICT_BYTES, DICTS, MAX_LANGUAGES = 65_536, 3, 120
-#: The bounded sample of labelled rows: so many of each language, so many characters of each.
-SAMPLE_ROWS, SAMPLE_CHARS = 240, 4096
+#: Bytes of one dictionary, and dictionaries of each language: DICT_BYTES * DICTS of each are sent to the executors.
+DICT_BYTES, DICTS = 65_536, 3
+#: The bounded sample of labelled rows: so many different texts of each language, so many characters of each,
+#: of a longer text from so many places.
+SAMPLE_ROWS, SAMPLE_CHARS, SAMPLE_PLACES = 240, 4096, 4
+#: So many languages are learned, and compared with a batch of texts, at a time; and so many sizes are held at once.
+BLOCK, SIZES = 120, 10_000_000
 LEVEL = 7
 #: Texts are encoded piece by piece, so that a long text is compared with the dictionary and not with itself.
 PIECE = 1024
@@ -52,54 +55,82 @@ class Dictionaries:
     def __getstate__(self):
         return {"content": self.content, "rows": self.rows, "_made": {}}
 
-    def compressors(self) -> dict[str, list[zstandard.ZstdCompressor]]:
-        if not self._made:
-            for lang, parts in self.content.items():
-                made = []
-                for part in parts:
-                    d = zstandard.ZstdCompressionDict(part, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                    d.precompute_compress(level=LEVEL)
-                    made.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_dict_id=False))
-                self._made[lang] = made
-        return self._made
-
-    def classify(self, text: str | None) -> tuple[str, float, bool]:
-        """Language, score from 0 to 1, whether it's rejected."""
-        x = letters(text) if text else b""
-        if len(x) <= 2 or not self.content:
-            return UNKNOWN, 0.0, True
-        used = DICTS if len(x) < SHORT else 1
-        pieces = [x[i : i + PIECE] for i in range(0, len(x), PIECE)]
-        size = {
-            lang: sum(len(c.compress(p)) for c in made[:used] for p in pieces) * used / len(made[:used])
-            for lang, made in self.compressors().items()
-        }
-        ranked = sorted(size, key=lambda lang: (size[lang], -self.rows[lang], lang))
-        if len(ranked) == 1:
-            return ranked[0], 1.0, False
-        best, second = size[ranked[0]], size[ranked[1]]
-        score = 1 / sum(math.exp(max(-700.0, (best - s) / used)) for s in size.values())
-        return ranked[0], score, len(x) >= EVIDENCE and (second - best) / second < MARGIN
+    def compressors(self, langs: list[str]) -> list[list[zstandard.ZstdCompressor]]:
+        """Those of ``langs``, at most BLOCK; they stay for the next call if there are no more languages."""
+        if self._made:
+            return [self._made[lang] for lang in langs]
+        made = {}
+        for lang in langs:
+            made[lang] = []
+            for part in self.content[lang]:
+                d = zstandard.ZstdCompressionDict(part, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                d.precompute_compress(level=LEVEL)
+                made[lang].append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_dict_id=False))
+        if len(self.content) <= BLOCK:
+            self._made = made
+        return list(made.values())
+
+    def classify(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
+        """Of each text: language, score from 0 to 1, whether it's rejected."""
+        step = max(1, SIZES // max(1, len(self.content)))
+        return [x for i in range(0, len(texts), step) for x in self._classify(texts[i : i + step])]
+
+    def _classify(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
+        words = [letters(t) if t else b"" for t in texts]
+        told = [i for i, x in enumerate(words) if len(x) > 2 and self.content]
+        langs = sorted(self.content, key=lambda lang: (-self.rows[lang], lang))
+        sizes = np.empty((len(told), len(langs)))
+        for b in range(0, len(langs) if told else 0, BLOCK):
+            made = self.compressors(langs[b : b + BLOCK])
+            for row, i in zip(sizes, told):
+                used = DICTS if len(words[i]) < SHORT else 1
+                pieces = [words[i][k : k + PIECE] for k in range(0, len(words[i]), PIECE)]
+                row[b : b + BLOCK] = [sum(len(c.compress(p)) for c in m[:used] for p in pieces) * used / len(m[:used]) for m in made]
+        out = [(UNKNOWN, 0.0, True)] * len(texts)
+        for row, i in zip(sizes, told):
+            used = DICTS if len(words[i]) < SHORT else 1
+            if len(langs) == 1:
+                out[i] = langs[0], 1.0, False
+                continue
+            first = int(row.argmin())  # the commonest of those with the least size
+            best, second = float(row[first]), float(np.delete(row, first).min())
+            score = 1 / float(np.exp(np.maximum(-700.0, (best - row) / used)).sum())
+            out[i] = langs[first], score, len(words[i]) >= EVIDENCE and (second - best) / second < MARGIN
+        return out
+
+
+def _places(text: Column) -> Column:
+    """SAMPLE_CHARS characters of ``text``, spread over the whole of it."""
+    n, piece = F.char_length(text), SAMPLE_CHARS // SAMPLE_PLACES
+    start = lambda i: (F.floor((n - piece) * i / (SAMPLE_PLACES - 1)) + 1).cast("int")
+    spread = F.concat_ws(" ", *[F.substring(text, start(i), F.lit(piece)) for i in range(SAMPLE_PLACES)])
+    return F.when(n <= SAMPLE_CHARS, text).otherwise(spread)
 
 
 def fit(labelled: DataFrame) -> Dictionaries:
-    """Dictionaries from a bounded sample of (text, lang); rows with null text or lang teach nothing."""
-    known = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    key = F.xxhash64("text")
-    first = Window.partitionBy("lang").orderBy(key, "text")
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
-    sample = (
-        known.select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-        .where(F.col("lang").isin(list(counts)))
-        .withColumn("n", F.row_number().over(first))
-        .where(F.col("n") <= SAMPLE_ROWS)
-        .collect()
-    )
-    content = {}
-    for lang in sorted(counts):
-        whole = b"".join(letters(r["text"]) for r in sorted((r for r in sample if r["lang"] == lang), key=lambda r: r["n"]))
-        parts = [whole[i * DICT_BYTES : (i + 1) * DICT_BYTES] for i in range(DICTS)]
-        content[lang] = [p for p in parts if len(p) >= DICT_BYTES // 2] or [whole[:DICT_BYTES] or b" "]
+    """Dictionaries of every language from a bounded sample of different (text, lang); rows with null text or lang teach nothing."""
+    known = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.xxhash64("text").alias("key"))
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    first = Window.partitionBy("lang").orderBy("key")
+    chosen = known.select("lang", "key").distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= SAMPLE_ROWS)
+    chosen = save(chosen, "language_sample")
+    content, langs = {}, sorted(counts)
+    for b in range(0, len(langs), BLOCK):
+        block = F.col("lang").isin(langs[b : b + BLOCK])
+        sample = (
+            known.where(block)
+            .join(F.broadcast(chosen.where(block)), ["lang", "key"])
+            .select("lang", "n", _places(F.col("text")).alias("text"))
+            .dropDuplicates(["lang", "n"])
+            .collect()
+        )
+        texts: dict[str, list[bytes]] = {}
+        for r in sorted(sample, key=lambda r: r["n"]):
+            texts.setdefault(r["lang"], []).append(letters(r["text"]))
+        for lang, found in texts.items():
+            whole = b"".join(found)
+            parts = [whole[i * DICT_BYTES : (i + 1) * DICT_BYTES] for i in range(DICTS)]
+            content[lang] = [p for p in parts if len(p) >= DICT_BYTES // 2] or [whole[:DICT_BYTES] or b" "]
     return Dictionaries(content, counts)
 
 
@@ -114,7 +145,7 @@ def predict(docs: DataFrame, model: Dictionaries) -> DataFrame:
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
     def language(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
-            yield pd.DataFrame([shipped.value.classify(t) for t in batch], columns=["lang_pred", "score", "rejected"])
+            yield pd.DataFrame(shipped.value.classify(list(batch)), columns=["lang_pred", "score", "rejected"])
 
     return docs.withColumn("language", language("text"))
 

@@ -55,6 +55,19 @@ def test_language(spark, odd, none):
     assert langid.op2_language_id(spark, none).count() == 0
 
 
+def test_every_language_is_learned_from_different_texts(spark):
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    words = {f"l{i:03}": [word() for _ in range(12)] for i in range(130)}
+    rows = [(lang, " ".join(rng.sample(w, 12))) for lang, w in words.items() for _ in range(2 if lang < "l125" else 1)]
+    copied = [word() for _ in range(30)]
+    rows += [("copies", copied[0])] * 3000 + [("copies", w) for w in copied] + [("long", "abc " * 6000 + "lastword")]
+    model = langid.fit(spark.createDataFrame(rows, "lang string, text string"))
+    assert set(model.content) == {*words, "copies", "long"}
+    assert [x[0] for x in model.classify([" ".join(w[::-1]) for w in words.values()])] == list(words)
+    assert all(w.encode() in model.content["copies"][0] for w in copied) and b"lastword" in model.content["long"][0]
+
+
 def test_quality(spark, odd, none):
     labels = table(spark, SF, "labels")
     out = quality.op3_quality(spark, table(spark, SF, "documents"), labels).join(labels, "doc_id").toPandas()
