@@ -1,25 +1,26 @@
 """N-gram Jaccard self-join with Bayesian candidate pruning.
 
 Texts are sets of five-word shingles. Equal texts are joined once, by digest. MinHash bands bring
-together texts that may be similar, in groups that lose no such pair; within a group the MinHash
-values are compared a few at a time, a pair is dropped as soon as the posterior probability that its
-similarity reaches the threshold falls below a tolerance, and the rest is verified on the whole
-shingle sets. Links are counted where they are found: no pair of documents is ever a row.
+together texts that may be similar. Within a band's bucket the MinHash values are compared a few at a
+time, and a pair is dropped as soon as the posterior probability that its similarity reaches the
+threshold falls below a tolerance. Only texts that such pairs connect are fetched; in blocks, pairs are
+pruned again and the rest is verified on the whole shingle sets. Links are counted where they are found: no
+pair of documents is ever a row.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .components import connected_components
-from .session import save
+from .session import free_name, save
 from .words import words
 
 WORDS, THRESHOLD = 5, 0.8
@@ -78,14 +79,15 @@ def minhash(shingles: np.ndarray) -> np.ndarray:
     return (best >> np.uint64(32)).astype(np.uint32)
 
 
-def band_keys(signature: np.ndarray) -> np.ndarray:
-    parts = signature.reshape(BANDS, ROWS).astype(np.uint64)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64) * _MIX
-    with np.errstate(over="ignore"):
-        for i in range(ROWS):
-            key = (key ^ parts[:, i]) * _MIX
-            key ^= key >> np.uint64(31)
-    return key.view(np.int64)
+def packed(signature: np.ndarray) -> bytes:
+    """The upper half of each value: what bands and pruning compare. It may make values agree, never differ."""
+    return (signature >> np.uint32(16)).astype("<u2").tobytes()
+
+
+def band_keys() -> Column:
+    """A key for each band of the column ``sig``."""
+    width = 2 * ROWS
+    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring("sig", b * width + 1, F.lit(width))))
 
 
 def least_matches(threshold: float, tolerance: float = TOLERANCE) -> list[int]:
@@ -104,14 +106,13 @@ def least_matches(threshold: float, tolerance: float = TOLERANCE) -> list[int]:
     return out
 
 
-def similar_pairs(a_sigs, a_sets, b_sigs, b_sets, same: bool, threshold: float) -> list[tuple[int, int]]:
-    """Index pairs whose sets' Jaccard similarity reaches the threshold; ``same``: i < j only."""
+def unpruned_pairs(a_sigs, a_sizes, b_sigs, b_sizes, same: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs that Bayesian pruning and the sets' sizes leave; ``same``: i < j only."""
     least = least_matches(threshold)
     count = np.zeros((len(a_sigs), len(b_sigs)), dtype=np.int16)
     for k in range(STEP):
         count += a_sigs[:, k, None] == b_sigs[None, :, k]
-    sizes_a, sizes_b = np.array([len(s) for s in a_sets]), np.array([len(s) for s in b_sets])
-    fits = np.minimum(sizes_a[:, None], sizes_b) >= threshold * np.maximum(sizes_a[:, None], sizes_b) - 1e-9
+    fits = np.minimum(a_sizes[:, None], b_sizes) >= threshold * np.maximum(a_sizes[:, None], b_sizes) - 1e-9
     alive = (count >= least[0]) & fits
     if same:
         alive = np.triu(alive, 1)
@@ -124,6 +125,13 @@ def similar_pairs(a_sigs, a_sets, b_sigs, b_sets, same: bool, threshold: float)
         seen = seen + (a_sigs[i, span] == b_sigs[j, span]).sum(axis=1)
         keep = seen >= least[step]
         i, j, seen = i[keep], j[keep], seen[keep]
+    return i, j
+
+
+def similar_pairs(a_sigs, a_sets, b_sigs, b_sets, same: bool, threshold: float) -> list[tuple[int, int]]:
+    """Index pairs whose sets' Jaccard similarity reaches the threshold; ``same``: i < j only."""
+    sizes_a, sizes_b = np.array([len(s) for s in a_sets]), np.array([len(s) for s in b_sets])
+    i, j = unpruned_pairs(a_sigs, sizes_a, b_sigs, sizes_b, same, threshold)
     out = []
     for x, y in zip(i.tolist(), j.tolist()):
         common = len(a_sets[x] & b_sets[y])
@@ -137,30 +145,81 @@ def digest():
     return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
 
 
-def _band_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def id_key() -> Column:
+    """The id as text that equals for null ids too."""
+    return F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+
+
+SIGNED = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("n", pa.int64()), ("sig", pa.binary())])
+
+
+def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number of shingles and signature of each text; no signature without a word."""
     shingle = Shingler()
+    for batch in batches:  # Arrow keeps an id beside a null one as it is
+        sets = [shingle(t) for t in batch.column(2).to_pylist()]
+        sigs = [packed(minhash(s)) if len(s) else None for s in sets]
+        columns = [batch.column(0), batch.column(1).cast(pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, schema=SIGNED)
+
+
+def _blocks(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Of one comparison's rows: places of the lower and of the higher block, and whether these are the same block."""
+    lo, hi, block = rows.lo.iloc[0], rows.hi.iloc[0], rows.block.to_numpy()
+    return np.flatnonzero(block == lo), np.flatnonzero(block == hi), lo == hi
+
+
+def _runs(batches: Iterator[pd.DataFrame], of: list[str]) -> Iterator[pd.DataFrame]:
+    """Rows that agree in ``of``, from sorted batches; at most two blocks of rows each."""
+    kept = None
     for batch in batches:
-        sets = [shingle(t) for t in batch.text]
-        keys = [band_keys(minhash(s)) if len(s) else np.zeros(0, dtype=np.int64) for s in sets]
-        yield pd.DataFrame({"doc_id": batch.doc_id.astype("Int64"), "digest": batch.digest, "keys": keys})
+        rows = batch if kept is None else pd.concat([kept, batch], ignore_index=True)
+        ends = np.flatnonzero((rows[of] != rows[of].shift(-1)).any(axis=1).to_numpy()[:-1]) + 1 if len(rows) else []
+        start = 0
+        for end in ends:
+            yield rows.iloc[start:end]
+            start = end
+        kept = rows.iloc[start:] if start < len(rows) else None
+    if kept is not None:
+        yield kept
+
+
+def _pruner(threshold: float):
+    def prune(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Of each bucket, or two blocks of it: members that unpruned pairs connect, with one of their group."""
+        out = []
+        for run in _runs(batches, ["key", "lo", "hi"]):
+            sigs = np.frombuffer(b"".join(run.sig), dtype="<u2").reshape(len(run), HASHES)
+            sizes, (left, right, same) = run.n.to_numpy(), _blocks(run)
+            i, j = unpruned_pairs(sigs[left], sizes[left], sigs[right], sizes[right], same, threshold)
+            i, j, top = left[i], right[j], np.arange(len(run))
+            while True:
+                before = top.copy()
+                np.minimum.at(top, i, top[j])
+                np.minimum.at(top, j, top[i])
+                top = top[top]
+                if (top == before).all():
+                    break
+            names = run.digest.to_numpy()
+            out += [(names[x], names[t]) for x, t in enumerate(top.tolist()) if x != t]
+            if len(out) > 20_000:
+                yield pd.DataFrame(out, columns=["u", "v"])
+                out = []
+        yield pd.DataFrame(out, columns=["u", "v"])
+
+    return prune
 
 
 def _linker(threshold: float):
     def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows arrive sorted by (root, lo, hi); each such run is one comparison of two blocks."""
         shingle = Shingler()
-
-        def rows():
-            for batch in batches:
-                yield from batch[["root", "lo", "hi", "block", "digest", "copies", "text"]].itertuples(index=False)
-
-        for (_, lo, hi), run in groupby(rows(), key=lambda r: (r.root, r.lo, r.hi)):
-            run = list(run)
+        for run in _runs(batches, ["root", "lo", "hi"]):
+            left, right, same = _blocks(run)
+            run = list(run.itertuples(index=False))
             hashes = [shingle(r.text) for r in run]
             sigs = np.stack([minhash(h) for h in hashes])
             sets = [frozenset(h.tolist()) for h in hashes]
-            left = [n for n, r in enumerate(run) if r.block == lo]
-            right = left if lo == hi else [n for n, r in enumerate(run) if r.block == hi]
             texts, documents, parent = [0] * len(run), [0] * len(run), list(range(len(run)))
 
             def top(x: int) -> int:
@@ -169,8 +228,8 @@ def _linker(threshold: float):
                     x = parent[x]
                 return x
 
-            if left and right:
-                for i, j in similar_pairs(sigs[left], [sets[n] for n in left], sigs[right], [sets[n] for n in right], lo == hi, threshold):
+            if len(left) and len(right):
+                for i, j in similar_pairs(sigs[left], [sets[n] for n in left], sigs[right], [sets[n] for n in right], same, threshold):
                     a, b = left[i], right[j]
                     texts[a], texts[b] = texts[a] + 1, texts[b] + 1
                     documents[a], documents[b] = documents[a] + run[b].copies, documents[b] + run[a].copies
@@ -185,6 +244,49 @@ def _linker(threshold: float):
     return link
 
 
+def _dealt(members: DataFrame, group: str) -> DataFrame:
+    """``members`` (with the columns digest and ``size``, the size of the group) once for each pair of blocks of the group
+    that a member takes part in, as lo, hi and block: however large a group is, a task compares two blocks of it."""
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("digest"), blocks).cast("int")
+    dealt = members.select("*", block.alias("block"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    pairs = dealt.select("*", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")).drop("size", "other")
+    return pairs.repartition(group, "lo", "hi").sortWithinPartitions(group, "lo", "hi")
+
+
+def _candidates(texts: DataFrame, threshold: float) -> DataFrame:
+    """(node, root) of texts that unpruned pairs of the bands' buckets connect. Of buckets with the same members one is compared."""
+    bands = texts.where(F.col("sig").isNotNull()).select("digest", F.explode(band_keys()).alias("key"))
+    full = bands.groupBy("key").agg(F.min("digest").alias("first"), F.count("*").alias("size"), F.bit_xor(F.xxhash64("digest")).alias("members")).where("size > 1")
+    once = full.groupBy("first", "size", "members").agg(F.min("key").alias("key")).select("key", "size")
+    members = bands.join(once, "key").join(texts.select("digest", "n", "sig"), "digest")
+    edges = _dealt(members, "key").select("key", "lo", "hi", "block", "digest", "n", "sig").mapInPandas(_pruner(threshold), "u binary, v binary")
+    return connected_components(save(edges, "unpruned"))
+
+
+def _classes(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Each row's doc_id and digest; and of each text: digest, first_id, copies, root, texts and documents linked."""
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("digest", digest())
+    signed = save(plain.select("doc_id", "digest", "text").mapInArrow(_sign, "doc_id long, digest binary, n long, sig binary"), "signatures")
+    one = F.first(F.struct("n", "sig")).alias("one")
+    texts = signed.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), one)
+    texts = save(texts.select("digest", "first_id", "copies", "one.*"), "texts")
+    candidates = save(_candidates(texts, threshold), "candidates")
+    members = candidates.join(candidates.groupBy("root").agg(F.count("*").alias("size")), "root").withColumnRenamed("node", "digest")
+    members = members.join(texts.select("digest", F.col("first_id").alias("doc_id"), "copies"), "digest").withColumn("of_id", id_key()).drop("doc_id")
+    # Of the copies of a text, the row with its first id is fetched; of rows that repeat that too, one.
+    fetched = plain.withColumn("of_id", id_key()).join(members, ["digest", "of_id"]).dropDuplicates(["digest"])
+    found = _dealt(fetched.select("root", "size", "digest", "copies", "text"), "root").mapInPandas(
+        _linker(threshold), "digest binary, linked_to binary, texts long, documents long"
+    )
+    found = save(found, "links")
+    # Within one comparison the classes are known; those of several blocks meet here.
+    classes = connected_components(found.select(F.col("digest").alias("u"), F.col("linked_to").alias("v")))
+    counted = found.groupBy("digest").agg(F.sum("texts").alias("texts"), F.sum("documents").alias("documents"))
+    per_text = texts.select("digest", "first_id", "copies").join(classes.withColumnRenamed("node", "digest"), "digest", "left").join(counted, "digest", "left")
+    return signed.select("doc_id", "digest"), per_text.withColumn("root", F.coalesce("root", "digest"))
+
+
 def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id (least doc_id of its class), n_links (other documents whose
     similarity reaches the threshold, copies included) and n_text_links (different texts among them).
@@ -194,62 +296,36 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     are similar to their copies only. Null ids are members like others, but name a class only if
     no other does. Of further columns nothing is used. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = save(plain.withColumn("digest", digest()).mapInPandas(_band_rows, "doc_id long, digest binary, keys array<long>"), "bands")
-    texts = save(
-        signed.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("keys").alias("keys")), "texts"
-    )
-    bands = texts.select("digest", F.explode("keys").alias("key"))
-    shared = bands.groupBy("key").agg(F.min("digest").alias("v"), F.count("*").alias("n")).where(F.col("n") > 1).drop("n")
-    candidates = connected_components(bands.join(shared, "key").select(F.col("digest").alias("u"), "v"))
-    candidates = save(candidates, "candidates")
-    sizes = candidates.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    members = candidates.join(sizes, "root").select(F.col("node").alias("digest"), "root", "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"))
-    members = members.join(texts.select("digest", "first_id", "copies"), "digest")
-    with_text = (
-        plain.withColumn("digest", digest())
-        .withColumnRenamed("doc_id", "first_id")
-        .join(members.withColumnRenamed("first_id", "wanted"), "digest")
-        .where(F.col("first_id").eqNullSafe(F.col("wanted")))
-        .dropDuplicates(["digest"])
-    )
-    dealt = with_text.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "root", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "digest", "copies", "text", "blocks"
-    )
-    found = save(
-        dealt.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi").mapInPandas(
-            _linker(threshold), "digest binary, linked_to binary, texts long, documents long"
-        ),
-        "links",
-    )
-    # Within one comparison the classes are known; those of several blocks meet here.
-    classes = connected_components(found.select(F.col("digest").alias("u"), F.col("linked_to").alias("v")))
-    counted = found.groupBy("digest").agg(F.sum("texts").alias("texts"), F.sum("documents").alias("documents"))
-    per_text = (
-        texts.select("digest", "first_id", "copies")
-        .join(classes.withColumnRenamed("node", "digest"), "digest", "left")
-        .join(counted, "digest", "left")
-        .withColumn("root", F.coalesce("root", "digest"))
-    )
+    rows, per_text = _classes(docs, threshold)
     named = per_text.groupBy("root").agg(F.min("first_id").alias("class_id"))
     per_text = per_text.join(named, "root").select(
         "digest", "class_id",
         (F.coalesce("documents", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"),
         F.coalesce("texts", F.lit(0)).cast("long").alias("n_text_links"),
     )
-    return signed.select("doc_id", "digest").join(per_text, "digest").select("doc_id", "class_id", "n_links", "n_text_links")
+    return rows.join(per_text, "digest").select("doc_id", "class_id", "n_links", "n_text_links")
 
 
 def op7_ngram_jaccard(spark, docs: DataFrame) -> DataFrame:
+    """Class and links of each document; edge rows as ``jaccard_join`` states."""
     return jaccard_join(docs)
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """Pipeline stage: of each class the document with the least id. Of rows that repeat that id, one stays;
-    rows with null ids are classes of their own where no document with an id is like them."""
-    first = jaccard_join(docs).select(F.col("class_id").alias("doc_id")).distinct()
-    return docs.dropDuplicates(["doc_id", "text"]).join(first, docs.doc_id.eqNullSafe(first.doc_id), "left_semi")
+    """Pipeline stage: of each class the row with the least id, with all its columns.
+
+    A row stays by its id and text: of rows that repeat both, one. Rows with null ids go where any document with
+    an id is like them; of a class of null ids only, one row stays. An empty table gives no rows.
+    """
+    _, per_text = _classes(docs, THRESHOLD)
+    order = F.struct(F.col("first_id").isNull(), "first_id", "digest")
+    text, of_id = free_name(docs, "digest_of_text"), free_name(docs, "text_of_id")
+    first = per_text.groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.digest").alias(text), F.col("first.first_id").alias("doc_id"))
+    first = first.select(text, id_key().alias(of_id))
+    nth = free_name(docs, "nth")
+    once = F.row_number().over(Window.partitionBy(text, of_id).orderBy(text))
+    kept = docs.withColumn(text, digest()).withColumn(of_id, id_key()).join(first, [text, of_id]).withColumn(nth, once)
+    return kept.where(F.col(nth) == 1).select(*docs.columns)
 
 
 #: Brute force over all pairs that share a shingle.
