@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .words import words
@@ -23,6 +24,9 @@ ERROR_RATE, MIN_PIECE = 0.05, 12
 BLOCK_CHARS = 4_000_000
 
 SCHEMA = "doc_id long, item_id long, distance int, budget int, match_start long, match_end long"
+ARROW = pa.schema(
+    [("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int32()), ("budget", pa.int32()), ("match_start", pa.int64()), ("match_end", pa.int64())]
+)
 
 
 def normal(text: str | None) -> str:
@@ -113,39 +117,57 @@ class Matcher:
         return out
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """SCHEMA: each (document, item) whose distance is within the item's budget.
-
-    Null or empty texts and items match nothing; repeated items and repeated documents are reported
-    each; either table may be empty. Offsets count characters of the normal text.
-    """
-    spark = docs.sparkSession
+def _blocks(benchmark: DataFrame):
+    """Matchers of the benchmark's items, BLOCK_CHARS of text at a time, as broadcasts of (item_id, normal text)."""
+    spark = benchmark.sparkSession
     items = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long"), "text")
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(chars / BLOCK_CHARS))
-    plain, found = docs.select(F.col("doc_id").cast("long"), "text"), None
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        shipped = spark.sparkContext.broadcast([(r.item_id, x) for r in part if (x := normal(r.text)).strip()])
+        yield spark.sparkContext.broadcast([(r.item_id, x) for r in part if (x := normal(r.text)).strip()])
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """SCHEMA: each (document, item) whose distance is within the item's budget.
 
-        def search(batches: Iterator[pd.DataFrame], shipped=shipped) -> Iterator[pd.DataFrame]:
+    Null or empty texts and items match nothing; repeated items and repeated documents are reported
+    each; ids may be null; either table may be empty; of further columns nothing is used. Offsets count
+    characters of the normal text, which is searched whole however long it is.
+    """
+    plain, found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), None
+    for shipped in _blocks(benchmark):
+
+        def search(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(shipped.value)
-            for batch in batches:
-                ids = batch.doc_id.astype("Int64")
-                rows = [(ids.iloc[i], *hit) for i, t in enumerate(batch.text) for hit in matcher.find(t)]
-                out = pd.DataFrame(rows, columns=["doc_id", "item_id", "distance", "budget", "match_start", "match_end"])
-                out["doc_id"], out["item_id"] = out["doc_id"].astype("Int64"), out["item_id"].astype("Int64")
-                yield out
-
-        hits = plain.mapInPandas(search, SCHEMA)
+            for batch in batches:  # Arrow keeps an id beside a null one as it is
+                rows = [(d, *hit) for d, t in zip(*(c.to_pylist() for c in batch.columns)) for hit in matcher.find(t)]
+                columns = list(zip(*rows)) or [[]] * len(ARROW)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, ARROW)], schema=ARROW)
+
+        hits = plain.mapInArrow(search, SCHEMA)
         found = hits if found is None else found.unionByName(hits)
     return found
 
 
 def op4_decontamination(spark, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Each (document, benchmark item) match; edge rows as ``contaminated`` states."""
     return contaminated(docs, benchmark)
 
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Pipeline stage: documents without a match; those with null id stay."""
-    return docs.join(contaminated(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """Pipeline stage: rows of ``docs`` whose text matches no benchmark item, with all their columns.
+
+    Each row is judged by its own text, so null ids, ids that two texts share and repeated rows are kept or
+    dropped like others. Null and empty texts stay; an empty table gives no rows, an empty benchmark drops none.
+    """
+    for shipped in _blocks(benchmark):
+
+        @F.pandas_udf("boolean")
+        def clean(texts: Iterator[pd.Series], shipped=shipped) -> Iterator[pd.Series]:
+            matcher = Matcher(shipped.value)
+            for batch in texts:
+                yield pd.Series([not matcher.find(t) for t in batch], dtype=bool)
+
+        docs = docs.where(clean("text"))
+    return docs
