@@ -2,9 +2,10 @@
 
 A piece fits into the open sequence whose remaining room is tightest, found in logarithmic time in
 a segment tree over remaining capacities. Lengths are bounded by the sequence length, so the
-decisions depend on the histogram of lengths alone: the driver handles a table of at most
-``capacity`` rows for any corpus, and hands out ranges (nth piece of a length -> sequence), with
-which executors place the pieces.
+decisions depend on the histogram of lengths alone: for any corpus the driver reads at most
+``capacity * BUCKETS`` counts and hands out ranges (nth piece of a length -> sequence), at most one
+for each length and each room that is open when its turn comes, ``capacity ** 2 / 2`` in all.
+Executors place the pieces with these.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .session import save
@@ -26,6 +28,7 @@ END_ID = 2
 BUCKETS = 64
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
+ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
 
 class CapacityTree:
@@ -97,13 +100,14 @@ def best_fit_decreasing(histogram: dict[int, int], capacity: int = CAPACITY) ->
 
 
 def encoder(tokenizer_path: str):
-    """text -> numpy array of ids. The ranks beside the tokenizer's file give the same ids several times faster;
-    without them, the tokenizer itself is used."""
+    """text -> numpy array of ids, as the tokenizer gives them. The ranks beside the tokenizer's file give the same ids
+    several times faster; a text that holds one of its special tokens, or any text if there are no ranks, goes to
+    the tokenizer itself."""
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(tokenizer_path)
-    own.encode_special_tokens = True
     slow = lambda text: np.array(own.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+    special = [t.content for t in own.get_added_tokens_decoder().values()]
     try:
         import public_tokenizers
         import tiktoken
@@ -115,6 +119,8 @@ def encoder(tokenizer_path: str):
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(text: str) -> np.ndarray:
+        if any(t in text for t in special):
+            return slow(text)
         try:
             return fast.encode_to_numpy(text, disallowed_special=())
         except Exception:  # noqa: BLE001  a very long run may exceed the fast splitter's stack
@@ -134,19 +140,18 @@ def pieces_of(ids: np.ndarray, capacity: int = CAPACITY) -> list[tuple[int, int,
 def tokenise(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """A row for each piece of each document: ids of the whole text, then END_ID. Null texts are empty: one id."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(tokenizer_path), np.array([END_ID], dtype=np.uint32)
-        for batch in batches:
+        for batch in batches:  # Arrow keeps an id beside a null one as it is
             rows = [
                 (d, *piece)
-                for d, t in zip(batch.doc_id.astype(object).where(batch.doc_id.notna(), None), batch.text)
+                for d, t in zip(*(c.to_pylist() for c in batch.columns))
                 for piece in pieces_of(np.concatenate([encode(t).astype(np.uint32), end]) if t else end, capacity)
             ]
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            columns = list(zip(*rows)) or [[]] * len(ARROW)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, ARROW)], schema=ARROW)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, PIECE_SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECE_SCHEMA)
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -186,5 +191,7 @@ def default_tokenizer() -> str:
 
 
 def op9_packing(spark, docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
-    """Tokens are written to the shared folder once; they are counted, then placed."""
+    """Each document's pieces with sequence and offset. Tokens are written to the shared folder once; they are counted,
+    then placed. A null or empty text is one piece of length 1; rows that repeat an id or a text are packed each;
+    of further columns nothing is used; an empty table gives no rows."""
     return pack(save(tokenise(docs, tokenizer_path or default_tokenizer()), "pieces"))
