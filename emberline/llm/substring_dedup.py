@@ -1,11 +1,13 @@
 """Exact removal of repeated substrings with deep-shallow sorted suffixes.
 
-Every string of LENGTH bytes holds an anchor: the least hash of its GRAM-byte strings, chosen by the
-content alone, so equal strings have equal anchors. Suffixes are sorted around anchors only, a
-twentieth of all. Spark deals anchors out by hash: those with equal surroundings need one comparison
-of hashes. Where the same anchor has different surroundings, these are fetched and ordered by
-multikey quicksort to a shallow depth and by blind tries below it, once to the right and once,
-reversed, to the left; common prefixes in both orders tell which strings around the anchor recur.
+Every string of LENGTH bytes holds an anchor: the least hash of its GRAM-byte
+strings, chosen by the content alone, so equal strings have equal anchors. Suffixes are sorted around
+anchors only, a twentieth of all. Spark deals anchors out by hash: those with equal surroundings need one
+comparison of 64-bit hashes, the one place where bytes aren't compared; what repeats within a batch of documents is
+told there, so that a passage which a third of the rows share isn't dealt to one task. Where the same anchor has different
+surroundings, these are fetched and ordered by multikey quicksort to a shallow depth and by blind tries below it,
+once to the right and once, reversed, to the left; common prefixes in both orders tell which strings
+around the anchor recur.
 """
 
 from __future__ import annotations
@@ -19,23 +21,22 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .session import save
-from .suffixes import common_prefix, deep_shallow_sort
+from .suffixes import deep_shallow_sort
 
 LENGTH, GRAM = 100, 24
 REACH = LENGTH - GRAM
-#: Different surroundings of one anchor up to which one task compares them; more are compared by Spark.
+#: Different surroundings of one anchor that one task sorts; the strings around an anchor that has more are compared by
+#: Spark as keys, with the same result, so that no group is gathered whatever its size.
 GROUP = 50_000
-#: Up to so many, pairs are compared; above it, classes by length of the common prefix.
-PAIRS = 24
 
 _rng = np.random.default_rng(977)
 _VALUE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
-_NO_ID = -(2**63)
-#: What names a document: its id and a hash of its text.
-KEY = ["doc_id", "digest"]
+#: What names a document, in their order: whether it has an id, the id (0 if none), and a hash of its text.
+KEY = ["has_id", "doc_id", "digest"]
+KEY_TYPES = "has_id boolean, doc_id long, digest long"
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -81,91 +82,92 @@ def _raw(text) -> bytes:
     return text.encode("utf-8", "replace") if text else b""
 
 
+def _keys(batch: pd.DataFrame):
+    return zip(batch.has_id, batch.doc_id, batch.digest)
+
+
+def _local_repeats(rows: pd.DataFrame) -> pd.DataFrame:
+    """``rows`` with ``again``: whether an earlier row of these has the same anchor and surroundings. Copies of a row go."""
+    with np.errstate(over="ignore"):
+        both = rows.anchor.to_numpy().view(np.uint64) * _MIX ^ rows.around.to_numpy().view(np.uint64)
+    order = np.argsort(both, kind="stable")
+    same = both[order][1:] == both[order][:-1]
+    some = rows.iloc[np.sort(order[np.r_[same, False] | np.r_[False, same]])].sort_values(["anchor", "around", *KEY, "place"])
+    copy = some.duplicated(["anchor", "around", *KEY, "place"])
+    again = some[~copy].duplicated(["anchor", "around"])
+    rows = rows.assign(again=False)
+    rows.loc[again[again].index, "again"] = True
+    return rows.drop(index=copy[copy].index)
+
+
 def _anchor_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     anchors = Anchors()
     for batch in batches:
-        found = [((d, h), anchors(raw)) for d, h, t in zip(batch.doc_id, batch.digest, batch.text) if len(raw := _raw(t)) >= LENGTH]
+        found = [(key, anchors(raw)) for key, t in zip(_keys(batch), batch.text) if len(raw := _raw(t)) >= LENGTH]
         if found:
-            yield pd.DataFrame(
-                {
-                    "anchor": np.concatenate([a for _, (a, _, _) in found]),
-                    "around": np.concatenate([c for _, (_, c, _) in found]),
-                    "doc_id": np.repeat(np.array([d for (d, _), _ in found], dtype=np.int64), [len(a) for _, (a, _, _) in found]),
-                    "digest": np.repeat(np.array([h for (_, h), _ in found], dtype=np.int64), [len(a) for _, (a, _, _) in found]),
-                    "place": np.concatenate([p for _, (_, _, p) in found]),
-                }
-            )
+            times = [len(a) for _, (a, _, _) in found]
+            of = {name: np.repeat(np.array([key[i] for key, _ in found]), times) for i, name in enumerate(KEY)}
+            anchor, around, place = (np.concatenate([x[i] for _, x in found]) for i in range(3))
+            yield _local_repeats(pd.DataFrame({"anchor": anchor, "around": around, **of, "place": place}))
 
 
 def _fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
-        for d, h, t, wanted in zip(batch.doc_id, batch.digest, batch.text, batch.wanted):
+        for key, t, wanted in zip(_keys(batch), batch.text, batch.wanted):
             raw = _raw(t)
             for w in wanted:
                 p, left, right = w["place"] >> 16, w["place"] >> 8 & 255, w["place"] & 255
                 if p + GRAM + right <= len(raw):
-                    rows.append((w["anchor"], w["group"], d, h, p, raw[p - left : p], raw[p + GRAM : p + GRAM + right]))
-        yield pd.DataFrame(rows, columns=["anchor", "group", "doc_id", "digest", "place", "left", "right"])
-
-
-def _classes(order: list[tuple[int, int]], depth: int, n: int) -> np.ndarray:
-    """Class of each string by its first ``depth`` bytes; a shorter string is alone in its class."""
-    index, lcp = np.array(order).T
-    out = np.empty(n, dtype=np.int64)
-    out[index] = np.cumsum(lcp < depth)
-    return out
+                    rows.append((w["anchor"], w["group"], *key, p, raw[p - left : p], raw[p + GRAM : p + GRAM + right]))
+        yield pd.DataFrame(rows, columns=["anchor", "group", *KEY, "place", "left", "right"])
 
 
 def repeated_around(lefts: list[bytes], rights: list[bytes]) -> list[tuple[int, int] | None]:
     """Of occurrences of one anchor, first to last: how far repeated strings reach to the left and right
-    of each, or None. A string counts if an earlier occurrence has the same LENGTH bytes around the anchor."""
+    of each, or None. A string counts if an earlier occurrence has the same LENGTH bytes around the anchor.
+
+    In a sorted order, occurrences that share ``depth`` bytes stand together. For each depth at which the order
+    to one side parts, those that also share the rest to the other side are looked up.
+    """
     n = len(lefts)
-    back = [x[::-1] for x in lefts]
-    if n == 2:
-        l, r = common_prefix(back[0], back[1]), common_prefix(rights[0], rights[1])
-        return [None, (l, r) if l + r >= REACH else None]
-    by_left, by_right = deep_shallow_sort(back), deep_shallow_sort(rights)
-    if n <= PAIRS:
-        common = []
-        for order in (by_left, by_right):
-            matrix = np.zeros((n, n), dtype=np.int64)
-            for a in range(n):
-                least = REACH
-                for b in range(a + 1, n):
-                    least = min(least, order[b][1])
-                    matrix[order[a][0], order[b][0]] = matrix[order[b][0], order[a][0]] = least
-            common.append(matrix)
-        out = []
-        for y in range(n):
-            l, r = common[0][y, :y], common[1][y, :y]
-            good = l + r >= REACH
-            out.append((int(l[good].max()), int(r[good].max())) if good.any() else None)
+    orders = [deep_shallow_sort([x[::-1] for x in lefts]), deep_shallow_sort(rights)]
+    deepest = [max((lcp for _, lcp in order), default=-1) for order in orders]
+    reach = [[-1] * n, [-1] * n]
+
+    def classes(order: list[tuple[int, int]], depth: int) -> list[int]:
+        out, number = [0] * n, 0
+        for i, lcp in order:
+            number += lcp < depth
+            out[i] = number
         return out
-    l, r = np.full(n, -1), np.full(n, -1)
-    for depth in range(REACH + 1):
-        key = _classes(by_left, depth, n) * (n + 1) + _classes(by_right, REACH - depth, n)
-        _, first, where = np.unique(key, return_index=True, return_inverse=True)
-        again = first[where] < np.arange(n)
-        l[again] = np.maximum(l[again], depth)
-        r[again] = np.maximum(r[again], REACH - depth)
-    return [(int(a), int(b)) if a >= 0 else None for a, b in zip(l, r)]
+
+    for side in (0, 1):
+        own, other = orders[side], orders[1 - side]
+        for depth in sorted({lcp for _, lcp in own if lcp >= max(0, REACH - deepest[1 - side])}):
+            seen, here, there = set(), classes(own, depth), classes(other, REACH - depth)
+            for i in range(n):
+                key = (here[i], there[i])
+                if key in seen:
+                    reach[side][i] = depth
+                seen.add(key)
+    return [(l, r) if l >= 0 else None for l, r in zip(*reach)]
 
 
 def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows arrive sorted by (anchor, doc_id, digest, place); copies of a row stand side by side and count once."""
-    rows = (r for batch in batches for r in batch[["anchor", "doc_id", "digest", "place", "left", "right"]].itertuples(index=False))
+    """Rows arrive sorted by (anchor, KEY, place); copies of a row stand side by side and count once."""
+    rows = (r for batch in batches for r in batch[["anchor", *KEY, "place", "left", "right"]].itertuples(index=False))
     out = []
     for _, group in groupby(rows, key=lambda r: r.anchor):
-        group = [next(copies) for _, copies in groupby(group, key=lambda r: (r.doc_id, r.digest, r.place))]
+        group = [next(copies) for _, copies in groupby(group, key=lambda r: (r.has_id, r.doc_id, r.digest, r.place))]
         if len(group) > 1:
             for r, reach in zip(group, repeated_around([r.left for r in group], [r.right for r in group])):
                 if reach:
-                    out.append((r.doc_id, r.digest, r.place - reach[0], r.place + GRAM + reach[1]))
+                    out.append((r.has_id, r.doc_id, r.digest, r.place - reach[0], r.place + GRAM + reach[1]))
         if len(out) >= 20_000:
-            yield pd.DataFrame(out, columns=["doc_id", "digest", "start", "end"])
+            yield pd.DataFrame(out, columns=[*KEY, "start", "end"])
             out = []
-    yield pd.DataFrame(out, columns=["doc_id", "digest", "start", "end"])
+    yield pd.DataFrame(out, columns=[*KEY, "start", "end"])
 
 
 def _compare_large(contexts: DataFrame) -> DataFrame:
@@ -181,40 +183,34 @@ def _compare_large(contexts: DataFrame) -> DataFrame:
 
 
 def removed_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, spans array<struct<start,end>>) of ``docs`` (as keyed() gives them): what earlier strings repeat.
+    """(KEY, spans array<struct<start,end>>) of ``docs`` (as keyed() gives them): what earlier strings repeat.
     The spans neither overlap nor touch."""
-    anchors = docs.mapInPandas(_anchor_rows, "anchor long, around long, doc_id long, digest long, place long").repartition("anchor")
-    same = Window.partitionBy("anchor", "around").orderBy(*KEY, "place")
-    group = Window.partitionBy("anchor")
+    anchors = docs.mapInPandas(_anchor_rows, f"anchor long, around long, {KEY_TYPES}, place long, again boolean")
+    # Rows whose repeat is known already need no neighbours: they are dealt out by themselves.
+    dealt = anchors.withColumn("dealt", F.when(F.col("again"), F.xxhash64(*KEY, "place")).otherwise(F.col("anchor"))).repartition("dealt")
+    same, group = Window.partitionBy("dealt", "anchor", "again", "around").orderBy(*KEY, "place"), Window.partitionBy("dealt", "anchor", "again")
     me = F.struct(*KEY, "place")
     judged = (
-        anchors.withColumn("again", me > F.first(me).over(same))
+        dealt.withColumn("later", me > F.first(me).over(same))
         .withColumn("copy", me.eqNullSafe(F.lag(me).over(same)))
         .withColumn("nth", F.row_number().over(same))
         .withColumn("group", F.sum((F.col("nth") == 1).cast("int")).over(group))
     )
-    judged = judged.where(~F.col("copy") & (F.col("again") | ((F.col("group") > 1) & (F.col("nth") == 1))))
+    judged = judged.withColumn("again", F.col("again") | F.col("later")).where("NOT copy AND (again OR (group > 1 AND nth = 1))")
     judged = save(judged.select("anchor", *KEY, "place", "again", "group"), "anchors")
     place, left, right = F.shiftright("place", 16), F.shiftright("place", 8).bitwiseAND(255), F.col("place").bitwiseAND(255)
     whole = judged.where("again").select(*KEY, (place - left).alias("start"), (place + GRAM + right).alias("end"))
-    wanted = judged.where(~F.col("again")).groupBy(*KEY).agg(F.collect_list(F.struct("anchor", "place", "group")).alias("wanted"))
+    wanted = judged.where("NOT again").groupBy(*KEY).agg(F.collect_list(F.struct("anchor", "place", "group")).alias("wanted"))
     wanted = save(wanted, "wanted")
-    contexts = docs.join(wanted, KEY).mapInPandas(
-        _fetch, "anchor long, group long, doc_id long, digest long, place long, left binary, right binary"
-    )
+    contexts = docs.join(wanted, KEY).mapInPandas(_fetch, f"anchor long, group long, {KEY_TYPES}, place long, left binary, right binary")
+    spans = f"{KEY_TYPES}, start long, end long"
     if judged.where((F.col("group") > GROUP) & ~F.col("again")).limit(1).count():
         contexts = save(contexts, "contexts")
-        large = _compare_large(contexts.where(F.col("group") > GROUP))
+        whole = whole.unionByName(_compare_large(contexts.where(F.col("group") > GROUP)))
         contexts = contexts.where(F.col("group") <= GROUP)
-    else:
-        large = None
-    parted = (
-        contexts.drop("group").repartition("anchor").sortWithinPartitions("anchor", *KEY, "place")
-        .mapInPandas(_compare, "doc_id long, digest long, start long, end long")
-    )
-    spans = whole.unionByName(parted) if large is None else whole.unionByName(parted).unionByName(large)
-    listed = spans.groupBy(*KEY).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    return listed.mapInPandas(_merge, "doc_id long, digest long, spans array<struct<start:long,end:long>>")
+    parted = contexts.drop("group").repartition("anchor").sortWithinPartitions("anchor", *KEY, "place").mapInPandas(_compare, spans)
+    listed = whole.unionByName(parted).groupBy(*KEY).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return listed.mapInPandas(_merge, f"{KEY_TYPES}, spans array<struct<start:long,end:long>>")
 
 
 def merged(spans, n: int = 2**62) -> list[tuple[int, int]]:
@@ -231,13 +227,13 @@ def merged(spans, n: int = 2**62) -> list[tuple[int, int]]:
 def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         runs = [[{"start": a, "end": b} for a, b in merged(spans)] for spans in batch.spans]
-        yield pd.DataFrame({"doc_id": batch.doc_id, "digest": batch.digest, "spans": runs})
+        yield batch[KEY].assign(spans=runs)
 
 
 def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
-        for d, t, spans in zip(batch.doc_id, batch.text, batch.spans):
+        for has_id, d, t, spans in zip(batch.has_id, batch.doc_id, batch.text, batch.spans):
             raw = _raw(t)
             runs = merged(spans, len(raw))
             keep = hashlib.sha256()
@@ -245,29 +241,30 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for a, b in [*runs, (len(raw), len(raw))]:
                 keep.update(raw[at:a])
                 at = b
-            rows.append((d, len(raw), sum(b - a for a, b in runs), len(runs), keep.hexdigest()))
-        yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            rows.append((has_id, d, len(raw), sum(b - a for a, b in runs), len(runs), keep.hexdigest()))
+        yield pd.DataFrame(rows, columns=["has_id", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id (a null as the least), digest, text."""
-    digest = F.xxhash64("text", F.col("doc_id").isNull()).alias("digest")
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), digest, "text")
+    """KEY and text of each row."""
+    known = F.col("doc_id").isNotNull()
+    return docs.select(known.alias("has_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), F.xxhash64("text").alias("digest"), "text")
 
 
 def dedup_substrings(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row of ``docs``.
 
-    A null text is empty; texts under LENGTH bytes keep everything. Documents
-    come in the order of their ids, a null id before all others; texts under one id (or none) in the order of their
-    digests. Rows that share an id and a text count as one document that both show. Of further columns
-    nothing is used; an empty table gives no rows.
+    A null text is empty; texts under LENGTH bytes keep everything. Documents come in the order of their ids, those
+    without one before all others; different texts under one id (or none) are documents of their own, in the order
+    of their digests. Rows that share an id and a text count as one document that both show. Of further
+    columns nothing is used; an empty table gives no rows.
     """
     plain = keyed(docs)
     spans = save(removed_spans(plain), "spans")
-    out = plain.join(spans, KEY, "left").mapInPandas(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(_NO_ID)))
+    out = plain.join(spans, KEY, "left").mapInPandas(_cut, "has_id boolean, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return out.select(F.when(F.col("has_id"), F.col("doc_id")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def op8_suffix_dedup(spark, docs: DataFrame) -> DataFrame:
+    """What substring deduplication removes from each row; edge rows as ``dedup_substrings`` states."""
     return dedup_substrings(docs)
