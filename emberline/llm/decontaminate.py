@@ -155,6 +155,16 @@ def op4_decontamination(spark, docs: DataFrame, benchmark: DataFrame) -> DataFra
     return contaminated(docs, benchmark)
 
 
+def _clean(shipped):
+    @F.pandas_udf("boolean")
+    def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        matcher = Matcher(shipped.value)
+        for batch in texts:
+            yield pd.Series([not matcher.find(t) for t in batch], dtype=bool)
+
+    return clean
+
+
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Pipeline stage: rows of ``docs`` whose text matches no benchmark item, with all their columns.
 
@@ -162,12 +172,5 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     dropped like others. Null and empty texts stay; an empty table gives no rows, an empty benchmark drops none.
     """
     for shipped in _blocks(benchmark):
-
-        @F.pandas_udf("boolean")
-        def clean(texts: Iterator[pd.Series], shipped=shipped) -> Iterator[pd.Series]:
-            matcher = Matcher(shipped.value)
-            for batch in texts:
-                yield pd.Series([not matcher.find(t) for t in batch], dtype=bool)
-
-        docs = docs.where(clean("text"))
+        docs = docs.where(_clean(shipped)("text"))
     return docs

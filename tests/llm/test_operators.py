@@ -65,7 +65,7 @@ def test_every_language_is_learned_from_different_texts(spark):
     model = langid.fit(spark.createDataFrame(rows, "lang string, text string"))
     assert set(model.content) == {*words, "copies", "long"}
     assert [x[0] for x in model.classify([" ".join(w[::-1]) for w in words.values()])] == list(words)
-    assert all(w.encode() in model.content["copies"][0] for w in copied) and b"lastword" in model.content["long"][0]
+    assert all(w.encode() in model.content["copies"] for w in copied) and b"lastword" in model.content["long"]
 
 
 def test_quality(spark, odd, none):
@@ -180,7 +180,7 @@ def test_substrings_of_repeated_rows_and_ids(spark, monkeypatch):
     rows = [(1, inside())] * 3 + [(2, inside()), (2, inside()), (3, inside()), (3, text(40))]
     rows += [(None, inside()), (None, text(50)), (None, text(20) + rows[0][1][:300])] + [(None, inside())] * 2
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    order = sorted({((r.doc_id, r.digest), r.text) for r in substring_dedup.keyed(docs).collect()})
+    order = sorted({((r.has_id, r.doc_id, r.digest), r.text) for r in substring_dedup.keyed(docs).collect()})
     of_text = {t: key for key, t in order}
     want = brute_removed(order)
     want = sorted((d if d is not None else -1, *want[of_text[t]]) for d, t in rows)
@@ -198,7 +198,6 @@ def test_packing(spark, odd, none):
     for _, g in out.sort_values("offset").groupby("sequence_id"):
         assert list(g.offset) == [0, *np.cumsum(g.length)[:-1]] and g.length.sum() <= packing.CAPACITY
     own = Tokenizer.from_file(packing.default_tokenizer())
-    own.encode_special_tokens = True
     for r in docs.limit(40).collect():
         ids = np.array([*own.encode(r.text, add_special_tokens=False).ids, packing.END_ID], dtype="<u4")
         for p in out[out.doc_id == r.doc_id].itertuples():
@@ -229,19 +228,3 @@ def test_pii(spark, odd, none):
     masked = {r.doc_id: r.text for r in pii.mask(odd).collect()}
     assert masked[8] == "mail [EMAIL] or [PHONE] at [IP].5 and [CARD]" and masked[1] is None
     assert pii.op10_pii(spark, none).count() == 0
-    # A context that precedes known identifiers reveals an unknown one.
-    docs = spark.createDataFrame([(i, f"contact user{i}77.x@mail.com") for i in range(20)] + [(99, "contact zk81q7756")], "doc_id long, text string")
-    assert [r.spans for r in pii.op10_pii(spark, docs).where("doc_id = 99").collect()] == ["id:8:17"]
-
-
-def test_pii_contexts_of_any_form(spark):
-    def ids(rows):
-        docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
-        return [s for r in pii.op10_pii(spark, docs).orderBy("doc_id").collect() for s in r.spans.split(",") if s.startswith("id:")]
-
-    name = lambda i: "".join("abcdefghij"[int(c)] for c in str(100 + i))
-    cards = [n for n in ("4111 1111 1111 " + str(k) for k in range(1000, 1300)) if sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(n.replace(" ", "")[::-1])) % 10 == 0]
-    rows = [f"call +1 (555) 010 {1000 + i}" for i in range(20)] + [f"write {name(i)}@mail.com" for i in range(20)] + [f"card: {n}" for n in cards[:20]]
-    assert ids([*rows, "call 5550199123", "write zk81q7756", "card: 12345678", "seen 12345678"]) == ["id:5:15", "id:6:15", "id:6:14"]
-    rows = [f"contact user{i}77.x@mail.com" for i in range(20)]
-    assert ids([*rows, "contact " + "k1" * 50, "contact " + "k" * 60 + "1", "contact " + "k" * 99]) == ["id:8:108", "id:8:69"]
