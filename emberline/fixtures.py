@@ -34,20 +34,20 @@ SELECT s_suppkey AS facility_id, s_name AS facility_name,
   (s_suppkey % 5) * CAST(0.5 AS DOUBLE) AS area_km2,
   round((6200 + (s_suppkey * 17 + s_suppkey % 6) % 400) * CAST(0.0034 AS DOUBLE), 5) AS latitude,
   round((20700 + (s_suppkey * 29) % 397) * CAST(0.0034 AS DOUBLE), 5) AS longitude
-FROM supplier WHERE s_suppkey < 400
+FROM supplier
 """,
     "context_boxes": """
-SELECT p_partkey AS feature_id, CASE WHEN p_partkey % 30 = 0 THEN 'Point' ELSE 'Polygon' END AS geom_type,
+SELECT 10 * g AS feature_id, CASE WHEN g % 3 = 0 THEN 'Point' ELSE 'Polygon' END AS geom_type,
   clat - h AS south, clat + h AS north, clon - h AS west, clon + h AS east,
   CASE g % 8 WHEN 0 THEN 'refinery' WHEN 2 THEN 'mine' WHEN 3 THEN 'brickyard' WHEN 4 THEN 'Steel' WHEN 6 THEN 'cement' END AS industrial,
   CASE WHEN g % 8 IN (1, 7) THEN 'industrial' END AS landuse,
   CASE WHEN g % 8 = 5 THEN 'plant' END AS power,
   CASE WHEN g % 8 = 5 THEN CASE cast(floor(g / 8) AS BIGINT) % 4 WHEN 0 THEN 'coal' WHEN 1 THEN 'solar' WHEN 2 THEN 'gas; oil' ELSE 'wind' END END AS plant_source,
-  CASE WHEN g % 16 = 7 THEN 'kiln' END AS man_made, CASE WHEN g % 3 = 0 THEN NULL ELSE p_name END AS name
-FROM (SELECT p_partkey, p_name, g, CASE WHEN p_partkey % 30 = 0 THEN CAST(0.0 AS DOUBLE) ELSE CAST(0.002 AS DOUBLE) + (p_partkey % 40) * CAST(0.0002 AS DOUBLE) END AS h,
+  CASE WHEN g % 16 = 7 THEN 'kiln' END AS man_made, CASE WHEN g % 3 = 0 THEN NULL ELSE name END AS name
+FROM (SELECT g, name, CASE WHEN g % 3 = 0 THEN CAST(0.0 AS DOUBLE) ELSE CAST(0.002 AS DOUBLE) + (10 * g + parts) % 40 * CAST(0.0002 AS DOUBLE) END AS h,
     (6200 + (k * 17) % 400) * CAST(0.0034 AS DOUBLE) AS clat, (20700 + (k * 29) % 397) * CAST(0.0034 AS DOUBLE) AS clon
-  FROM (SELECT *, CASE WHEN g % 2 = 0 THEN g ELSE 100 + (p_partkey * 7) % 401 END AS k
-    FROM (SELECT p_partkey, p_name, CAST(floor(p_partkey / 10) AS BIGINT) AS g FROM part WHERE p_partkey % 10 = 0 AND p_partkey < 4000) a) b) c
+  FROM (SELECT g, name, parts, CASE WHEN g % 2 = 0 THEN g ELSE 100 + (g * 70) % 401 END AS k
+    FROM (SELECT CAST(floor(p_partkey / 10) AS BIGINT) AS g, min(p_name) AS name, count(*) AS parts FROM part GROUP BY CAST(floor(p_partkey / 10) AS BIGINT)) a) b) c
 """,
     "regions": """
 SELECT n_name AS name,
@@ -67,27 +67,29 @@ FROM (SELECT DISTINCT a.gi + o.di AS gi, a.gj + p.di AS gj FROM
   CROSS JOIN (SELECT -1 AS di UNION ALL SELECT 0 UNION ALL SELECT 1) o CROSS JOIN (SELECT -1 AS di UNION ALL SELECT 0 UNION ALL SELECT 1) p) t
 """,
     "scenes": """
-SELECT l_orderkey % 150 AS point_id, CAST(l_shipdate AS DATE) AS scene_date, l_linenumber AS px,
+SELECT l_orderkey AS point_id, CAST(l_shipdate AS DATE) AS scene_date, l_linenumber AS px,
   l_quantity / 64 AS b08, l_discount AS b12, CAST(l_partkey % 12 AS INT) AS scl FROM lineitem
 """,
     "box_pixels": """
 SELECT vec_id % 60 AS point_id, vec_id AS scene_id, label, embedding FROM embeddings
 """,
     "gold": """
-SELECT concat('G', lpad(CAST(c_custkey AS STRING), 3, '0')) AS sample_id,
+SELECT concat('G', lpad(CAST(c_custkey AS STRING), 9, '0')) AS sample_id,
   round((6200 + (c_custkey * 17) % 400) * CAST(0.0034 AS DOUBLE), 5) AS latitude, round((20700 + (c_custkey * 29) % 397) * CAST(0.0034 AS DOUBLE), 5) AS longitude,
   CASE c_nationkey % 5 WHEN 0 THEN 'gas flare' WHEN 1 THEN 'industrial' WHEN 2 THEN 'agricultural burning' WHEN 3 THEN 'wildfire' ELSE 'unknown' END AS label,
   CASE WHEN c_custkey % 7 = 0 THEN 'uncertain' WHEN c_custkey % 4 = 0 THEN 'industrial' ELSE
     CASE c_nationkey % 5 WHEN 0 THEN 'gas flare' WHEN 1 THEN 'industrial' WHEN 2 THEN 'agricultural burning' WHEN 3 THEN 'wildfire' ELSE 'unknown' END END AS verified_label
-FROM customer WHERE c_custkey < 150
+FROM customer
 """,
     "availability": """
-SELECT * FROM (VALUES ('NOAA20', 'N20_SP', 1, DATE '2024-01-01', DATE '2024-01-12'), ('NOAA20', 'N20_NRT', 2, DATE '2024-01-10', DATE '2024-01-30'),
-  ('NOAA21', 'N21_NRT', 1, DATE '2024-01-08', DATE '2024-01-30'), ('SNPP', 'SNPP_SP', 1, DATE '2024-01-01', DATE '2024-01-09'),
-  ('SNPP', 'SNPP_NRT', 2, DATE '2024-01-14', DATE '2024-01-30')) AS t(satellite, source, pref, min_date, max_date)
+SELECT satellite, concat(satellite, CASE WHEN standard THEN '_SP' ELSE '_NRT' END) AS source, CASE WHEN standard THEN 1 ELSE 2 END AS pref,
+  min(day) AS min_date, max(day) AS max_date
+FROM (SELECT satellite, day, n < 12 AS standard FROM (SELECT CASE event_id % 3 WHEN 0 THEN 'NOAA20' WHEN 1 THEN 'NOAA21' ELSE 'SNPP' END AS satellite,
+    CAST(ts AS DATE) AS day, dayofmonth(ts) + event_id % 3 * 2 AS n, event_id FROM events) e WHERE n < 12 OR n > 10 + event_id % 5) f
+GROUP BY satellite, standard
 """,
     "burn_points": """
-SELECT o_orderkey AS point_id, CAST(o_orderdate AS DATE) AS acq_date FROM orders WHERE o_orderkey < 150
+SELECT o_orderkey AS point_id, CAST(o_orderdate AS DATE) AS acq_date FROM orders
 """,
 }
 

@@ -11,25 +11,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import project
+from ..storage import save
 
-#: Up to so many segments (checked by a count) are broadcast and compared with every point; more meet in buckets.
-SMALL = 4_000
-#: Bucket sizes in metres, one pass each; a hit within the bucket size is exact. What is left after the last
-#: pass is compared with all segments.
-PASSES = (4_000.0, 20_000.0, 100_000.0)
+#: Bucket sizes in metres: a hit within the bucket size is exact. Points without one go on to buckets WIDER times as large,
+#: until one bucket holds everything.
+BUCKET, WIDER = 4_000.0, 5.0
 
 
 def box_segments(boxes: DataFrame, fid: str, west="west", south="south", east="east", north="north", projected: bool = True) -> DataFrame:
     """Sides of axis-aligned boxes; a box without extent gives one segment of length 0."""
     corners = [(west, south, east, south), (east, south, east, north), (east, north, west, north), (west, north, west, south)]
-
-    def side(a, b, c, d):
-        (x1, y1), (x2, y2) = ((project(F.col(q), F.col(p)) if projected else (F.col(p), F.col(q))) for p, q in ((a, b), (c, d)))
-        return F.struct(x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))
-
-    sides = F.array(*[side(*c) for c in corners])
+    sides = F.array(*[F.struct(*[F.col(c).alias(n) for c, n in zip(side, ("x1", "y1", "x2", "y2"))]) for side in corners])
     point = (F.col(west) == F.col(east)) & (F.col(south) == F.col(north))
-    return boxes.select(F.col(fid).alias("fid"), F.explode(F.when(point, F.slice(sides, 1, 1)).otherwise(sides)).alias("s")).select("fid", "s.*")
+    out = boxes.select(F.col(fid).alias("fid"), F.explode(F.when(point, F.slice(sides, 1, 1)).otherwise(sides)).alias("s")).select("fid", "s.*")
+    if not projected:
+        return out
+    ends = [xy for n in "12" for xy in zip((f"x{n}", f"y{n}"), project(F.col(f"y{n}"), F.col(f"x{n}")))]
+    return out.select("fid", *[c.alias(n) for n, c in ends])
 
 
 def point_segments(points: DataFrame, fid: str, x="x", y="y") -> DataFrame:
@@ -73,44 +71,61 @@ def containing(points: DataFrame, segments: DataFrame, cell: float = 4_000.0) ->
     return hits.where(F.col("n") % 2 == 1).select("pid", "fid")
 
 
-def nearest_by_role(points: DataFrame, segments: DataFrame, roles: list[str], passes: tuple[float, ...] = PASSES, which: bool = True, small: int = SMALL) -> DataFrame:
+def _envelopes(segments: DataFrame) -> DataFrame:
+    return segments.select(
+        "*", F.least("x1", "x2").alias("x_lo"), F.greatest("x1", "x2").alias("x_hi"),
+        F.least("y1", "y2").alias("y_lo"), F.greatest("y1", "y2").alias("y_hi"),
+    )
+
+
+def _extent(points: DataFrame, segments: DataFrame) -> float:
+    """The larger side of the box around everything; 0 if one side is empty."""
+    both = points.select(F.col("x").alias("x1"), F.col("x").alias("x2"), F.col("y").alias("y1"), F.col("y").alias("y2"), F.lit(0).alias("side"))
+    both = both.unionByName(segments.select("x1", "x2", "y1", "y2", F.lit(1).alias("side")))
+    sides = both.agg(
+        F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2")), F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2")), F.countDistinct("side")
+    ).first()
+    return max(sides[0], sides[1]) if sides[2] == 2 else 0.0
+
+
+def nearest_by_role(points: DataFrame, segments: DataFrame, roles: list[str], bucket: float = BUCKET, which: bool = True) -> DataFrame:
     """(pid, role, dist, fid): for each point and role the nearest segment of that role, ties to the smaller fid.
     Without ``which`` fid is null: the least distance alone is a hash aggregate, its feature is not.
 
+    A grid is the index: points meet segments of the neighbouring buckets only, and what finds none there looks further.
     One bucket join serves all roles (``segments`` has a column role); no row where a role has no segment.
     """
-    envelopes = segments.select(
-        "*", F.least("x1", "x2").alias("x_lo"), F.greatest("x1", "x2").alias("x_hi"),
-        F.least("y1", "y2").alias("y_lo"), F.greatest("y1", "y2").alias("y_hi"),
-    )
+    wide = _envelopes(segments)
     if which:
-        best = F.min(F.struct(segment_distance().alias("dist"), F.col("fid"))).alias("b")
+        least = lambda met: met.groupBy("pid", "role").agg(F.min(F.struct("dist", "fid")).alias("b")).select("pid", "role", "b.*")
     else:
-        best = F.struct(F.min(segment_distance()).alias("dist"), F.lit(None).cast("long").alias("fid")).alias("b")
-    left, found = points.select("pid", "x", "y", F.explode(F.array(*map(F.lit, roles))).alias("role")), []
-    if segments.limit(small + 1).count() <= small:
-        met = points.select("pid", "x", "y").join(F.broadcast(segments))
-        return met.groupBy("pid", "role").agg(best).select("pid", "role", "b.dist", "b.fid")
-    for cell in passes:
-        met = _bucketed(left, cell).join(_cells(envelopes, cell, cell), ["role", "cx", "cy"])
-        exact = met.groupBy("pid", "role").agg(best).select("pid", "role", "b.dist", "b.fid").where(F.col("dist") <= cell)
+        least = lambda met: met.groupBy("pid", "role").agg(F.min("dist").alias("dist")).withColumn("fid", F.lit(None).cast("long"))
+    points, segments = save(points.select("pid", "x", "y"), "points"), save(segments, "segments")  # read by every pass
+    extent, cell, found = _extent(points, segments), bucket, []
+    present = segments.select("role").distinct()
+    left = points.select("pid", "x", "y", F.explode(F.array(*map(F.lit, roles))).alias("role")).join(F.broadcast(present), "role", "left_semi")
+    while True:
+        met = _bucketed(left, cell).join(_cells(wide, cell, cell), ["role", "cx", "cy"]).withColumn("dist", segment_distance())
+        last = cell > extent
+        exact = least(met if last else met.where(F.col("dist") <= cell))
+        if last:
+            found.append(exact)
+            return reduce(DataFrame.unionByName, found)
+        exact = save(exact, "nearest")
         found.append(exact)
         left = left.join(exact.select("pid", "role"), ["pid", "role"], "left_anti")
-    found.append(left.join(segments, "role").groupBy("pid", "role").agg(best).select("pid", "role", "b.dist", "b.fid"))
-    return reduce(DataFrame.unionByName, found)
+        if left.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        cell *= WIDER
 
 
-def nearest(points: DataFrame, segments: DataFrame, passes: tuple[float, ...] = PASSES, small: int = SMALL) -> DataFrame:
+def nearest(points: DataFrame, segments: DataFrame, bucket: float = BUCKET, which: bool = True) -> DataFrame:
     """(pid, dist, fid) of each point's nearest segment, ties to the smaller fid; no row if there is no segment."""
-    return nearest_by_role(points, segments.withColumn("role", F.lit("")), [""], passes, small=small).drop("role")
+    return nearest_by_role(points, segments.withColumn("role", F.lit("")), [""], bucket, which).drop("role")
 
 
 def within(points: DataFrame, segments: DataFrame, radius: float) -> DataFrame:
     """(pid, dist, fid) of each point's nearest segment up to ``radius``: one pass with the radius as bucket."""
-    envelopes = segments.select(
-        "*", F.least("x1", "x2").alias("x_lo"), F.greatest("x1", "x2").alias("x_hi"),
-        F.least("y1", "y2").alias("y_lo"), F.greatest("y1", "y2").alias("y_hi"),
-    )
-    hits = _bucketed(points, radius).join(_cells(envelopes, radius, radius), ["cx", "cy"]).withColumn("dist", segment_distance())
+    hits = _bucketed(points, radius).join(_cells(_envelopes(segments), radius, radius), ["cx", "cy"]).withColumn("dist", segment_distance())
     best = F.min(F.struct("dist", "fid")).alias("b")
     return hits.where(F.col("dist") <= radius).groupBy("pid").agg(best).select("pid", "b.dist", "b.fid")

@@ -31,6 +31,16 @@ def det(spark, d):
     return H.with_grid(view(spark, d, "detections"))
 
 
+def numbered(rows: DataFrame, date: str, *order: str) -> DataFrame:
+    """``rows`` with ``row_id``, gapless from 0 by date and ``order``: dates are counted first, so that each date
+    is numbered by itself."""
+    dates = rows.groupBy(date).agg(F.count("*").alias("rows_of_date"))
+    before = Window.orderBy(date).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = dates.select(date, F.coalesce(F.sum("rows_of_date").over(before), F.lit(0)).alias("offset"))
+    within = F.row_number().over(Window.partitionBy(date).orderBy(*order))
+    return rows.join(offsets, date).withColumn("row_id", F.col("offset") + within - 1).drop("offset")
+
+
 BATCH = "2024-01-25"
 R2 = lambda c: F.round(F.col(c), 2).alias(c)
 CASE_CODE = " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(CLASSES))
@@ -76,9 +86,9 @@ def coverage_segments(s, d):
     return _coverage(s, d).withColumn("run", run).groupBy("satellite", "source", "run").agg(F.min("day").alias("first_day"), F.max("day").alias("last_day")).drop("run")
 
 
-@query("coverage_gaps", f"SELECT satellite, count(*) AS days_covered, 30 AS days_requested FROM ({_PICK}) p GROUP BY satellite HAVING count(*) < 30")
+@query("coverage_gaps", f"SELECT satellite, count(*) AS days_covered, 31 AS days_requested FROM ({_PICK}) p GROUP BY satellite HAVING count(*) < 31")
 def coverage_gaps(s, d):
-    return _coverage(s, d).groupBy("satellite").agg(F.count("*").alias("days_covered")).withColumn("days_requested", F.lit(30)).where("days_covered < days_requested")
+    return _coverage(s, d).groupBy("satellite").agg(F.count("*").alias("days_covered")).withColumn("days_requested", F.lit(31)).where("days_covered < days_requested")
 
 
 @query("load_facilities", "SELECT facility_id, coalesce(facility_type, 'industrial') AS facility_type, latitude, longitude FROM facilities WHERE latitude IS NOT NULL AND longitude IS NOT NULL")
@@ -130,10 +140,17 @@ def region_bbox(s, d):
     return view(s, d, "regions").groupBy("name").agg(F.min("south").alias("south"), F.max("north").alias("north"), F.min("west").alias("west"), F.max("east").alias("east"))
 
 
-@query("content_hash", "SELECT acq_date, substr(sha256(string_agg(det_id::VARCHAR, chr(10) ORDER BY det_id::VARCHAR)), 1, 12) AS hash FROM detections GROUP BY acq_date")
+_PART = "SELECT acq_date, floor(det_id / 1000) AS part, sha256(string_agg(det_id::VARCHAR, chr(10) ORDER BY det_id)) AS hash FROM detections GROUP BY ALL"
+
+
+@query("content_hash", f"SELECT acq_date, substr(sha256(string_agg(hash, chr(10) ORDER BY part)), 1, 12) AS hash FROM ({_PART}) t GROUP BY acq_date")
 def content_hash(s, d):
-    rows = F.array_sort(F.collect_list(F.col("det_id").cast("string")))
-    return view(s, d, "detections").groupBy("acq_date").agg(F.substring(F.sha2(F.concat_ws("\n", rows), 256), 1, 12).alias("hash"))
+    """Of each day, the hash of the hashes of its ids, a thousand ids at most in each: no day is gathered whole."""
+    part = F.floor(F.col("det_id") / 1000).alias("part")
+    ids = F.transform(F.array_sort(F.collect_list("det_id")), lambda i: i.cast("string"))
+    parts = view(s, d, "detections").groupBy("acq_date", part).agg(F.sha2(F.concat_ws("\n", ids), 256).alias("hash"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("part", "hash"))), lambda p: p["hash"])
+    return parts.groupBy("acq_date").agg(F.substring(F.sha2(F.concat_ws("\n", ordered), 256), 1, 12).alias("hash"))
 
 
 # Scalar functions
@@ -505,11 +522,10 @@ def industrial_anomaly_alerts(s, d):
     return L.labelled(s, d).where(hot).select("det_id", "label", "frp", "baseline_frp")
 
 
-@query("map_points", f"SELECT row_number() OVER (ORDER BY det_id) - 1 AS row_id, CAST(acq_date AS DATE) - DATE '2024-01-01' AS day, CASE label {CASE_CODE} END AS class_id, is_anomalous::INT AS anomaly FROM lab")
+@query("map_points", f"SELECT row_number() OVER (ORDER BY acq_date, det_id) - 1 AS row_id, CAST(acq_date AS DATE) - DATE '2024-01-01' AS day, CASE label {CASE_CODE} END AS class_id, is_anomalous::INT AS anomaly FROM lab")
 def map_points(s, d):
-    rows = L.labelled(s, d)
-    return rows.select(
-        (F.row_number().over(Window.orderBy("det_id")) - 1).cast("long").alias("row_id"), F.datediff(F.col("acq_date").cast("date"), F.lit("2024-01-01").cast("date")).cast("long").alias("day"),
+    return numbered(L.labelled(s, d).select("det_id", "acq_date", "label", "is_anomalous"), "acq_date", "det_id").select(
+        "row_id", F.datediff(F.col("acq_date").cast("date"), F.lit("2024-01-01").cast("date")).cast("long").alias("day"),
         S.lookup(F.col("label"), {c: i for i, c in enumerate(CLASSES)}).alias("class_id"), F.col("is_anomalous").cast("int").alias("anomaly"),
     )
 

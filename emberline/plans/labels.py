@@ -9,6 +9,7 @@ from ..fixtures import view
 from ..functions.rules import apply_rules
 from ..functions.scalars import project
 from ..operators import history, spatial
+from ..storage import once, save
 
 
 def exclude_renewables(context: DataFrame) -> DataFrame:
@@ -51,9 +52,10 @@ def polygon_tag(points: DataFrame, features: DataFrame) -> DataFrame:
 
 def feature_distance(points: DataFrame, features: DataFrame, name: str) -> DataFrame:
     """(pid, name): metres to the nearest feature, 0 inside a polygon."""
+    points = save(points, "points")
     segments = spatial.box_segments(features, "feature_id")
     inside = spatial.containing(points, spatial.box_segments(features.where("geom_type = 'Polygon'"), "feature_id")).select("pid").distinct()
-    near = spatial.nearest(points, segments).join(inside.withColumn("inside", F.lit(True)), "pid", "left")
+    near = spatial.nearest(points, segments, which=False).join(inside.withColumn("inside", F.lit(True)), "pid", "left")
     return near.select("pid", F.when(F.col("inside"), 0.0).otherwise(F.col("dist")).alias(name))
 
 
@@ -97,7 +99,7 @@ def surroundings(rows: DataFrame, sites: DataFrame, features: DataFrame) -> Data
     The same as the operators above one by one, but every feature carries the roles it can play, so
     one bucket join finds the nearest of each role.
     """
-    points = places(rows)
+    points = save(places(rows), "points")
     kiln = F.coalesce((F.col("industrial") == "brickyard") | (F.col("man_made") == "kiln"), F.lit(False))
     mapped = features.select("feature_id", _roles(ind=F.lit(True), mine=F.coalesce(F.col("industrial") == "mine", F.lit(False)), kiln=kiln))
     sides = spatial.box_segments(features, "feature_id").join(mapped.withColumnRenamed("feature_id", "fid"), "fid")
@@ -141,18 +143,23 @@ def with_landcover(rows: DataFrame, cells: DataFrame) -> DataFrame:
 
 def add_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = detections(spark, sf_dir)
-    around = surroundings(rows, facilities(spark, sf_dir), context(spark, sf_dir))
+    around = once(spark, sf_dir, "surroundings", lambda: surroundings(rows, facilities(spark, sf_dir), context(spark, sf_dir)))
     return with_landcover(rows.join(around, ["latitude", "longitude"], "left"), view(spark, sf_dir, "landcover_cells"))
 
 
-def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All columns: det_id, keys, surroundings, history, label and label_source."""
+def label_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = detections(spark, sf_dir)  # history needs the bare detections only
     return apply_rules(history.with_anomaly(history.with_recurrence(add_context(spark, sf_dir), rows), rows))
 
 
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns: det_id, keys, surroundings, history, label and label_source. Written once, read by all that counts labels."""
+    return once(spark, sf_dir, "labelled", lambda: label_all(spark, sf_dir))
+
+
 def labelled_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_region(labelled(spark, sf_dir), view(spark, sf_dir, "regions"), view(spark, sf_dir, "detections"))
+    make = lambda: with_region(labelled(spark, sf_dir), view(spark, sf_dir, "regions"), view(spark, sf_dir, "detections"))
+    return once(spark, sf_dir, "labelled_by_region", make)
 
 
 def contract(rows: DataFrame) -> DataFrame:

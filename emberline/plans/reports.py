@@ -10,7 +10,7 @@ from ..functions import scalars as S
 from ..functions.rules import apply_rules as label_rules
 from ..operators import history as H
 from . import labels as L
-from .catalog import _GC, _KEY, _NBR, _scene_stats, BATCH, det, query
+from .catalog import _GC, _KEY, _NBR, _scene_stats, BATCH, det, numbered, query
 from .oracle import sql_list
 
 TEST_SHARE = 0.2
@@ -18,16 +18,6 @@ TEST_SHARE = 0.2
 SHARD_ROWS = 1_000
 
 
-def numbered(rows: DataFrame, date: str, *order: str) -> DataFrame:
-    """``rows`` with ``row_id``, gapless from 0 by date and ``order``: dates are counted first, so that each date
-    is numbered by itself."""
-    dates = rows.groupBy(date).agg(F.count("*").alias("rows_of_date"))
-    before = Window.orderBy(date).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = dates.select(date, F.coalesce(F.sum("rows_of_date").over(before), F.lit(0)).alias("offset"))
-    within = F.row_number().over(Window.partitionBy(date).orderBy(*order))
-    return rows.join(offsets, date).withColumn("row_id", F.col("offset") + within - 1).drop("offset")
-
-
 def cutoff_of(rows: DataFrame, share: float = TEST_SHARE) -> DataFrame:
     """One row (cutoff): the date on which the last ``share`` of the rows begins; no row for an empty table."""
     dates = rows.groupBy("acq_date").agg(F.count("*").alias("n"))

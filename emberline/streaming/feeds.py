@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,16 +10,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..fixtures import VIEWS
 from ..functions.scalars import sighted
 from ..plans.catalog import query
+from ..storage import shared_folder
 
 #: A row that comes this much later than the newest is too late for a closed day. The feed overlaps by three days.
 LATENESS = "7 days"
 KEY = ["latitude", "longitude", "acq_date", "acq_time", "satellite"]
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder under ``spark.checkpoint.dir``; only a session that names none gets a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return f"{base or 'file://' + tempfile.mkdtemp(prefix='spark-')}/streams/{uuid.uuid4().hex}"
+def new_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/streams/{uuid.uuid4().hex}"
 
 
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +31,7 @@ def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drained(stream: DataFrame, mode: str = "append") -> DataFrame:
     """Run ``stream`` over all that has landed and return the written table."""
-    folder, spark = shared_folder(stream.sparkSession), stream.sparkSession
+    folder, spark = new_folder(stream.sparkSession), stream.sparkSession
     job = stream.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", f"{folder}/state").option("path", f"{folder}/rows")
     job.trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
@@ -71,7 +69,7 @@ def append_unseen(store: str):
 @query("stream_ingest", f"SELECT min(det_id) AS det_id, acq_date FROM detections GROUP BY {', '.join(KEY)}")
 def stream_ingest(s, d):
     """The store after all landed files: each key once."""
-    folder = shared_folder(s)
+    folder = new_folder(s)
     job = detections(s, d).drop("event_time").writeStream.foreachBatch(append_unseen(f"{folder}/store")).option("checkpointLocation", f"{folder}/state")
     job.trigger(availableNow=True).start().awaitTermination()
     return s.read.option("recursiveFileLookup", "true").parquet(f"{folder}/store").select("det_id", "acq_date")

@@ -38,11 +38,12 @@ def test_matches_sql(spark, name):
     assert sorted(repr([norm(r[c]) for c in columns]) for r in df.collect()) == want
 
 
-def test_buckets_agree_with_broadcast(spark):
+def test_bucket_sizes_agree(spark):
     points = labels.places(labels.detections(spark, SF))
     sides = spatial.box_segments(labels.context(spark, SF), "feature_id")
-    read = lambda df: {(tuple(r.pid), round(r.dist, 6)) for r in df.collect()}
-    assert read(spatial.nearest(points, sides, small=0)) == read(spatial.nearest(points, sides))
+    read = lambda df: {(tuple(r.pid), round(r.dist, 6), r.fid) for r in df.collect()}
+    all_at_once = read(spatial.nearest(points, sides, bucket=1e7))
+    assert len(all_at_once) == points.count() and read(spatial.nearest(points, sides)) == all_at_once == read(spatial.nearest(points, sides, bucket=900.0))
 
 
 def test_empty_side(spark):
