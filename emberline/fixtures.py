@@ -115,8 +115,8 @@ def with_views(query: str, more: dict[str, str] | None = None) -> str:
     wanted, todo = set(), [query]
     while todo:
         for n in _uses(todo.pop(), tables):
-            if n not in wanted:
+            if n not in wanted:  # a recursive table names itself
                 wanted.add(n)
                 todo.append(tables[n])
     parts = ",\n".join(f"{n} AS ({s.strip()})" for n, s in tables.items() if n in wanted)
-    return f"WITH {parts}\n{query.strip()}" if parts else query
+    return f"WITH RECURSIVE {parts}\n{query.strip()}" if parts else query

@@ -7,9 +7,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..fixtures import VIEWS
-from ..functions.scalars import sighted
-from ..plans.catalog import query
+from ..fixtures import VIEWS, view
+from ..functions.rules import apply_rules
+from ..functions.scalars import clean_time, sighted
+from ..operators.history import causal_recurrence, with_anomaly, with_grid
+from ..plans.catalog import BATCH, query
+from ..plans.labels import add_context, with_landcover
 from ..storage import shared_folder
 
 #: A row that comes this much later than the newest is too late for a closed day. The feed overlaps by three days.
@@ -73,3 +76,68 @@ def stream_ingest(s, d):
     job = detections(s, d).drop("event_time").writeStream.foreachBatch(append_unseen(f"{folder}/store")).option("checkpointLocation", f"{folder}/state")
     job.trigger(availableNow=True).start().awaitTermination()
     return s.read.option("recursiveFileLookup", "true").parquet(f"{folder}/store").select("det_id", "acq_date")
+
+
+def raise_once(folder: str, history: DataFrame):
+    """A foreachBatch function: each batch's anomalous (cell, day) pairs that no earlier batch raised are written as alerts, and
+    only then its rows to the store. If the job dies in between, the batch is run again and raises them anew; a batch
+    that is run again overwrites its own folders, so that nothing is raised or stored twice.
+
+    Baselines come from ``history`` and the store, from days strictly before each row's own, whatever the order of arrival.
+    """
+
+    def run(batch: DataFrame, number: int) -> None:
+        spark, rows = batch.sparkSession, with_grid(batch.dropDuplicates(KEY))
+        stored = history
+        for n in range(number):
+            stored = stored.unionByName(spark.read.schema(history.schema).parquet(f"{folder}/store/batch={n}"))
+        rows = rows.select(*history.columns).join(stored.select(*KEY), KEY, "left_anti")
+        judged = with_anomaly(rows, stored.unionByName(rows)).where("is_anomalous")
+        alerts = judged.groupBy("cell", "acq_date").agg(F.max("frp").alias("frp"))
+        for n in range(number):
+            alerts = alerts.join(spark.read.schema("cell string, acq_date string, frp double").parquet(f"{folder}/alerts/batch={n}"), ["cell", "acq_date"], "left_anti")
+        alerts.write.mode("overwrite").parquet(f"{folder}/alerts/batch={number}")
+        rows.write.mode("overwrite").parquet(f"{folder}/store/batch={number}")
+
+    return run
+
+
+@query("stream_alert_once", "SELECT cell, acq_date, max(frp) AS frp FROM (SELECT DISTINCT ON (latitude, longitude, acq_date, acq_time, satellite) * FROM feat ORDER BY det_id) t WHERE is_anomalous GROUP BY cell, acq_date")
+def stream_alert_once(s, d):
+    """Alerts after all landed files: each (cell, day) is raised once. Alerts are written before the store."""
+    folder, feed = new_folder(s), detections(s, d).drop("event_time")
+    none = with_grid(s.createDataFrame([], feed.schema))
+    job = feed.writeStream.foreachBatch(raise_once(folder, none)).option("checkpointLocation", f"{folder}/state")
+    job.trigger(availableNow=True).start().awaitTermination()
+    return s.read.option("recursiveFileLookup", "true").schema("cell string, acq_date string, frp double").parquet(f"{folder}/alerts")
+
+
+@query("stream_site_state", """SELECT gi, gj, daynight, acq_date, max(frp) AS max_frp, count(*) AS n FROM det WHERE CAST(acq_date AS DATE) + INTERVAL 1 DAY <=
+  (SELECT max(CAST(acq_date || ' ' || substr(acq_time, 1, 2) || ':' || substr(acq_time, 3, 2) AS TIMESTAMP)) - INTERVAL 7 DAY FROM detections) GROUP BY ALL""")
+def stream_site_state(s, d):
+    """Each site's largest power a day, kept as state until the watermark closes the day."""
+    site = [F.window("event_time", "1 day"), "gi", "gj", "daynight"]
+    daily = with_grid(detections(s, d)).withWatermark("event_time", LATENESS).groupBy(*site).agg(F.max("frp").alias("max_frp"), F.count("*").alias("n"))
+    return drained(daily.select("gi", "gj", "daynight", F.date_format("window.start", "yyyy-MM-dd").alias("acq_date"), "max_frp", "n"))
+
+
+def run_ingest(pull: DataFrame, history: DataFrame, around: DataFrame, landcover: DataFrame) -> DataFrame:
+    """A live run over one pull: cleaned, each key once, none that is stored; with surroundings, days up to each row's own, anomaly and label.
+
+    ``around``: surroundings by position."""
+    fresh = with_grid(pull.withColumn("acq_time", clean_time(F.col("acq_time"))).dropDuplicates(KEY)).join(history.select(*KEY), KEY, "left_anti")
+    known = history.select("gi", "gj", "acq_date", "daynight", "frp").unionByName(fresh.select("gi", "gj", "acq_date", "daynight", "frp"))
+    rows = with_landcover(fresh.join(around, ["latitude", "longitude"], "left"), landcover)
+    rows = rows.join(causal_recurrence(known, 90), ["gi", "gj", "acq_date"], "left")
+    return apply_rules(with_anomaly(rows, known))
+
+
+@query("run_ingest")
+def run_ingest_query(s, d):
+    """The pull from BATCH on, with two days that are stored already, against the rows before it."""
+    rows = view(s, d, "detections")
+    context = add_context(s, d)
+    around = context.select("latitude", "longitude", *[c for c in context.columns if c.startswith(("dist_", "nearest_", "osm_"))]).distinct()
+    history = with_grid(rows.where(F.col("acq_date") < BATCH))
+    done = run_ingest(rows.where(F.col("acq_date") >= "2024-01-23"), history, around, view(s, d, "landcover_cells"))
+    return done.select("det_id", "acq_date", "label", "label_source", "is_anomalous", "recurrence_count")
