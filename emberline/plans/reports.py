@@ -130,9 +130,9 @@ def apply_offshore_rules(s, d):
     return label_rules(rows, offshore=True).select("det_id", "label", "label_source")
 
 
-@query("map_filter", "SELECT det_id, acq_date, label, state FROM lab_s WHERE acq_date BETWEEN '2024-01-05' AND '2024-01-20' AND state < 'J' AND label IN ('industrial', 'gas flare')")
+@query("map_filter", "SELECT det_id, acq_date, label, state FROM lab_s WHERE acq_date BETWEEN '2024-01-05' AND '2024-01-20' AND state < 'P' AND label IN ('industrial', 'gas flare')")
 def map_filter(s, d):
-    wanted = F.col("acq_date").between("2024-01-05", "2024-01-20") & (F.col("state") < "J") & F.col("label").isin("industrial", "gas flare")
+    wanted = F.col("acq_date").between("2024-01-05", "2024-01-20") & (F.col("state") < "P") & F.col("label").isin("industrial", "gas flare")
     return L.labelled_by_region(s, d).where(wanted).select("det_id", "acq_date", "label", "state")
 
 

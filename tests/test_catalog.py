@@ -7,7 +7,9 @@ import pytest
 
 from emberline.fixtures import TABLES
 from emberline.operators import spatial
-from emberline.plans import alerts, catalog, labels, reports  # noqa: F401
+from emberline.operators import clusters
+from emberline.plans import alerts, catalog, labels, model, offshore, readers, reports  # noqa: F401
+from emberline.streaming import feeds
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,7 +25,10 @@ def norm(v):
     ["coverage_segments", "detection_keys", "project_points", "zone_of", "assign_state", "causal_recurrence", "anomaly_baselines",
      "neighbourhood_active_days", "near_critical_site", "asof_scenes", "build_labels",
      "detail_shards", "temporal_split", "spatial_block_split", "pre_split_features", "classification_report", "burn_severity",
-     "industrial_subtype", "period_over_period", "months_table", "facility_group_counts", "new_unmapped_source"],
+     "industrial_subtype", "period_over_period", "months_table", "facility_group_counts", "new_unmapped_source", "map_points", "content_hash",
+     "offshore_columns", "offshore_recurrence", "offshore_clusters", "large_fire_events", "isolated_points", "compare_locations", "hot_pixels", "stratified_sample",
+     "read_geojson", "extract_context", "nested_json", "contract_projection", "label_fingerprint", "landcover_majority", "relabel_industrial", "gold_wilson",
+     "feature_matrix", "prepare_training", "stream_alert_once", "stream_site_state"],
 )
 def test_matches_sql(spark, name):
     con = duckdb.connect()
@@ -57,3 +62,55 @@ def test_numbering_and_cutoff_of_no_rows(spark):
     rows = labels.detections(spark, SF).limit(0)
     assert reports.numbered(rows, "acq_date", "det_id").count() == 0
     assert reports.cutoff_of(rows).count() == 0
+
+
+def test_clusters_of_cores_and_borders(spark):
+    # Five cores in a row, a border point at each end, one point alone, and the same places on another day with too few points.
+    rows = [("d1", i, float(i), 0.0) for i in range(7)] + [("d1", 50, 50.0, 0.0), ("d2", 60, 0.0, 0.0), ("d2", 61, 1.0, 0.0)]
+    points = spark.createDataFrame(rows, "day string, pid int, x double, y double")
+    got = {r.pid: r.cluster for r in clusters.density_clusters(points, "day", 1.0, 3).collect()}
+    assert got == {i: 1 for i in range(7)}
+    assert clusters.density_clusters(points.limit(0), "day", 1.0, 3).count() == 0
+
+
+def test_components_of_a_long_chain(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "u int, v int")
+    assert {r.node: r.root for r in clusters.components(edges).collect()} == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_scenes_are_used_once(spark):
+    import datetime as dt
+
+    day = lambda n: dt.date(2024, 1, n)
+    anchors = spark.createDataFrame([(1, day(10)), (1, day(11)), (1, day(25)), (2, day(10))], "point_id int, anchor date")
+    scenes = spark.createDataFrame([(1, day(9), 1.0), (1, day(11), 0.9), (1, day(10), 0.1), (1, day(28), 1.0), (2, day(14), 1.0)], "point_id int, scene_date date, clear double")
+    got = {(r.point_id, r.anchor.day, r.scene_date.day) for r in offshore.scene_selection(anchors, scenes).collect()}
+    assert got == {(1, 10, 9), (1, 11, 11), (1, 25, 28)}
+
+
+def test_model_refuses_other_features_and_learns(spark):
+    accuracy = model.train_evaluate(spark, SF).first()
+    assert accuracy.n > 0 and accuracy.accuracy > 0.6
+    trained = model.train_model(model._training(spark, SF))
+    with pytest.raises(ValueError):
+        model.score_model(labels.labelled(spark, SF).select("det_id"), trained)
+    row = labels.labelled(spark, SF).orderBy("det_id").limit(1)
+    one, batch = model.feature_matrix(row, "det_id").first(), model.feature_matrix(labels.labelled(spark, SF), "det_id").orderBy("det_id").first()
+    assert one == batch and one.asDict().keys() == {"det_id", *model.FEATURES}
+    ruled = {r.det_id: r for r in labels.labelled(spark, SF).collect()}
+    for r in model.classify_query(spark, SF).collect():
+        assert (r.label_source == "model") == (ruled[r.det_id].label == "unknown") and (r.label_source == "model" or r.label == ruled[r.det_id].label)
+
+
+def test_manifest_differences(spark):
+    schema = "name string, size long, sha256 string"
+    now = spark.createDataFrame([("a", 1, "x"), ("b", 2, "x"), ("c", 3, "x"), ("d", 4, "x")], schema)
+    then = spark.createDataFrame([("a", 1, "x"), ("b", 9, "x"), ("c", 3, "y"), ("e", 5, "x")], schema)
+    assert {tuple(r) for r in readers.compare_manifest(now, then).collect()} == {("a", "ok"), ("b", "size"), ("c", "checksum"), ("d", "extra"), ("e", "missing")}
+
+
+def test_live_run_equals_bulk_for_new_rows(spark):
+    got = {r.det_id: (r.is_anomalous, r.recurrence_count) for r in feeds.run_ingest_query(spark, SF).collect()}
+    bulk = {r.det_id: r for r in catalog.QUERIES["late_data"](spark, SF).collect()}
+    judged = {r.det_id: r.is_anomalous for r in labels.labelled(spark, SF).collect()}
+    assert got and all(flag == judged[i] and n == bulk[i].recurrence_count for i, (flag, n) in got.items())
