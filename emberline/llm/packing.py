@@ -2,8 +2,8 @@
 
 A piece fits into the open sequence whose remaining room is tightest, found in logarithmic time in
 a segment tree over remaining capacities. Lengths are bounded by the sequence length, so the
-decisions depend on the histogram of lengths alone: for any corpus the driver reads at most
-``capacity * BUCKETS`` counts and hands out ranges (nth piece of a length -> sequence), at most one
+decisions depend on the histogram of lengths alone: the driver reads at most ``capacity * BUCKETS`` counts
+and one for each BUCKET_ROWS pieces, and hands out ranges (nth piece of a length -> sequence), at most one
 for each length and each room that is open when its turn comes, ``capacity ** 2 / 2`` in all.
 Executors place the pieces with these.
 """
@@ -11,6 +11,7 @@ Executors place the pieces with these.
 from __future__ import annotations
 
 import base64
+import math
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -24,8 +25,9 @@ from .session import save
 
 CAPACITY = 1024
 END_ID = 2
-#: Pieces of one length are numbered in so many buckets at once, so a hot length isn't one task.
-BUCKETS = 64
+#: Pieces of one length are numbered in so many buckets, more if a bucket would hold over BUCKET_ROWS of them, so a hot length
+#: isn't one task.
+BUCKETS, BUCKET_ROWS = 64, 1_000_000
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
@@ -155,21 +157,23 @@ def tokenise(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) ->
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``pieces`` (PIECE_SCHEMA) with sequence_id and offset. Ties and repeated rows are pieces of their own;
-    an empty table gives no rows."""
+    """``pieces`` (PIECE_SCHEMA) with sequence_id and offset. They are written to the shared folder once, with a number
+    that tells rows apart; ties and repeated rows are pieces of their own; an empty table gives no rows."""
     spark = pieces.sparkSession
-    pieces = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(BUCKETS)).cast("int"))
+    pieces = save(pieces.withColumn("number", F.monotonically_increasing_id()), "pieces")
+    histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # `capacity` rows at most
+    spread = spark.createDataFrame([(k, max(BUCKETS, math.ceil(n / BUCKET_ROWS))) for k, n in histogram.items()], "length long, buckets int")
+    pieces = pieces.join(F.broadcast(spread), "length").withColumn("bucket", F.pmod(F.xxhash64("number"), F.col("buckets")).cast("int"))
     counts = pieces.groupBy("length", "bucket").agg(F.count("*").alias("n"))
-    table = pd.DataFrame(counts.collect(), columns=["length", "bucket", "n"])  # capacity * BUCKETS rows at most
+    table = pd.DataFrame(counts.collect(), columns=["length", "bucket", "n"])
     table = table.astype("int64").sort_values(["length", "bucket"])
     table["before"] = table.groupby("length")["n"].cumsum() - table["n"]
-    histogram = {int(k): int(v) for k, v in table.groupby("length")["n"].sum().items()}
     before = spark.createDataFrame([(int(a), int(b), int(c)) for a, b, c in zip(table.length, table.bucket, table.before)], "length long, bucket int, before long")
     ranges = spark.createDataFrame(
         [(n, lo, hi, s, per, at) for n, lo, hi, s, per, at in best_fit_decreasing(histogram, capacity)],
         "length long, lo long, hi long, sequence long, per long, at long",
     )
-    order = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")
+    order = Window.partitionBy("length", "bucket").orderBy("number")
     numbered = pieces.withColumn("row", F.row_number().over(order) - 1).join(F.broadcast(before), ["length", "bucket"])
     nth = F.col("before") + F.col("row")
     step = F.col("nth") - F.col("lo")
@@ -194,4 +198,4 @@ def op9_packing(spark, docs: DataFrame, tokenizer_path: str | None = None) -> Da
     """Each document's pieces with sequence and offset. Tokens are written to the shared folder once; they are counted,
     then placed. A null or empty text is one piece of length 1; rows that repeat an id or a text are packed each;
     of further columns nothing is used; an empty table gives no rows."""
-    return pack(save(tokenise(docs, tokenizer_path or default_tokenizer()), "pieces"))
+    return pack(tokenise(docs, tokenizer_path or default_tokenizer()))
