@@ -10,6 +10,7 @@ from __future__ import annotations
 import heapq
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .session import save, utf8_bytes
@@ -27,8 +28,8 @@ class SlotMap:
     shard_of: tuple[int, ...]
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        rows = [(self.version, slot, shard) for slot, shard in enumerate(self.shard_of)]
-        return spark.createDataFrame(rows, "version int, virtual_slot int, shard int")
+        rows = [(self.version, self.shards, slot, shard) for slot, shard in enumerate(self.shard_of)]
+        return spark.createDataFrame(rows, "version int, shards int, virtual_slot int, shard int")
 
 
 def first_map(shards: int, slots: int = SLOTS) -> SlotMap:
@@ -59,6 +60,19 @@ def rebalance(old: SlotMap, weight: dict[int, int], shards: int | None = None) -
     return SlotMap(old.version + 1, shards, tuple(shard_of))
 
 
+def stored_map(spark: SparkSession, path: str) -> SlotMap | None:
+    """The last version of the map in the table ``path``; None if there is none yet."""
+    try:
+        versions = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    last = versions.agg(F.max("version")).first()[0]
+    rows = versions.where(F.col("version") == last).orderBy("virtual_slot").collect()  # a row for each slot
+    return SlotMap(last, rows[0]["shards"], tuple(r["shard"] for r in rows))
+
+
 def virtual_slot(*columns, slots: int = SLOTS):
     return F.pmod(F.xxhash64(*columns), F.lit(slots)).cast("int")
 
@@ -74,27 +88,35 @@ def sized(docs: DataFrame) -> DataFrame:
     )
 
 
-def shard_documents(docs: DataFrame, shards: int, slots: int = SLOTS) -> tuple[DataFrame, list[SlotMap]]:
+def shard_documents(docs: DataFrame, shards: int, slots: int = SLOTS, map_path: str | None = None) -> tuple[DataFrame, list[SlotMap]]:
     """Every record with its virtual slot, shard and place in the shard (0, 1, ... without gaps);
-    also the versions of the map, which are written to the shared folder too.
+    also the versions of the map from the one that was found on.
+
+    With ``map_path``, the last version in that table is edited (its number of slots holds), and a new version is added to
+    it if any slot moves. Without, the first map is edited, and the versions are written to the shared folder.
 
     Null ids and null texts are records like others (a null text has size 16). Rows that repeat in
     full are kept, and get places of their own. Of further columns nothing is used. An empty table
     gives no rows and the first map.
     """
     spark = docs.sparkSession
+    found = stored_map(spark, map_path) if map_path else None
+    maps = [found or first_map(shards, slots)]
+    slots = len(maps[0].shard_of)
     records = save(sized(docs).withColumn("virtual_slot", F.pmod("virtual_slot", F.lit(slots)).cast("int")), "sized")
     per_slot = {
         r.virtual_slot: (r.bytes, r.rows)
         for r in records.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).collect()
     }  # `slots` rows at most
-    maps = [first_map(shards, slots)]
-    if per_slot:
-        maps.append(rebalance(maps[0], {s: b for s, (b, _) in per_slot.items()}))
-    versions = maps[0].frame(spark)
-    for m in maps[1:]:
-        versions = versions.unionByName(m.frame(spark))
-    save(versions.coalesce(1), "slot_map")
+    if per_slot or shards != maps[0].shards:
+        edited = rebalance(maps[0], {s: b for s, (b, _) in per_slot.items()}, shards)
+        if (edited.shards, edited.shard_of) != (maps[0].shards, maps[0].shard_of):
+            maps.append(edited)
+    for m in maps[1:] if found else maps:
+        if map_path:
+            m.frame(spark).coalesce(1).write.mode("append").parquet(map_path)
+        else:
+            save(m.frame(spark).coalesce(1), "slot_map")
 
     current, filled, rows = maps[-1], [0] * shards, []
     for s, shard in enumerate(current.shard_of):
