@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from emberline.llm import decontaminate, langid, licenses, ngram_join, packing, pii, quality, sharding, substring_dedup, suffixes, topk
 from emberline.llm.session import table
@@ -228,3 +229,38 @@ def test_pii(spark, odd, none):
     masked = {r.doc_id: r.text for r in pii.mask(odd).collect()}
     assert masked[8] == "mail [EMAIL] or [PHONE] at [IP].5 and [CARD]" and masked[1] is None
     assert pii.op10_pii(spark, none).count() == 0
+
+
+def test_the_stored_map_is_edited(spark, tmp_path):
+    path = f"file://{tmp_path}/slot_map"
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), (F.col("id") % 50).cast("int")).alias("text"))
+    first, maps = sharding.shard_documents(docs, 4, 256, path)
+    assert [m.version for m in maps] == [1, 2] and sharding.stored_map(spark, path) == maps[-1]
+    before = {r.doc_id: r.shard for r in first.collect()}
+    again, edits = sharding.shard_documents(docs, 4, 64, path)  # the stored number of slots holds
+    assert edits[0] == maps[-1] and sum(r.shard != before[r.doc_id] for r in again.collect()) <= 0.03 * 4000
+    before = {r.doc_id: r.shard for r in again.collect()}
+    grown, maps = sharding.shard_documents(docs, 5, 256, path)
+    assert [m.version for m in maps] == [edits[-1].version, edits[-1].version + 1] and sharding.stored_map(spark, path) == maps[-1]
+    bytes_of, moved = [0] * 5, 0
+    for r in grown.collect():
+        bytes_of[r.shard] += r.size
+        moved += r.shard != before[r.doc_id]
+    assert max(bytes_of) <= 1.02 * min(bytes_of) and moved <= 0.3 * 4000
+
+
+def test_copies_without_an_id_are_packed_in_buckets(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BUCKETS", 2), monkeypatch.setattr(packing, "BUCKET_ROWS", 50)
+    docs = spark.range(700).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.when(F.col("id") % 7 > 0, "a few words of it").alias("text"))
+    sequences = {}
+    for r in packing.op9_packing(spark, docs).collect():
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert sum(map(len, sequences.values())) == 700
+    used = []
+    for places in sequences.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        used.append(end)
+    assert max(used) <= 1024 and len(used) == -(-sum(used) // 1024)
