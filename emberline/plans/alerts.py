@@ -12,6 +12,7 @@ from ..functions import scalars as S
 from ..operators import history as H, spatial
 from . import labels as L
 from .catalog import BATCH, det, query
+from .offshore import labelled_offshore, large_fire_events, offshore, UNITS, _AT_SEA, _SEA_LABEL
 from .oracle import sql_list
 
 SUBTYPE_RADIUS, SITE_RADIUS, UNMAPPED = 1_000.0, 2_000.0, 2_000.0
@@ -228,24 +229,47 @@ REASONS = {
     "wildfire": "Rule match: WorldCover tree cover / shrubland / grassland, more than 2 km from mapped industry",
 }
 SOURCE_REASONS = {"unknown": "Needs review: no labelling rule matched", "conflict": "Needs review: more than one labelling rule matched", "model": "Model prediction"}
+# The same at sea, of kilometres and active days.
+SEA_REASONS = {
+    "offshore_persistent": "Persistent %s heat %d km offshore, active %s",
+    "offshore_unconfirmed": "Offshore heat %d km out, active %s. KG basin flares are unconfirmed (hot pixel at 1 of 4 checked cells), so it is not labelled a flare",
+    "unknown": "Offshore heat %d km out, active %s: a flare needs 5+",
+}
+
+
+_ACTIVE = "days || ' day' || CASE WHEN days = 1 THEN '' ELSE 's' END"
+_KM = "floor(dist_m / 1000 + 0.5)::BIGINT"
 
 
-@query("label_reason", f"SELECT det_id, CASE WHEN label_source = 'rule' THEN CASE label {_when(REASONS)} END ELSE CASE label_source {_when(SOURCE_REASONS)} END END AS reason FROM lab")
+@query("label_reason", f"""SELECT lab.det_id, CASE WHEN sea.det_id IS NULL THEN CASE WHEN lab.label_source = 'rule' THEN CASE lab.label {_when(REASONS)} END ELSE CASE lab.label_source {_when(SOURCE_REASONS)} END END
+  WHEN sea.label_source = 'offshore_persistent' THEN format('{SEA_REASONS["offshore_persistent"].replace("%s", "{}").replace("%d", "{}")}', CASE WHEN daynight = 'D' THEN 'daytime' ELSE 'night-time' END, {_KM}, {_ACTIVE})
+  WHEN sea.label_source = 'offshore_unconfirmed' THEN format('{SEA_REASONS["offshore_unconfirmed"].replace("%d", "{}").replace("%s", "{}")}', {_KM}, {_ACTIVE})
+  ELSE format('{SEA_REASONS["unknown"].replace("%d", "{}").replace("%s", "{}")}', {_KM}, {_ACTIVE}) END AS reason FROM lab LEFT JOIN ({_SEA_LABEL}) sea USING (det_id)""")
 def label_reason(s, d):
-    reason = F.when(F.col("label_source") == "rule", S.lookup(F.col("label"), REASONS)).otherwise(S.lookup(F.col("label_source"), SOURCE_REASONS))
-    return L.labelled(s, d).select("det_id", reason.alias("reason"))
+    """Why a detection has its label; at sea where it is and how persistent."""
+    on_land = F.when(F.col("label_source") == "rule", S.lookup(F.col("label"), REASONS)).otherwise(S.lookup(F.col("label_source"), SOURCE_REASONS))
+    sea = labelled_offshore(s, d).select("det_id", F.col("label_source").alias("sea"), F.floor(F.col("dist_m") / 1_000 + 0.5).alias("km"), "days")
+    active = F.concat(F.col("days").cast("string"), F.when(F.col("days") == 1, " day").otherwise(" days"))
+    when = F.when(F.col("daynight") == "D", "daytime").otherwise("night-time")
+    reason = (
+        F.when(F.col("sea").isNull(), on_land)
+        .when(F.col("sea") == "offshore_persistent", F.format_string(SEA_REASONS["offshore_persistent"], when, "km", active))
+        .when(F.col("sea") == "offshore_unconfirmed", F.format_string(SEA_REASONS["offshore_unconfirmed"], F.col("km"), active))
+        .otherwise(F.format_string(SEA_REASONS["unknown"], F.col("km"), active))
+    )
+    return L.labelled(s, d).join(sea, "det_id", "left").select("det_id", reason.alias("reason"))
 
 
 def critical_site_alerts(s, d) -> DataFrame:
-    """(det_id, cell, acq_date, frp, dist_m): near a critical site whose neighbourhood was quiet, at most one active day in 90."""
+    """(det_id, cell, acq_date, frp, latitude, longitude, dist_m): near a critical site whose neighbourhood was quiet, at most one active day in 90."""
     rows = L.detections(s, d)
     sites, boxes = L.facilities(s, d).where(F.col("facility_type").isin(CRITICAL_TYPES)), L.context(s, d).where("industrial = 'refinery'")
     near = L._by_place(near_any(L.places(rows), sites, boxes, SITE_RADIUS)).drop("source", "fid")
     quiet = H.neighbourhood_days(rows.join(near, ["latitude", "longitude"]), rows, -89, 0).where("n <= 1")
-    return quiet.select("det_id", "cell", "acq_date", "frp", F.col("dist").alias("dist_m"))
+    return quiet.select("det_id", "cell", "acq_date", "frp", "latitude", "longitude", F.col("dist").alias("dist_m"))
 
 
-_CRITICAL = f"""SELECT det_id, cell, acq_date, frp, dist_m FROM (SELECT t.det_id, t.cell, t.acq_date, t.frp, t.dist_m, count(DISTINCT b.acq_date) AS n FROM (
+_CRITICAL = f"""SELECT det_id, cell, acq_date, frp, latitude, longitude, dist_m FROM (SELECT t.det_id, t.cell, t.acq_date, t.frp, t.latitude, t.longitude, t.dist_m, count(DISTINCT b.acq_date) AS n FROM (
   SELECT det.*, dist_m FROM det JOIN (SELECT latitude, longitude, min(d) AS dist_m FROM (
     SELECT l.latitude, l.longitude, sqrt(pow(l.x - f.x, 2) + pow(l.y - f.y, 2)) AS d FROM loc l CROSS JOIN fac f WHERE f.facility_type IN ({sql_list(CRITICAL_TYPES)})
     UNION ALL SELECT p.latitude, p.longitude, p.d FROM pairs p JOIN ctx ON p.fid = feature_id WHERE industrial = 'refinery') c GROUP BY ALL HAVING min(d) <= {SITE_RADIUS}) near USING (latitude, longitude)) t
@@ -258,8 +282,9 @@ def critical_site_alerts_rounded(s, d):
 
 
 def new_unmapped_source(s, d) -> DataFrame:
-    """One row a cell: its first detection far from every facility that has five active days in the trailing 30 and at
-    most one before them."""
+    """One row a cell: its first detection on land, far from every facility, that has five active days in the trailing 30 and at
+    most one before them; with mean and largest frp and the commonest label (ties by name) of the cell's detections in
+    these 30 days, and the first day on which the cell was ever active."""
     days = Window.partitionBy("gi", "gj").orderBy("day")
     bare = det(s, d)
     active = H.distinct_cell_days(bare).withColumn("day", H.day_number()).select(
@@ -268,35 +293,54 @@ def new_unmapped_source(s, d) -> DataFrame:
     )
     hot = active.where("active_days >= 5 AND earlier_days <= 1")
     far = reduce(lambda a, b: a & b, [F.coalesce(F.col(c) > UNMAPPED, F.lit(True)) for c in _DISTANCES])
-    found = L.add_context(s, d).where(far).join(hot, ["gi", "gj", "acq_date"])
-    first = F.min(F.struct("acq_date", "det_id", "active_days", "frp")).alias("f")
-    return found.groupBy("cell").agg(first).select("cell", "f.*")
+    found = L.add_context(s, d).where(far).join(hot, ["gi", "gj", "acq_date"]).join(offshore(s, d).where("offshore").select("det_id"), "det_id", "left_anti")
+    first = F.min(F.struct("acq_date", "det_id", "active_days", "frp", "latitude", "longitude")).alias("f")
+    found = found.groupBy("cell").agg(first).select("cell", "f.*")
+    rows = L.labelled(s, d).select("cell", F.col("acq_date").alias("day"), "label", F.col("frp").alias("heat"))
+    recent = F.col("day").cast("date") >= F.date_sub(F.col("acq_date").cast("date"), 29)
+    past = found.select("cell", "acq_date").join(rows, "cell").where("day <= acq_date").groupBy("cell", "label").agg(
+        F.min("day").alias("day"), F.count_if(recent).alias("n"), F.sum(F.when(recent, F.rint(F.col("heat") * UNITS).cast("long"))).alias("total"), F.count(F.when(recent, F.col("heat"))).alias("known"), F.max(F.when(recent, F.col("heat"))).alias("most")
+    )
+    about = past.groupBy("cell").agg(
+        F.min("day").alias("first_day"), (F.floor(F.try_divide(F.sum("total"), F.sum("known")) + 0.5) / UNITS).alias("mean_frp"), F.max("most").alias("max_frp"), F.min_by("label", F.struct(-F.col("n"), "label")).alias("mode_label")
+    )
+    return found.join(about, "cell")
 
 
 _FAR = " AND ".join(f"coalesce({c} > {UNMAPPED}, true)" for c in _DISTANCES)
-_UNMAPPED = f"""SELECT cell, acq_date, det_id, active_days, frp FROM (SELECT *, row_number() OVER (PARTITION BY cell ORDER BY acq_date, det_id) AS nth FROM (
-  SELECT a.det_id, a.cell, a.acq_date, a.frp, count(DISTINCT b.acq_date) FILTER (WHERE CAST(b.acq_date AS DATE) >= CAST(a.acq_date AS DATE) - 29) AS active_days,
+_UNMAPPED = f"""SELECT cell, acq_date, det_id, active_days, frp, latitude, longitude FROM (SELECT *, row_number() OVER (PARTITION BY cell ORDER BY acq_date, det_id) AS nth FROM (
+  SELECT a.det_id, a.cell, a.acq_date, a.frp, a.latitude, a.longitude, count(DISTINCT b.acq_date) FILTER (WHERE CAST(b.acq_date AS DATE) >= CAST(a.acq_date AS DATE) - 29) AS active_days,
   count(DISTINCT b.acq_date) FILTER (WHERE CAST(b.acq_date AS DATE) < CAST(a.acq_date AS DATE) - 29) AS earlier
-  FROM (SELECT * FROM feat WHERE {_FAR}) a JOIN det b ON a.gi = b.gi AND a.gj = b.gj AND b.acq_date <= a.acq_date GROUP BY ALL) t WHERE active_days >= 5 AND earlier <= 1) u WHERE nth = 1"""
+  FROM (SELECT * FROM feat WHERE {_FAR} AND det_id NOT IN (SELECT det_id FROM ({_AT_SEA}) o)) a JOIN det b ON a.gi = b.gi AND a.gj = b.gj AND b.acq_date <= a.acq_date GROUP BY ALL) t WHERE active_days >= 5 AND earlier <= 1) u WHERE nth = 1"""
 
 
-@query("new_unmapped_source", f"SELECT cell, acq_date, det_id, active_days FROM ({_UNMAPPED}) v")
+@query("new_unmapped_source", f"""SELECT cell, u.acq_date, u.det_id, u.active_days, min(l.acq_date) AS first_day, floor(sum(round_even(l.frp * 100000, 0)::BIGINT) FILTER (WHERE CAST(l.acq_date AS DATE) >= CAST(u.acq_date AS DATE) - 29)::DOUBLE
+  / count(l.frp) FILTER (WHERE CAST(l.acq_date AS DATE) >= CAST(u.acq_date AS DATE) - 29) + 0.5) / 100000 AS mean_frp,
+  max(l.frp) FILTER (WHERE CAST(l.acq_date AS DATE) >= CAST(u.acq_date AS DATE) - 29) AS max_frp, any_value(m.mode_label) AS mode_label FROM ({_UNMAPPED}) u JOIN lab l USING (cell) JOIN (
+  SELECT cell, first(label ORDER BY n DESC, label) AS mode_label FROM (SELECT cell, l.label, count(*) AS n FROM ({_UNMAPPED}) v JOIN lab l USING (cell)
+    WHERE CAST(l.acq_date AS DATE) BETWEEN CAST(v.acq_date AS DATE) - 29 AND CAST(v.acq_date AS DATE) GROUP BY ALL) c GROUP BY cell) m USING (cell)
+  WHERE l.acq_date <= u.acq_date GROUP BY cell, u.acq_date, u.det_id, u.active_days""")
 def new_unmapped_source_rows(s, d):
-    return new_unmapped_source(s, d).drop("frp")
+    return new_unmapped_source(s, d).drop("frp", "latitude", "longitude")
 
 
 def build_alerts(s, d) -> DataFrame:
-    """Alerts of three kinds, aligned by name; fire clusters aren't among them yet."""
+    """Alerts of all four kinds, aligned by name. A fire stands at its mean place and is named by the least of its core detections."""
     hot = L.labelled(s, d).where(F.col("is_anomalous") & F.col("label").isin("industrial", "gas flare") & (F.col("frp") >= 2 * F.col("baseline_frp")))
-    kinds = {"industrial_anomaly": hot.select("det_id", "cell", "acq_date", "frp", "label"), "critical_site": critical_site_alerts(s, d), "new_source": new_unmapped_source(s, d).drop("active_days")}
+    fires = large_fire_events(s, d).select(F.col("cluster").alias("det_id"), "acq_date", F.round("total_frp", 6).alias("frp"), "label", "latitude", "longitude")
+    kinds = {
+        "industrial_anomaly": hot.select("det_id", "cell", "acq_date", "frp", "label", "latitude", "longitude"), "critical_site": critical_site_alerts(s, d),
+        "new_source": new_unmapped_source(s, d).select("det_id", "cell", "acq_date", "frp", "latitude", "longitude"), "large_fire": fires,
+    }
     frames = [rows.withColumn("alert_type", F.lit(kind)) for kind, rows in kinds.items()]
     every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return every.select("alert_type", F.concat_ws("|", "alert_type", "cell", "acq_date", "det_id").alias("alert_id"), "det_id", "acq_date", "frp", "label", F.round("dist_m", 2).alias("dist_m"))
+    return every.select("alert_type", F.concat_ws("|", "alert_type", "cell", "acq_date", "det_id").alias("alert_id"), "det_id", "acq_date", "frp", "label", *[F.round(c, n).alias(c) for c, n in (("latitude", 5), ("longitude", 5), ("dist_m", 2))])
 
 
-_BUILT = f"""SELECT alert_type, concat_ws('|', alert_type, cell, acq_date, det_id) AS alert_id, det_id, acq_date, frp, label, round(dist_m, 2) AS dist_m FROM (
-  SELECT 'industrial_anomaly' AS alert_type, det_id, cell, acq_date, frp, label, NULL::DOUBLE AS dist_m FROM lab WHERE is_anomalous AND label IN ('industrial', 'gas flare') AND frp >= 2 * baseline_frp
-  UNION ALL SELECT 'critical_site', det_id, cell, acq_date, frp, NULL, dist_m FROM ({_CRITICAL}) c1 UNION ALL SELECT 'new_source', det_id, cell, acq_date, frp, NULL, NULL FROM ({_UNMAPPED}) c2) w"""
+_BUILT = f"""SELECT alert_type, concat_ws('|', alert_type, cell, acq_date, det_id) AS alert_id, det_id, acq_date, frp, label, round(latitude, 5) AS latitude, round(longitude, 5) AS longitude, round(dist_m, 2) AS dist_m FROM (
+  SELECT 'industrial_anomaly' AS alert_type, det_id, cell, acq_date, frp, label, latitude, longitude, NULL::DOUBLE AS dist_m FROM lab WHERE is_anomalous AND label IN ('industrial', 'gas flare') AND frp >= 2 * baseline_frp
+  UNION ALL SELECT 'critical_site', det_id, cell, acq_date, frp, NULL, latitude, longitude, dist_m FROM ({_CRITICAL}) c1 UNION ALL SELECT 'new_source', det_id, cell, acq_date, frp, NULL, latitude, longitude, NULL FROM ({_UNMAPPED}) c2
+  UNION ALL SELECT 'large_fire', cluster, NULL, acq_date, round(total_frp, 6), label, latitude, longitude, NULL FROM fires) w"""
 
 
 @query("build_alerts", _BUILT)
@@ -314,9 +358,28 @@ def alerts_sorted(s, d):
     return build_alerts(s, d).select("alert_id", "acq_date").orderBy(F.desc("acq_date"), "alert_id")
 
 
-@query("check_alerts", f"SELECT alert_id, count(*) > 1 AS repeated, bool_or(try_cast(acq_date AS DATE) IS NULL) AS bad_date FROM ({_BUILT}) x GROUP BY alert_id")
+ALERT_COLUMNS = ["alert_id", "alert_type", "acq_date", "latitude", "longitude"]
+ALERT_TYPES = ["industrial_anomaly", "critical_site", "new_source", "large_fire"]
+
+
+def alert_faults(alerts: DataFrame) -> DataFrame:
+    """One row per alert_id: alert_id, faults (comma-joined in this order: missing columns, repeated id, unknown type, bad date,
+    bad coordinates; empty if there are none). A column that is missing counts as null."""
+    absent = [c for c in ALERT_COLUMNS if c not in alerts.columns]
+    rows = alerts.withColumns({c: F.lit(None).cast("string") for c in absent})
+    degrees = lambda c, most: F.coalesce(F.abs(F.col(c).try_cast("double")) <= most, F.lit(False))
+    faults = [F.when(F.lit(c in absent), f"no {c}") for c in ALERT_COLUMNS] + [
+        F.when(F.count("*") > 1, "repeated id"), F.when(F.bool_or(~F.coalesce(F.col("alert_type").isin(ALERT_TYPES), F.lit(False))), "unknown type"),
+        F.when(F.bool_or(F.col("acq_date").try_cast("date").isNull()), "bad date"), F.when(F.bool_or(~(degrees("latitude", 90) & degrees("longitude", 180))), "bad coordinates"),
+    ]
+    return rows.groupBy("alert_id").agg(F.concat_ws(",", *faults).alias("faults"))
+
+
+@query("check_alerts", f"""SELECT alert_id, concat_ws(',', CASE WHEN count(*) > 1 THEN 'repeated id' END, CASE WHEN bool_or(alert_type NOT IN ({sql_list(ALERT_TYPES)})) THEN 'unknown type' END,
+  CASE WHEN bool_or(try_cast(acq_date AS DATE) IS NULL) THEN 'bad date' END, CASE WHEN bool_or(NOT coalesce(abs(latitude) <= 90 AND abs(longitude) <= 180, false)) THEN 'bad coordinates' END) AS faults
+  FROM ({_BUILT}) x GROUP BY alert_id""")
 def check_alerts(s, d):
-    return build_alerts(s, d).groupBy("alert_id").agg((F.count("*") > 1).alias("repeated"), F.bool_or(F.col("acq_date").try_cast("date").isNull()).alias("bad_date"))
+    return alert_faults(build_alerts(s, d))
 
 
 @query("publish_alerts", f"SELECT alert_id, acq_date >= '{BATCH}' AS appended FROM ({_BUILT}) x")

@@ -549,18 +549,24 @@ def confusion_matrix(s, d):
 # Scenes
 
 
-_NBR = "SELECT point_id, scene_date, avg((scl IN (4, 5, 6, 7))::INT) AS clear, avg(n) FILTER (WHERE scl IN (4, 5, 6, 7)) AS nbr FROM (SELECT *, CASE WHEN b08 + b12 = 0 THEN 0 ELSE (b08 - b12) / (b08 + b12) END AS n FROM scenes) t GROUP BY ALL"
+#: Scenes with a smaller share of clear pixels are left out.
+CLEAR = 0.8
+_NBR = f"""SELECT point_id, scene_date, avg((scl IN (4, 5, 6, 7))::INT) AS clear, avg(n) FILTER (WHERE scl IN (4, 5, 6, 7)) AS nbr, quantile_cont(n, 0.1) FILTER (WHERE scl IN (4, 5, 6, 7)) AS p10,
+  quantile_cont(n, 0.5) FILTER (WHERE scl IN (4, 5, 6, 7)) AS p50 FROM (SELECT *, CASE WHEN b08 + b12 = 0 THEN 0 ELSE (b08 - b12) / (b08 + b12) END::DOUBLE AS n FROM scenes) t GROUP BY ALL HAVING clear >= {CLEAR}"""
 
 
-def _scene_stats(s, d):
+def _scene_stats(s, d, least: float = CLEAR):
+    """Per point and date: share of clear pixels and, over these, the burn ratio's mean, 10 % and 50 % points; scenes less clear than ``least`` are left out."""
     total, ok = F.col("b08") + F.col("b12"), F.col("scl").isin(4, 5, 6, 7)
     nbr = F.when(total == 0, 0.0).otherwise((F.col("b08") - F.col("b12")) / F.when(total != 0, total))
-    return view(s, d, "scenes").groupBy("point_id", "scene_date").agg(F.avg(ok.cast("int")).alias("clear"), F.avg(F.when(ok, nbr)).alias("nbr")).where("nbr IS NOT NULL")
+    return view(s, d, "scenes").groupBy("point_id", "scene_date").agg(
+        F.avg(ok.cast("int")).alias("clear"), F.avg(F.when(ok, nbr)).alias("nbr"), F.percentile(F.when(ok, nbr.cast("double")), F.array(F.lit(0.1), F.lit(0.5))).alias("p")
+    ).where((F.col("clear") >= least) & F.col("nbr").isNotNull()).select("point_id", "scene_date", "clear", "nbr", F.col("p")[0].alias("p10"), F.col("p")[1].alias("p50"))
 
 
-@query("scene_stats", f"SELECT point_id, scene_date, round(clear, 6) AS clear, round(nbr, 6) AS nbr FROM ({_NBR}) t WHERE nbr IS NOT NULL")
+@query("scene_stats", f"SELECT point_id, scene_date, round(clear, 6) AS clear, round(nbr, 6) AS nbr, round(p10, 6) AS p10, round(p50, 6) AS p50 FROM ({_NBR}) t WHERE nbr IS NOT NULL")
 def scene_stats(s, d):
-    return _scene_stats(s, d).select("point_id", "scene_date", F.round("clear", 6).alias("clear"), F.round("nbr", 6).alias("nbr"))
+    return _scene_stats(s, d).select("point_id", "scene_date", *[F.round(c, 6).alias(c) for c in ("clear", "nbr", "p10", "p50")])
 
 
 @query("asof_scenes", f"""SELECT p.point_id, p.acq_date, max(scene_date) FILTER (WHERE scene_date < acq_date) AS date_before, min(scene_date) FILTER (WHERE scene_date >= acq_date) AS date_after

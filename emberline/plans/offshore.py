@@ -11,13 +11,15 @@ from ..operators import clusters, history as H, spatial
 from ..storage import once
 from . import labels as L
 from .catalog import _scene_stats, det, query
-from .oracle import TABLES, _DX, _DY, _T
+from .oracle import TABLES, sql_list, _DX, _DY, _T
 
 #: Metres beyond the boundary at which a detection in a zone counts as offshore.
 FLOOR = 1_000.0
 #: Of the fixtures, which are sparse; real feeds take 5 km and 10 rows.
 FIRE_REACH, FIRE_LEAST, KNOWN_KM = 20_000.0, 5, 25.0
 SEA_REACH, SEA_DAYS = 2_000.0, 2
+#: Zones whose persistent heat isn't confirmed to be flares.
+UNCONFIRMED = ("Zone B",)
 
 
 def offshore_columns(rows: DataFrame, zones: DataFrame, regions: DataFrame, floor: float = FLOOR) -> DataFrame:
@@ -49,6 +51,8 @@ _SEA = f"""SELECT det_id, latitude, longitude, zone, dist_m, dist_m >= {FLOOR} A
   JOIN (SELECT latitude, longitude, min(sqrt(pow(x - x1 - {_T} * {_DX}, 2) + pow(y - y1 - {_T} * {_DY}, 2))) AS dist FROM (
     SELECT loc.* FROM loc WHERE EXISTS (SELECT 1 FROM zones WHERE latitude BETWEEN south AND north AND longitude BETWEEN west AND east)) l CROSS JOIN ({_SHORE}) g GROUP BY ALL) m USING (latitude, longitude)) t"""
 
+_AT_SEA = f"SELECT det_id, zone, dist_m FROM ({_SEA}) sea WHERE offshore"
+
 
 @query("offshore_columns", f"SELECT det_id, zone, round(dist_m, 2) AS dist_m, offshore FROM ({_SEA}) u")
 def offshore_columns_rounded(s, d):
@@ -72,16 +76,25 @@ def offshore_recurrence(s, d):
     return H.with_recurrence(rows).select("det_id", "recurrence_count", "first_seen", "last_seen")
 
 
-@query("label_offshore", f"""SELECT det_id, CASE WHEN recurrence_count >= 5 THEN 'gas flare' ELSE 'unknown' END AS label, CASE WHEN recurrence_count >= 5 THEN 'offshore_persistent' ELSE 'unknown' END AS label_source,
-  zone FROM (SELECT o.det_id, o.zone, r.n AS recurrence_count FROM ({_SEA}) o JOIN det USING (det_id) JOIN (SELECT gi, gj, count(DISTINCT acq_date) AS n FROM det
-  WHERE det_id IN (SELECT det_id FROM ({_SEA}) p WHERE offshore) GROUP BY gi, gj) r USING (gi, gj) WHERE o.offshore) t""")
-def label_offshore(s, d):
-    """Rows at sea follow the persistence rule alone."""
-    at_sea = offshore(s, d).where("offshore").select("det_id", F.col("zone").alias("offshore_zone"))
+_SEA_LABEL = f"""SELECT *, CASE WHEN days >= 5 AND NOT doubtful THEN 'gas flare' ELSE 'unknown' END AS label,
+  CASE WHEN doubtful THEN 'offshore_unconfirmed' WHEN days >= 5 THEN 'offshore_persistent' ELSE 'unknown' END AS label_source FROM (
+  SELECT o.det_id, o.zone, o.dist_m, zone IN ({sql_list(UNCONFIRMED)}) AS doubtful, r.n AS days FROM ({_AT_SEA}) o JOIN det USING (det_id) JOIN (SELECT gi, gj, count(DISTINCT acq_date) AS n FROM det
+  WHERE det_id IN (SELECT det_id FROM ({_AT_SEA}) p) GROUP BY gi, gj) r USING (gi, gj)) t"""
+
+
+def labelled_offshore(s, d) -> DataFrame:
+    """(det_id, label, label_source, zone, dist_m, days) of the rows at sea, which follow the persistence rule alone."""
+    at_sea = offshore(s, d).where("offshore").select("det_id", F.col("zone").alias("offshore_zone"), "dist_m")
     rows = H.with_recurrence(det(s, d).join(at_sea, "det_id")).withColumn("region", F.lit("offshore"))
     blank = {c: F.lit(None).cast("double") for c in ("dist_to_industrial_m", "dist_to_flare_capable_m", "dist_to_heat_industry_m", "dist_to_coal_mine_m")}
     texts = {c: F.lit(None).cast("string") for c in ("osm_industrial_tag", "nearest_coal_source", "landcover_class")}
-    return apply_rules(rows.withColumns(blank | texts), offshore=True).select("det_id", "label", "label_source", F.col("offshore_zone").alias("zone"))
+    labels = apply_rules(rows.withColumns(blank | texts), offshore=True, unconfirmed=UNCONFIRMED)
+    return labels.select("det_id", "label", "label_source", F.col("offshore_zone").alias("zone"), "dist_m", F.col("recurrence_count").alias("days"))
+
+
+@query("label_offshore", f"SELECT det_id, label, label_source, zone FROM ({_SEA_LABEL}) u")
+def label_offshore(s, d):
+    return labelled_offshore(s, d).select("det_id", "label", "label_source", "zone")
 
 
 # Clusters
@@ -140,28 +153,33 @@ def compare_locations(s, d):
     return found.groupBy(F.col("pid").alias("cell")).agg(km("platform"), km("field"))
 
 
+#: Positions have five decimals; sums of whole units don't depend on their order.
+UNITS = 100_000
+
+
 def large_fire_events(s, d) -> DataFrame:
-    """One row a cluster: acq_date, cluster, detections, total_frp, label (the most frequent, ties by name), x and y (means), of
+    """One row a cluster: acq_date, cluster, detections, total_frp, label (the most frequent, ties by name), x, y, latitude and longitude (means), of
     agricultural burning and wildfire rows of a day that stand densely; days with fewer than FIRE_LEAST rows have none."""
-    rows = L.labelled(s, d).where(F.col("label").isin("agricultural burning", "wildfire")).select("det_id", "acq_date", "label", "frp", "x", "y")
+    rows = L.labelled(s, d).where(F.col("label").isin("agricultural burning", "wildfire")).select("det_id", "acq_date", "label", "frp", "x", "y", *[F.rint(F.col(c) * UNITS).cast("long").alias(c) for c in ("latitude", "longitude")])
     found = clusters.density_clusters(rows.select("acq_date", F.col("det_id").alias("pid"), "x", "y"), "acq_date", FIRE_REACH, FIRE_LEAST)
     rows = rows.join(found.withColumnRenamed("pid", "det_id"), "det_id")
-    each = rows.groupBy("acq_date", "cluster", "label").agg(F.count("*").alias("n"), F.sum("frp").alias("frp"), F.sum("x").alias("x"), F.sum("y").alias("y"))
+    each = rows.groupBy("acq_date", "cluster", "label").agg(F.count("*").alias("n"), F.sum("frp").alias("frp"), *[F.sum(c).alias(c) for c in ("x", "y", "latitude", "longitude")])
     total = F.sum("n")
     return each.groupBy("acq_date", "cluster").agg(
-        total.alias("detections"), F.sum("frp").alias("total_frp"), F.min_by("label", F.struct(-F.col("n"), "label")).alias("label"), (F.sum("x") / total).alias("x"), (F.sum("y") / total).alias("y")
+        total.alias("detections"), F.sum("frp").alias("total_frp"), F.min_by("label", F.struct(-F.col("n"), "label")).alias("label"), *[(F.sum(c) / total).alias(c) for c in ("x", "y")],
+        *[(F.floor(F.sum(c) / total + 0.5) / UNITS).alias(c) for c in ("latitude", "longitude")],
     )
 
 
 TABLES |= {
-    "fire_rows": "SELECT det_id, acq_date, label, frp, x, y FROM lab WHERE label IN ('agricultural burning', 'wildfire')",
+    "fire_rows": "SELECT det_id, acq_date, label, frp, x, y, latitude, longitude FROM lab WHERE label IN ('agricultural burning', 'wildfire')",
     "fire_pairs": f"SELECT a.det_id AS u, b.det_id AS v FROM fire_rows a JOIN fire_rows b ON a.acq_date = b.acq_date AND sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) <= {FIRE_REACH}",
     "fire_cores": f"SELECT u FROM fire_pairs GROUP BY u HAVING count(*) >= {FIRE_LEAST}",
     "fire_reach": "SELECT u AS node, u AS other FROM fire_cores UNION SELECT r.node, p.v FROM fire_reach r JOIN fire_pairs p ON r.other = p.u WHERE p.v IN (SELECT u FROM fire_cores)",
     "fire_of": "SELECT node, min(other) AS cluster FROM fire_reach GROUP BY node",
     "fire_members": "SELECT v AS det_id, coalesce(min(cluster) FILTER (WHERE u = v), min(cluster)) AS cluster FROM fire_pairs JOIN fire_of ON u = node GROUP BY v",
-    "fires": """SELECT acq_date, cluster, sum(n)::BIGINT AS detections, sum(frp) AS total_frp, first(label ORDER BY n DESC, label) AS label, sum(x) / sum(n) AS x, sum(y) / sum(n) AS y FROM (
-  SELECT acq_date, cluster, label, count(*) AS n, sum(frp) AS frp, sum(x) AS x, sum(y) AS y FROM fire_rows JOIN fire_members USING (det_id) GROUP BY ALL) t GROUP BY acq_date, cluster""",
+    "fires": """SELECT acq_date, cluster, sum(n)::BIGINT AS detections, sum(frp) AS total_frp, first(label ORDER BY n DESC, label) AS label, sum(x) / sum(n) AS x, sum(y) / sum(n) AS y,
+  floor(sum(latitude)::DOUBLE / sum(n)::DOUBLE + 0.5) / 100000 AS latitude, floor(sum(longitude)::DOUBLE / sum(n)::DOUBLE + 0.5) / 100000 AS longitude FROM (SELECT acq_date, cluster, label, count(*) AS n, sum(frp) AS frp, sum(x) AS x, sum(y) AS y, sum(round_even(latitude * 100000, 0)::BIGINT) AS latitude, sum(round_even(longitude * 100000, 0)::BIGINT) AS longitude FROM fire_rows JOIN fire_members USING (det_id) GROUP BY ALL) t GROUP BY acq_date, cluster""",
 }
 
 
@@ -277,7 +295,7 @@ def scene_selection(anchors: DataFrame, scenes: DataFrame, days: int = 3, clear:
 @query("scene_selection")
 def scene_selection_rows(s, d):
     anchors = view(s, d, "burn_points").select("point_id", F.explode(F.array(*[F.date_add("acq_date", n) for n in ANCHORS])).alias("anchor"))
-    return scene_selection(anchors, _scene_stats(s, d))
+    return scene_selection(anchors, _scene_stats(s, d, least=0.0))
 
 
 # Samples

@@ -213,13 +213,12 @@ def label_invariance(s, d):
     return before.join(after.withColumnRenamed("fingerprint", "after"), "acq_date", "full").select("acq_date", F.col("fingerprint").eqNullSafe(F.col("after")).alias("same"))
 
 
-@query("alert_list", f"""SELECT alert_id, alert_type, try_cast(b.acq_date AS DATE) AS day, det.latitude, det.longitude FROM ({A._BUILT}) b JOIN det USING (det_id)
-  WHERE alert_type IN ('industrial_anomaly', 'critical_site') AND isfinite(det.latitude) AND isfinite(det.longitude)""")
+@query("alert_list", f"""SELECT alert_id, alert_type, try_cast(b.acq_date AS DATE) AS day, latitude, longitude FROM ({A._BUILT}) b
+  WHERE alert_type IN ('industrial_anomaly', 'critical_site') AND isfinite(latitude) AND isfinite(longitude)""")
 def alert_list(s, d):
     """What a list of alerts shows: two types, with a date and finite coordinates, newest first."""
     finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
-    places = view(s, d, "detections").select("det_id", "latitude", "longitude")
-    rows = A.build_alerts(s, d).where(F.col("alert_type").isin("industrial_anomaly", "critical_site")).join(places, "det_id").where(finite("latitude") & finite("longitude"))
+    rows = A.build_alerts(s, d).where(F.col("alert_type").isin("industrial_anomaly", "critical_site")).where(finite("latitude") & finite("longitude"))
     return rows.select("alert_id", "alert_type", F.col("acq_date").try_cast("date").alias("day"), "latitude", "longitude").orderBy(F.desc("day"), "alert_id")
 
 

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..contract import CLASSES, CONFIDENCE_ORDINAL, CRITICAL_TYPES, FACILITY_SUBTYPE, REQUIRED_COLUMNS, TAG_SUBTYPE
+from ..contract import CLASSES, CONFIDENCE_ORDINAL, CRITICAL_TYPES, FACILITY_SUBTYPE, NEVER_DUG, REQUIRED_COLUMNS, TAG_SUBTYPE
 from ..fixtures import view
 from ..functions import scalars as S
 from ..functions.rules import apply_rules as label_rules
 from ..operators import history as H
 from . import labels as L
+from .alerts import typed, _FUELS
 from .catalog import _GC, _KEY, _NBR, _scene_stats, BATCH, det, numbered, query
+from .offshore import UNCONFIRMED, offshore, _AT_SEA
 from .oracle import sql_list
 
 TEST_SHARE = 0.2
@@ -92,17 +94,21 @@ def dnbr_informative(s, d):
     return L.add_context(s, d).select("det_id", (outside & beyond("dist_to_flare_capable_m", 1_000) & beyond("dist_to_heat_industry_m", 2_000)).alias("informative"))
 
 
-_DNBR = f"""SELECT p.point_id, round(arg_max(nbr, scene_date) FILTER (WHERE scene_date < acq_date) - arg_min(nbr, scene_date) FILTER (WHERE scene_date >= acq_date), 6) AS dnbr
+_DNBR = f"""SELECT p.point_id, round(arg_max(nbr, scene_date) FILTER (WHERE scene_date < acq_date) - arg_min(nbr, scene_date) FILTER (WHERE scene_date >= acq_date), 6) AS dnbr,
+  round(arg_max(p50, scene_date) FILTER (WHERE scene_date < acq_date) - arg_min(p10, scene_date) FILTER (WHERE scene_date >= acq_date), 6) AS dnbr_p10
   FROM burn_points p JOIN ({_NBR}) t ON t.point_id = p.point_id AND nbr IS NOT NULL AND scene_date BETWEEN acq_date - 30 AND acq_date + 30 GROUP BY p.point_id, p.acq_date"""
 
 
 def _dnbr(s, d):
+    """Burn ratio of the last clear scene before minus that of the first one after: of the means, and of the median before and the low tail after."""
     near = F.col("scene_date").between(F.date_add("acq_date", -30), F.date_add("acq_date", 30))
     before = F.col("scene_date") < F.col("acq_date")
-    last = F.max_by(F.when(before, F.col("nbr")), F.when(before, F.col("scene_date")))
-    first = F.min_by(F.when(~before, F.col("nbr")), F.when(~before, F.col("scene_date")))
+    last = lambda c: F.max_by(F.when(before, F.col(c)), F.when(before, F.col("scene_date")))
+    first = lambda c: F.min_by(F.when(~before, F.col(c)), F.when(~before, F.col("scene_date")))
     pairs = view(s, d, "burn_points").join(_scene_stats(s, d), "point_id").where(near)
-    return pairs.groupBy("point_id", "acq_date").agg(F.round(last - first, 6).alias("dnbr")).drop("acq_date")
+    return pairs.groupBy("point_id", "acq_date").agg(
+        F.round(last("nbr") - first("nbr"), 6).alias("dnbr"), F.round(last("p50") - first("p10"), 6).alias("dnbr_p10")
+    ).drop("acq_date")
 
 
 @query("dnbr", _DNBR)
@@ -118,16 +124,16 @@ def burn_severity(s, d):
     return _dnbr(s, d).withColumn("severity", band)
 
 
-_ZONED = "SELECT lab.*, z.zone FROM lab LEFT JOIN zones z ON latitude BETWEEN south AND north AND longitude BETWEEN west AND east AND zone = 'Zone A'"
+_ZONED = f"SELECT lab.*, z.zone, z.zone IN ({sql_list(UNCONFIRMED)}) AS doubtful FROM lab LEFT JOIN ({_AT_SEA}) z USING (det_id)"
 
 
-@query("apply_offshore_rules", f"""SELECT det_id, CASE WHEN zone IS NULL THEN label WHEN recurrence_count >= 5 THEN 'gas flare' ELSE 'unknown' END AS label,
-  CASE WHEN zone IS NULL THEN label_source WHEN recurrence_count >= 5 THEN 'offshore_persistent' ELSE 'unknown' END AS label_source FROM ({_ZONED}) t""")
+@query("apply_offshore_rules", f"""SELECT det_id, CASE WHEN zone IS NULL THEN label WHEN recurrence_count >= 5 AND NOT doubtful THEN 'gas flare' ELSE 'unknown' END AS label,
+  CASE WHEN zone IS NULL THEN label_source WHEN doubtful THEN 'offshore_unconfirmed' WHEN recurrence_count >= 5 THEN 'offshore_persistent' ELSE 'unknown' END AS label_source FROM ({_ZONED}) t""")
 def apply_offshore_rules(s, d):
-    zone = view(s, d, "zones").where("zone = 'Zone A'").select(F.col("zone").alias("offshore_zone"), "south", "north", "west", "east")
-    inside = F.col("latitude").between(F.col("south"), F.col("north")) & F.col("longitude").between(F.col("west"), F.col("east"))
-    rows = L.labelled(s, d).join(F.broadcast(zone), inside, "left").withColumn("region", F.when(F.col("offshore_zone").isNotNull(), "offshore").otherwise("onshore"))
-    return label_rules(rows, offshore=True).select("det_id", "label", "label_source")
+    """Rows at sea, by zone and distance to the shore, follow the persistence rule; all others keep their labels."""
+    at_sea = offshore(s, d).where("offshore").select("det_id", F.col("zone").alias("offshore_zone"))
+    rows = L.labelled(s, d).join(at_sea, "det_id", "left").withColumn("region", F.when(F.col("offshore_zone").isNotNull(), "offshore").otherwise("onshore"))
+    return label_rules(rows, offshore=True, unconfirmed=UNCONFIRMED).select("det_id", "label", "label_source")
 
 
 @query("map_filter", "SELECT det_id, acq_date, label, state FROM lab_s WHERE acq_date BETWEEN '2024-01-05' AND '2024-01-20' AND state < 'P' AND label IN ('industrial', 'gas flare')")
@@ -140,11 +146,12 @@ _when = lambda values: " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in values.item
 
 
 @query("typed_facilities", f"""SELECT * FROM (SELECT 'facility' AS source, facility_id AS id, CASE facility_type {_when(FACILITY_SUBTYPE)} END AS subtype FROM facilities
-  UNION ALL SELECT 'context', feature_id, CASE lower(industrial) {_when(TAG_SUBTYPE)} END FROM ctx) t WHERE subtype IS NOT NULL""")
+  WHERE NOT coalesce(lower(trim(string_split(status, ';')[1])) IN ({sql_list(NEVER_DUG)}), false) UNION ALL
+  SELECT 'context', feature_id, CASE WHEN coalesce(power = 'plant' AND {_FUELS}, false) THEN 'Thermal power plant' ELSE CASE lower(industrial) {_when(TAG_SUBTYPE)} END END FROM ctx) t WHERE subtype IS NOT NULL""")
 def typed_facilities(s, d):
-    sites = view(s, d, "facilities").select(F.lit("facility").alias("source"), F.col("facility_id").alias("id"), S.lookup(F.col("facility_type"), FACILITY_SUBTYPE).alias("subtype"))
-    mapped = L.context(s, d).select(F.lit("context").alias("source"), F.col("feature_id").alias("id"), S.lookup(F.lower("industrial"), TAG_SUBTYPE).alias("subtype"))
-    return sites.unionByName(mapped).where("subtype IS NOT NULL")
+    sites, mapped = typed(s, d)
+    side = lambda rows, source, key: rows.select(F.lit(source).alias("source"), F.col(key).alias("id"), "subtype")
+    return side(sites, "facility", "facility_id").unionByName(side(mapped, "context", "feature_id"))
 
 
 @query("critical_sites", f"""SELECT facility_id AS id, facility_type AS kind FROM facilities WHERE facility_type IN ({sql_list(CRITICAL_TYPES)})

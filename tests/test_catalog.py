@@ -28,7 +28,7 @@ def norm(v):
      "industrial_subtype", "period_over_period", "months_table", "facility_group_counts", "new_unmapped_source", "map_points", "content_hash",
      "offshore_columns", "offshore_recurrence", "offshore_clusters", "large_fire_events", "isolated_points", "compare_locations", "hot_pixels", "stratified_sample",
      "read_geojson", "extract_context", "nested_json", "contract_projection", "label_fingerprint", "landcover_majority", "relabel_industrial", "gold_wilson",
-     "feature_matrix", "prepare_training", "stream_alert_once", "stream_site_state"],
+     "feature_matrix", "prepare_training", "stream_alert_once", "stream_site_state", "build_alerts", "label_reason", "apply_offshore_rules", "dnbr", "typed_facilities", "check_alerts"],
 )
 def test_matches_sql(spark, name):
     con = duckdb.connect()
@@ -114,3 +114,25 @@ def test_live_run_equals_bulk_for_new_rows(spark):
     bulk = {r.det_id: r for r in catalog.QUERIES["late_data"](spark, SF).collect()}
     judged = {r.det_id: r.is_anomalous for r in labels.labelled(spark, SF).collect()}
     assert got and all(flag == judged[i] and n == bulk[i].recurrence_count for i, (flag, n) in got.items())
+
+
+def test_alert_faults(spark):
+    good = ("a", "large_fire", "2024-01-05", 21.5, 70.5)
+    rows = [good, ("b", "other", "2024-01-05", 21.5, 70.5), ("c", "new_source", "2024-13-05", 91.0, 70.5), ("d", *good[1:]), ("d", *good[1:]), ("e", None, None, None, 70.5)]
+    table = spark.createDataFrame(rows, "alert_id string, alert_type string, acq_date string, latitude double, longitude double")
+    read = lambda df: {r.alert_id: r.faults for r in alerts.alert_faults(df).collect()}
+    assert read(table) == {"a": "", "b": "unknown type", "c": "bad date,bad coordinates", "d": "repeated id", "e": "unknown type,bad date,bad coordinates"}
+    assert read(table.where("alert_id = 'a'").drop("longitude")) == {"a": "no longitude,bad coordinates"}
+    assert read(table.limit(0)) == {}
+
+
+def test_cloudy_scenes_and_low_tail(spark, tmp_path):
+    rows = [(1, n, q, "1995-03-01", 1) for n, q in enumerate((10, 20, 30, 40), 1)] + [(1, 5, 50, "1995-03-02", 1), (1, 6, 50, "1995-03-02", 4)]
+    scl = {1: 4, 4: 8}  # the second date has one clear pixel of two
+    table = spark.createDataFrame([(o, n, q * 64.0 / 10, 0.5, dt, scl[p]) for o, n, q, dt, p in rows], "l_orderkey long, l_linenumber int, l_quantity double, l_discount double, l_shipdate string, l_partkey int")
+    table.write.parquet(f"{tmp_path}/lineitem.parquet")
+    (r,) = catalog._scene_stats(spark, str(tmp_path)).collect()
+    ratios = [(q - 0.5) / (q + 0.5) for q in (1, 2, 3, 4)]
+    assert str(r.scene_date) == "1995-03-01" and r.clear == 1.0
+    assert r.nbr == pytest.approx(sum(ratios) / 4) and r.p10 == pytest.approx(ratios[0] + 0.3 * (ratios[1] - ratios[0])) and r.p50 == pytest.approx((ratios[1] + ratios[2]) / 2)
+    assert catalog._scene_stats(spark, str(tmp_path), least=0.0).count() == 2
