@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import alignment, decontaminate, langid, licenses, ngram_join, packing, pii, quality, sharding, substring_dedup, topk
+from . import alignment, decontaminate, hard_negatives, langid, licenses, ngram_join, packing, pii, quality, sharding, substring_dedup, topk
 from .session import table
 
 
@@ -24,7 +24,8 @@ QUERIES = {
     "op8_suffix_dedup": _on(substring_dedup.op8_suffix_dedup, "documents"),
     "op9_packing": _on(packing.op9_packing, "documents"),
     "op10_pii": _on(pii.op10_pii, "documents"),
+    "op12_hard_negatives": _on(hard_negatives.op12_hard_negatives, "embeddings"),
     "op13_alignment": _on(alignment.op13_alignment, "documents"),
 }
 
-ORACLE_SQL = {"op6_exact_topk": topk.ORACLE, "op7_ngram_jaccard": ngram_join.ORACLE}
+ORACLE_SQL = {"op6_exact_topk": topk.ORACLE, "op7_ngram_jaccard": ngram_join.ORACLE, "op12_hard_negatives": hard_negatives.ORACLE}
