@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import alignment, decontaminate, hard_negatives, langid, licenses, ngram_join, packing, pii, quality, sharding, substring_dedup, topk
+from . import alignment, decontaminate, hard_negatives, langid, licenses, ngram_join, packing, pii, pitman_yor, quality, sharding, substring_dedup, topk
 from .session import table
 
 
@@ -24,6 +24,7 @@ QUERIES = {
     "op8_suffix_dedup": _on(substring_dedup.op8_suffix_dedup, "documents"),
     "op9_packing": _on(packing.op9_packing, "documents"),
     "op10_pii": _on(pii.op10_pii, "documents"),
+    "op11_lm_scoring": _on(pitman_yor.op11_lm_scoring, "documents"),
     "op12_hard_negatives": _on(hard_negatives.op12_hard_negatives, "embeddings"),
     "op13_alignment": _on(alignment.op13_alignment, "documents"),
 }
