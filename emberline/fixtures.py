@@ -11,7 +11,7 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 VIEWS = {
     "detections": """
 SELECT event_id AS det_id,
-  round((6200 + (k * 17) % 400) * CAST(0.0034 AS DOUBLE) + ((event_id % 3) - 1) * CAST(0.0008 AS DOUBLE), 5) AS latitude,
+  round((6200 + (k * 17) % 400 + burst) * CAST(0.0034 AS DOUBLE) + ((event_id % 3) - 1) * CAST(0.0008 AS DOUBLE), 5) AS latitude,
   round((20700 + (k * 29) % 397) * CAST(0.0034 AS DOUBLE) + ((event_id % 5) - 2) * CAST(0.0006 AS DOUBLE), 5) AS longitude,
   CAST(CAST(ts AS DATE) AS STRING) AS acq_date,
   lpad(CAST(hour(ts) * 100 + minute(ts) AS STRING), 4, '0') AS acq_time,
@@ -21,8 +21,10 @@ SELECT event_id AS det_id,
   CASE WHEN event_id % 97 = 0 THEN NULL ELSE value / 8 END AS frp,
   CASE event_id % 4 WHEN 0 THEN 'l' WHEN 1 THEN 'n' WHEN 2 THEN 'h' ELSE 'high' END AS confidence,
   CASE WHEN hour(ts) BETWEEN 6 AND 17 THEN 'D' ELSE 'N' END AS daynight
-FROM (SELECT *, CASE WHEN event_id % 4 < 2 THEN user_id % 40
+FROM (SELECT *, CASE WHEN event_id % 8 = 3 THEN CAST(floor(event_id / 8) AS BIGINT) % 9 ELSE 0 END AS burst,
+                CASE WHEN event_id % 4 < 2 THEN user_id % 40
                      WHEN event_id % 4 = 2 THEN 100 + event_id % 401
+                     WHEN event_id % 8 = 3 THEN 40000 + dayofmonth(ts) * 13
                      ELSE 1000 + (event_id * 7919) % 30011 END AS k FROM events) e
 """,
     "facilities": """
@@ -52,12 +54,12 @@ FROM (SELECT g, name, CASE WHEN g % 3 = 0 THEN CAST(0.0 AS DOUBLE) ELSE CAST(0.0
     "regions": """
 SELECT n_name AS name,
   CAST(21.08 AS DOUBLE) + CAST(floor(n_nationkey / 5) AS BIGINT) * CAST(0.25 AS DOUBLE) AS south, CAST(21.33 AS DOUBLE) + CAST(floor(n_nationkey / 5) AS BIGINT) * CAST(0.25 AS DOUBLE) AS north,
-  CAST(70.38 AS DOUBLE) + (n_nationkey % 5) * CAST(0.25 AS DOUBLE) AS west, CAST(70.63 AS DOUBLE) + (n_nationkey % 5) * CAST(0.25 AS DOUBLE) AS east
+  CAST(70.38 AS DOUBLE) + (n_nationkey % 5) * CAST(0.2 AS DOUBLE) AS west, CAST(70.58 AS DOUBLE) + (n_nationkey % 5) * CAST(0.2 AS DOUBLE) AS east
 FROM nation
 """,
     "zones": """
-SELECT 'Zone A' AS zone, CAST(71.63 AS DOUBLE) AS west, CAST(21.08 AS DOUBLE) AS south, CAST(71.80 AS DOUBLE) AS east, CAST(21.80 AS DOUBLE) AS north
-UNION ALL SELECT 'Zone B', CAST(71.63 AS DOUBLE), CAST(21.80 AS DOUBLE), CAST(71.80 AS DOUBLE), CAST(22.50 AS DOUBLE)
+SELECT 'Zone A' AS zone, CAST(71.38 AS DOUBLE) AS west, CAST(21.08 AS DOUBLE) AS south, CAST(71.80 AS DOUBLE) AS east, CAST(21.80 AS DOUBLE) AS north
+UNION ALL SELECT 'Zone B', CAST(71.38 AS DOUBLE), CAST(21.80 AS DOUBLE), CAST(71.80 AS DOUBLE), CAST(22.50 AS DOUBLE)
 """,
     "landcover_cells": """
 SELECT gi, gj, CASE (gi * 7 + gj * 3) % 10 WHEN 0 THEN 10 WHEN 1 THEN 20 WHEN 2 THEN 30 WHEN 3 THEN 40 WHEN 4 THEN 40 WHEN 5 THEN 40
@@ -71,7 +73,7 @@ SELECT l_orderkey AS point_id, CAST(l_shipdate AS DATE) AS scene_date, l_linenum
   l_quantity / 64 AS b08, l_discount AS b12, CAST(l_partkey % 12 AS INT) AS scl FROM lineitem
 """,
     "box_pixels": """
-SELECT vec_id % 60 AS point_id, vec_id AS scene_id, label, embedding FROM embeddings
+SELECT vec_id % 60 AS point_id, vec_id AS scene_id, DATE '2024-01-01' + CAST((CAST(floor(vec_id / 60) AS BIGINT) * 7 + vec_id % 60) % 37 AS INT) AS scene_date, label, embedding FROM embeddings
 """,
     "gold": """
 SELECT concat('G', lpad(CAST(c_custkey AS STRING), 9, '0')) AS sample_id,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import math
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..storage import save
 
@@ -26,26 +28,67 @@ def components(edges: DataFrame) -> DataFrame:
         labels = after
 
 
-def near_pairs(points: DataFrame, group: str, reach: float) -> DataFrame:
-    """(group, u, v) of points (group, pid, x, y) of one group up to ``reach`` apart, each point with itself too: an equi-join
-    on buckets of that size and their neighbours."""
-    cell = lambda c: F.floor(F.col(c) / reach)
-    left = points.select(group, F.col("pid").alias("u"), F.col("x").alias("ux"), F.col("y").alias("uy"), cell("x").alias("cx"), cell("y").alias("cy"))
-    step = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    right = points.select(group, F.col("pid").alias("v"), "x", "y", F.explode(F.transform(step, lambda i: cell("x") + i)).alias("cx"))
-    right = right.withColumn("cy", F.explode(F.transform(step, lambda i: cell("y") + i)))
-    apart = F.sqrt(F.pow(F.col("ux") - F.col("x"), 2) + F.pow(F.col("uy") - F.col("y"), 2))
-    return left.join(right, [group, "cx", "cy"]).where(apart <= reach).select(group, "u", "v")
+def _apart(a: str = "", b: str = "other_") -> Column:
+    return F.sqrt(F.pow(F.col(f"{a}x") - F.col(f"{b}x"), 2) + F.pow(F.col(f"{a}y") - F.col(f"{b}y"), 2))
+
+
+def _beside(rows: DataFrame, cells: tuple[int, ...] = (-2, -1, 0, 1, 2)) -> DataFrame:
+    """Each row once for every cell that can hold a point within reach of it: (cx, cy) is then that cell."""
+    for c in ("cx", "cy"):
+        rows = rows.withColumn(c, F.explode(F.array(*[F.col(c) + i for i in cells])))
+    return rows
+
+
+def _linked_cells(cores: DataFrame, group: str, reach: float) -> DataFrame:
+    """(u, v) of cells, named by u and v, that have cores within ``reach`` of each other, each cell with itself too.
+
+    Most neighbours are settled by their boxes (too far) or by the outermost cores in eight directions (near enough). Of the others, those
+    cores meet that are within reach of the other cell's box."""
+    sides = {"w": F.col("x"), "s": F.col("y"), "sw": F.col("x") + F.col("y"), "nw": F.col("x") - F.col("y")}
+    at = F.struct("x", "y")
+    outer = F.array(*[f(at, side) for side in sides.values() for f in (F.min_by, F.max_by)])
+    name = F.concat_ws("|", group, "cx", "cy")
+    cells = cores.groupBy(group, "cx", "cy").agg(outer.alias("outer"), F.min("x").alias("x_lo"), F.max("x").alias("x_hi"), F.min("y").alias("y_lo"), F.max("y").alias("y_hi"))
+    cells = save(cells.withColumn("cell", name), "core_cells")
+    box = ["cell", "outer", "x_lo", "x_hi", "y_lo", "y_hi"]
+    right = cells.select(group, "cx", "cy", *[F.col(c).alias(f"b_{c}") for c in box])
+    pairs = _beside(cells).join(right, [group, "cx", "cy"]).where(F.col("cell") < F.col("b_cell"))
+    gap = lambda c: F.greatest(F.lit(0.0), F.col(f"{c}_lo") - F.col(f"b_{c}_hi"), F.col(f"b_{c}_lo") - F.col(f"{c}_hi"))
+    near = lambda p, q: F.sqrt(F.pow(p["x"] - q["x"], 2) + F.pow(p["y"] - q["y"], 2)) <= reach
+    pairs = pairs.where(F.sqrt(F.pow(gap("x"), 2) + F.pow(gap("y"), 2)) <= reach)
+    pairs = save(pairs.withColumn("linked", F.exists("outer", lambda p: F.exists("b_outer", lambda q: near(p, q)))).drop("outer", "b_outer"), "cell_pairs")
+    named = cores.select(name.alias("cell"), "x", "y")
+    to_box = lambda b: F.sqrt(sum(F.pow(F.greatest(F.lit(0.0), F.col(f"{b}{c}_lo") - F.col(c), F.col(c) - F.col(f"{b}{c}_hi")), 2) for c in "xy"))
+    open_pairs = pairs.where(~F.col("linked"))
+    left = open_pairs.join(named, "cell").where(to_box("b_") <= reach).select("cell", "b_cell", "x", "y")
+    other = open_pairs.join(named.withColumnRenamed("cell", "b_cell"), "b_cell").where(to_box("") <= reach)
+    met = left.join(other.select("cell", "b_cell", F.col("x").alias("other_x"), F.col("y").alias("other_y")), ["cell", "b_cell"]).where(_apart() <= reach)
+    found = pairs.where("linked").select("cell", "b_cell").unionByName(met.select("cell", "b_cell").distinct()).unionByName(cells.select("cell", F.col("cell").alias("b_cell")))
+    return found.select(F.col("cell").alias("u"), F.col("b_cell").alias("v"))
 
 
 def density_clusters(points: DataFrame, group: str, reach: float, least: int) -> DataFrame:
     """(pid, cluster) of points (group, pid unique over all, x, y): cores have ``least`` points of their group within
-    ``reach``, themselves included; linked cores are one cluster, named after its least pid; a point near a core that
-    isn't one itself belongs to the least such cluster. Points near no core have no row."""
-    pairs = save(near_pairs(points, group, reach), "near_pairs")
-    cores = pairs.groupBy("u").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("u")
-    linked = pairs.join(cores, "u").join(cores.withColumnRenamed("u", "v"), "v").select("u", "v")
-    of_core = components(linked)
-    around = pairs.select(F.col("u").alias("node"), F.col("v").alias("pid")).join(of_core, "node")
-    own = F.min(F.when(F.col("node") == F.col("pid"), F.col("root")))
-    return around.groupBy("pid").agg(F.coalesce(own, F.min("root")).alias("cluster"))
+    ``reach``, themselves included; linked cores are one cluster, named after its least core; a point near a core that
+    isn't one itself belongs to the least such cluster. Points near no core have no row.
+
+    Points lie on a grid whose cells are as wide as ``reach`` / sqrt(2), so that all points of a cell are within reach of each other: a cell
+    with ``least`` points has cores only, and only the points of other cells, fewer than ``least`` in each, are compared with their
+    neighbours. Cells with cores are linked instead of points."""
+    side = reach / math.sqrt(2) * (1 - 1e-12)
+    placed = points.select(group, "pid", "x", "y", F.floor(F.col("x") / side).alias("cx"), F.floor(F.col("y") / side).alias("cy"))
+    counts = placed.groupBy(group, "cx", "cy").agg(F.count("*").alias("n"))
+    placed = save(placed.join(counts, [group, "cx", "cy"]), "placed_points")
+    others = placed.select(group, "cx", "cy", F.col("x").alias("other_x"), F.col("y").alias("other_y"))
+    sparse = placed.where(F.col("n") < least).drop("n")
+    dense_enough = _beside(sparse).join(others, [group, "cx", "cy"]).where(_apart() <= reach).groupBy("pid").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    some = sparse.join(dense_enough.select("pid"), "pid", "left_semi").select(group, "pid", "x", "y", "cx", "cy")
+    cores = save(placed.where(F.col("n") >= least).select(group, "pid", "x", "y", "cx", "cy").unionByName(some), "cores")
+    roots = components(_linked_cells(cores, group, reach))
+    named = cores.withColumn("node", F.concat_ws("|", group, "cx", "cy")).join(roots, "node")
+    names = named.groupBy("root").agg(F.min("pid").alias("cluster"))
+    of_core = save(named.join(names, "root").select(group, "pid", "x", "y", "cx", "cy", "cluster"), "clustered_cores")
+    edge = _beside(sparse.join(of_core.select("pid"), "pid", "left_anti"))
+    beside = of_core.select(group, "cx", "cy", F.col("x").alias("other_x"), F.col("y").alias("other_y"), "cluster")
+    border = edge.join(beside, [group, "cx", "cy"]).where(_apart() <= reach).groupBy("pid").agg(F.min("cluster").alias("cluster"))
+    return of_core.select("pid", "cluster").unionByName(border)

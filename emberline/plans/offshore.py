@@ -10,14 +10,19 @@ from ..functions.scalars import project_sql
 from ..operators import clusters, history as H, spatial
 from ..storage import once
 from . import labels as L
-from .catalog import _scene_stats, det, query
+from .catalog import det, query
 from .oracle import TABLES, sql_list, _DX, _DY, _T
 
 #: Metres beyond the boundary at which a detection in a zone counts as offshore.
-FLOOR = 1_000.0
-#: Of the fixtures, which are sparse; real feeds take 5 km and 10 rows.
-FIRE_REACH, FIRE_LEAST, KNOWN_KM = 20_000.0, 5, 25.0
-SEA_REACH, SEA_DAYS = 2_000.0, 2
+FLOOR = 10_000.0
+#: Fires: how near rows of a cluster stand, how many make one, and kilometres to an event that is known already.
+FIRE_REACH, FIRE_LEAST, KNOWN_KM = 5_000.0, 10, 5.0
+#: A neighbourhood that was active on more days of so many before is persistent.
+FIRE_DAYS, FIRE_ACTIVE = 30, 5
+#: Heat at sea: how near cells of a cluster stand, and how many active days make a cell persistent.
+SEA_REACH, SEA_DAYS = 2_000.0, 5
+#: Metres that a sample point keeps from every detection.
+ISOLATED = 5_000.0
 #: Zones whose persistent heat isn't confirmed to be flares.
 UNCONFIRMED = ("Zone B",)
 
@@ -159,8 +164,12 @@ UNITS = 100_000
 
 def large_fire_events(s, d) -> DataFrame:
     """One row a cluster: acq_date, cluster, detections, total_frp, label (the most frequent, ties by name), x, y, latitude and longitude (means), of
-    agricultural burning and wildfire rows of a day that stand densely; days with fewer than FIRE_LEAST rows have none."""
-    rows = L.labelled(s, d).where(F.col("label").isin("agricultural burning", "wildfire")).select("det_id", "acq_date", "label", "frp", "x", "y", *[F.rint(F.col(c) * UNITS).cast("long").alias(c) for c in ("latitude", "longitude")])
+    agricultural burning and wildfire rows of a complete day (one before the last) that stand densely. Rows whose neighbourhood was active on
+    more than FIRE_ACTIVE of the FIRE_DAYS days before don't count: industry and coal seams burn there every day."""
+    last = det(s, d).agg(F.max("acq_date").alias("last"))
+    rows = L.labelled(s, d).where(F.col("label").isin("agricultural burning", "wildfire")).join(F.broadcast(last), F.col("acq_date") < F.col("last"))
+    kept = H.neighbourhood_days(rows.select("det_id", "gi", "gj", "acq_date"), det(s, d), -FIRE_DAYS, -1).where(F.col("n") <= FIRE_ACTIVE).select("det_id")
+    rows = rows.join(kept, "det_id", "left_semi").select("det_id", "acq_date", "label", "frp", "x", "y", *[F.rint(F.col(c) * UNITS).cast("long").alias(c) for c in ("latitude", "longitude")])
     found = clusters.density_clusters(rows.select("acq_date", F.col("det_id").alias("pid"), "x", "y"), "acq_date", FIRE_REACH, FIRE_LEAST)
     rows = rows.join(found.withColumnRenamed("pid", "det_id"), "det_id")
     each = rows.groupBy("acq_date", "cluster", "label").agg(F.count("*").alias("n"), F.sum("frp").alias("frp"), *[F.sum(c).alias(c) for c in ("x", "y", "latitude", "longitude")])
@@ -172,7 +181,8 @@ def large_fire_events(s, d) -> DataFrame:
 
 
 TABLES |= {
-    "fire_rows": "SELECT det_id, acq_date, label, frp, x, y, latitude, longitude FROM lab WHERE label IN ('agricultural burning', 'wildfire')",
+    "fire_rows": f"""SELECT det_id, acq_date, label, frp, x, y, latitude, longitude FROM lab a WHERE label IN ('agricultural burning', 'wildfire') AND acq_date < (SELECT max(acq_date) FROM det)
+  AND (SELECT count(DISTINCT b.acq_date) FROM det b WHERE abs(a.gi - b.gi) <= 1 AND abs(a.gj - b.gj) <= 1 AND CAST(b.acq_date AS DATE) BETWEEN CAST(a.acq_date AS DATE) - {FIRE_DAYS} AND CAST(a.acq_date AS DATE) - 1) <= {FIRE_ACTIVE}""",
     "fire_pairs": f"SELECT a.det_id AS u, b.det_id AS v FROM fire_rows a JOIN fire_rows b ON a.acq_date = b.acq_date AND sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) <= {FIRE_REACH}",
     "fire_cores": f"SELECT u FROM fire_pairs GROUP BY u HAVING count(*) >= {FIRE_LEAST}",
     "fire_reach": "SELECT u AS node, u AS other FROM fire_cores UNION SELECT r.node, p.v FROM fire_reach r JOIN fire_pairs p ON r.other = p.u WHERE p.v IN (SELECT u FROM fire_cores)",
@@ -202,102 +212,17 @@ def drop_known_events(s, d):
 TABLES["gold_xy"] = "SELECT *, " + ", ".join(f"{c} AS {n}" for n, c in zip("xy", project_sql("latitude", "longitude"))) + " FROM gold"
 
 
-@query("isolated_points", """SELECT g.sample_id FROM gold_xy g WHERE NOT EXISTS (SELECT 1 FROM loc WHERE sqrt(pow(loc.x - g.x, 2) + pow(loc.y - g.y, 2)) < 900)""")
+@query("isolated_points", f"""SELECT g.sample_id FROM gold_xy g WHERE NOT EXISTS (SELECT 1 FROM loc WHERE sqrt(pow(loc.x - g.x, 2) + pow(loc.y - g.y, 2)) < {ISOLATED})""")
 def isolated_points(s, d):
-    """Sample points at least 900 m from every detection."""
+    """Sample points at least ISOLATED metres from every detection."""
     sample = L.projected(view(s, d, "gold")).select(F.col("sample_id").alias("pid"), "x", "y")
     found = L.places(L.detections(s, d)).select(F.col("x").alias("x1"), F.col("y").alias("y1"), F.col("x").alias("x2"), F.col("y").alias("y2"), F.lit(0).cast("long").alias("fid"))
-    near = spatial.within(sample, found, 900.0).where("dist < 900")
+    near = spatial.within(sample, found, ISOLATED).where(F.col("dist") < ISOLATED)
     return sample.join(near.select("pid"), "pid", "left_anti").select(F.col("pid").alias("sample_id"))
 
 
 
 
-# Pixels and scenes
-
-
-_PIX = """SELECT point_id, scene_id, i, abs(v)::DOUBLE * 2 AS b12, (scene_id + i) % 9 <> 0 AND (scene_id + i) % 10 <> 0 AS clear, sqrt(pow(floor(i / 8) - 3.5, 2) + pow(i % 8 - 3.5, 2)) AS off
-  FROM (SELECT point_id, scene_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS i FROM box_pixels) e"""
-_HOT = f"""SELECT p.point_id, p.scene_id, count(*) AS pixels, count(*) FILTER (WHERE clear) AS n_clear, any_value(s.med) AS med, any_value(s.mad) AS mad, max(b12) FILTER (WHERE clear) AS max_b12,
-  count(*) FILTER (WHERE clear AND b12 > s.med + 3.5 * s.mad) AS hot, min(off) FILTER (WHERE clear AND b12 > s.med + 3.5 * s.mad) AS hot_off FROM ({_PIX}) p JOIN (
-  SELECT scene_id, any_value(med) AS med, median(abs(b12 - med)) AS mad FROM (SELECT scene_id, b12, median(b12) OVER (PARTITION BY scene_id) AS med FROM ({_PIX}) q WHERE clear) r GROUP BY scene_id) s USING (scene_id) GROUP BY ALL"""
-
-
-def hot_pixels(s, d) -> DataFrame:
-    """Per scene: clear pixels, their median and MAD, the largest value, hot pixels and how near to the centre the nearest is."""
-    pixels = view(s, d, "box_pixels").select("point_id", "scene_id", F.posexplode("embedding").alias("i", "v"))
-    k = F.col("scene_id") + F.col("i")
-    pixels = pixels.select("point_id", "scene_id", "i", (F.abs(F.col("v")).cast("double") * 2).alias("b12"), ((k % 9 != 0) & (k % 10 != 0)).alias("clear"))
-    middle = pixels.where("clear").groupBy("scene_id").agg(F.percentile("b12", F.lit(0.5)).alias("med"))
-    away = pixels.where("clear").join(middle, "scene_id").groupBy("scene_id").agg(F.max("med").alias("med"), F.percentile(F.abs(F.col("b12") - F.col("med")), F.lit(0.5)).alias("mad"))
-    off = F.sqrt(F.pow(F.floor(F.col("i") / 8) - 3.5, 2) + F.pow(F.col("i") % 8 - 3.5, 2))
-    hot = F.col("clear") & (F.col("b12") > F.col("med") + 3.5 * F.col("mad"))
-    return pixels.join(away, "scene_id").groupBy("point_id", "scene_id").agg(
-        F.count("*").alias("pixels"), F.count_if("clear").alias("n_clear"), F.max("med").alias("med"), F.max("mad").alias("mad"),
-        F.max(F.when(F.col("clear"), F.col("b12"))).alias("max_b12"), F.count_if(hot).alias("hot"), F.min(F.when(hot, off)).alias("hot_off"),
-    )
-
-
-@query("hot_pixels", f"SELECT point_id, scene_id, pixels, n_clear, round(med, 5) AS med, round(mad, 5) AS mad, round(max_b12, 5) AS max_b12, hot, round(hot_off, 4) AS hot_off FROM ({_HOT}) t")
-def hot_pixels_rounded(s, d):
-    r = lambda c, n: F.round(c, n).alias(c)
-    return hot_pixels(s, d).select("point_id", "scene_id", "pixels", "n_clear", r("med", 5), r("mad", 5), r("max_b12", 5), "hot", r("hot_off", 4))
-
-
-_POINT = f"SELECT point_id, count(*) AS scenes, count(*) FILTER (WHERE n_clear >= 50) AS clear_scenes, coalesce(bool_or(n_clear >= 50 AND hot_off <= 2), false) AS hit FROM ({_HOT}) t GROUP BY point_id"
-_VALID = f"SELECT *, clear_scenes >= 2 AS evaluable FROM ({_POINT}) p"
-
-
-def judged_points(s, d) -> DataFrame:
-    clear = F.col("n_clear") >= 50
-    points = hot_pixels(s, d).groupBy("point_id").agg(
-        F.count("*").alias("scenes"), F.count_if(clear).alias("clear_scenes"), F.coalesce(F.bool_or(clear & (F.col("hot_off") <= 2)), F.lit(False)).alias("hit")
-    )
-    return points.withColumn("evaluable", F.col("clear_scenes") >= 2)
-
-
-@query("validation_summary", f"""SELECT point_id % 2 AS zone, count(*) AS points, count(*) FILTER (WHERE evaluable) AS evaluable, count(*) FILTER (WHERE evaluable AND hit) AS hits,
-  round(count(*) FILTER (WHERE evaluable AND hit) / nullif(count(*) FILTER (WHERE evaluable), 0)::DOUBLE, 4) AS rate FROM ({_VALID}) v GROUP BY 1""")
-def validation_summary(s, d):
-    good = F.col("evaluable") & F.col("hit")
-    return judged_points(s, d).groupBy((F.col("point_id") % 2).alias("zone")).agg(
-        F.count("*").alias("points"), F.count_if("evaluable").alias("evaluable"), F.count_if(good).alias("hits"),
-        F.round(F.try_divide(F.count_if(good).cast("double"), F.count_if("evaluable")), 4).alias("rate"),
-    )
-
-
-@query("first_n_evaluable", f"SELECT point_id, hit FROM (SELECT *, row_number() OVER (ORDER BY point_id) AS n FROM ({_VALID}) v WHERE evaluable) t WHERE n <= 15")
-def first_n_evaluable(s, d):
-    """The first fifteen points that can be judged; spares take the place of those that cannot."""
-    return judged_points(s, d).where("evaluable").orderBy("point_id").limit(15).select("point_id", "hit")
-
-
-ANCHORS = (30, 33, 60)
-
-
-def scene_selection(anchors: DataFrame, scenes: DataFrame, days: int = 3, clear: float = 0.3) -> DataFrame:
-    """(point_id, anchor, scene_date): of each point's anchors in turn, the nearest scene within ``days`` days that is clear
-    enough and that no earlier anchor took; ties go to the earlier date. A point's scenes are a small group."""
-    near = anchors.join(scenes.where(F.col("clear") >= clear), "point_id").where(F.abs(F.datediff("scene_date", "anchor")) <= days)
-    choice = F.struct(F.abs(F.datediff("scene_date", "anchor")).alias("apart"), "scene_date")
-    offers = near.groupBy("point_id", "anchor").agg(F.array_sort(F.collect_set(choice)).alias("offers"))
-    turns = offers.groupBy("point_id").agg(F.array_sort(F.collect_list(F.struct("anchor", "offers"))).alias("turns"))
-    start = F.array().cast("array<struct<anchor:date,scene_date:date>>")
-
-    def take(taken, turn):
-        free = F.filter(turn["offers"], lambda o: ~F.exists(taken, lambda t: t["scene_date"] == o["scene_date"]))
-        one = F.array(F.struct(turn["anchor"].alias("anchor"), F.get(free, F.lit(0))["scene_date"].alias("scene_date")))
-        return F.when(F.size(free) > 0, F.concat(taken, one)).otherwise(taken)
-
-    return turns.select("point_id", F.inline(F.aggregate("turns", start, take)))
-
-
-@query("scene_selection")
-def scene_selection_rows(s, d):
-    anchors = view(s, d, "burn_points").select("point_id", F.explode(F.array(*[F.date_add("acq_date", n) for n in ANCHORS])).alias("anchor"))
-    return scene_selection(anchors, _scene_stats(s, d, least=0.0))
-
-
 # Samples
 
 
@@ -317,11 +242,3 @@ def stratified_sample(s, d):
     one = L.labelled(s, d).groupBy("cell").agg(F.min(F.struct(~F.col("is_anomalous"), "det_id", "label", "is_anomalous")).alias("r")).select("cell", "r.det_id", "r.label", "r.is_anomalous")
     nth = F.row_number().over(Window.partitionBy("label", "is_anomalous").orderBy(F.md5(F.concat("cell", F.lit("|7"))), "cell"))
     return one.withColumn("n", nth).where(F.col("n") <= F.when(F.col("is_anomalous"), 10).otherwise(20)).select("det_id", "label", "is_anomalous")
-
-
-@query("offshore_validation", f"""SELECT count(*) AS points, count(*) FILTER (WHERE evaluable) AS evaluable, count(*) FILTER (WHERE evaluable AND hit) AS hits FROM (
-  SELECT * FROM ({_VALID}) v ORDER BY md5(concat(point_id::VARCHAR, '|7')), point_id LIMIT 40) t""")
-def offshore_validation(s, d):
-    """The summary of a seeded sample of forty points."""
-    sample = judged_points(s, d).orderBy(F.md5(F.concat(F.col("point_id").cast("string"), F.lit("|7"))), "point_id").limit(40)
-    return sample.agg(F.count("*").alias("points"), F.count_if("evaluable").alias("evaluable"), F.count_if(F.col("evaluable") & F.col("hit")).alias("hits"))

@@ -8,7 +8,7 @@ import pytest
 from emberline.fixtures import TABLES
 from emberline.operators import spatial
 from emberline.operators import clusters
-from emberline.plans import alerts, catalog, labels, model, offshore, readers, reports  # noqa: F401
+from emberline.plans import alerts, catalog, labels, model, offshore, readers, reports, validation  # noqa: F401
 from emberline.streaming import feeds
 
 SF = "/root/testdata/sf0.001"
@@ -26,7 +26,7 @@ def norm(v):
      "neighbourhood_active_days", "near_critical_site", "asof_scenes", "build_labels",
      "detail_shards", "temporal_split", "spatial_block_split", "pre_split_features", "classification_report", "burn_severity",
      "industrial_subtype", "period_over_period", "months_table", "facility_group_counts", "new_unmapped_source", "map_points", "content_hash",
-     "offshore_columns", "offshore_recurrence", "offshore_clusters", "large_fire_events", "isolated_points", "compare_locations", "hot_pixels", "stratified_sample",
+     "offshore_columns", "offshore_recurrence", "offshore_clusters", "large_fire_events", "isolated_points", "compare_locations", "hot_pixels", "control_points", "offshore_validation", "stratified_sample",
      "read_geojson", "extract_context", "nested_json", "contract_projection", "label_fingerprint", "landcover_majority", "relabel_industrial", "gold_wilson",
      "feature_matrix", "prepare_training", "stream_alert_once", "stream_site_state", "build_alerts", "label_reason", "apply_offshore_rules", "dnbr", "typed_facilities", "check_alerts"],
 )
@@ -84,7 +84,7 @@ def test_scenes_are_used_once(spark):
     day = lambda n: dt.date(2024, 1, n)
     anchors = spark.createDataFrame([(1, day(10)), (1, day(11)), (1, day(25)), (2, day(10))], "point_id int, anchor date")
     scenes = spark.createDataFrame([(1, day(9), 1.0), (1, day(11), 0.9), (1, day(10), 0.1), (1, day(28), 1.0), (2, day(14), 1.0)], "point_id int, scene_date date, clear double")
-    got = {(r.point_id, r.anchor.day, r.scene_date.day) for r in offshore.scene_selection(anchors, scenes).collect()}
+    got = {(r.point_id, r.anchor.day, r.scene_date.day) for r in validation.scene_selection(anchors, scenes).collect()}
     assert got == {(1, 10, 9), (1, 11, 11), (1, 25, 28)}
 
 
