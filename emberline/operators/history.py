@@ -6,6 +6,11 @@ row a day.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import cell_id, grid_key
@@ -47,32 +52,133 @@ def causal_recurrence(rows: DataFrame, lookback: int | None = 90) -> DataFrame:
     )
 
 
-def median(values: Column) -> Column:
-    """Of a sorted array: the mean of the middle one or two; null if empty."""
-    n = F.size(values)
-    at = lambda i: F.get(values, F.floor(i).cast("int"))
-    return F.when(n > 0, (at((n - 1) / 2) + at(n / 2)) / 2)
-
-
 def daily_max(rows: DataFrame) -> DataFrame:
     """Largest power of each site (cell by day or night) and day; null if all are."""
     return rows.where(F.col("daynight").isNotNull()).groupBy("gi", "gj", "daynight", "acq_date").agg(F.max("frp").alias("max_frp"))
 
 
+class RunningMedian:
+    """Median and median absolute deviation of the values added so far, of values that are known beforehand: counts of their ranks
+    in a binary indexed tree, so that each step takes a logarithm's time."""
+
+    def __init__(self, values: np.ndarray):
+        self.sorted = np.sort(values)
+        self.rank = np.argsort(np.argsort(values, kind="stable"), kind="stable").tolist()
+        self.top = 1 << max(len(values).bit_length() - 1, 0)
+        self.tree, self.added, self.value = [0] * (len(values) + 1), 0, self.sorted.tolist()
+
+    def add(self, i: int) -> None:
+        """The ith of the values."""
+        at, tree = self.rank[i] + 1, self.tree
+        while at < len(tree):
+            tree[at] += 1
+            at += at & -at
+        self.added += 1
+
+    def kth(self, k: int) -> float:
+        """The kth smallest value added, from 1."""
+        at, step, tree = 0, self.top, self.tree
+        while step:
+            if at + step < len(tree) and tree[at + step] < k:
+                at += step
+                k -= tree[at]
+            step >>= 1
+        return self.value[at]
+
+    def _up_to(self, x: float) -> int:
+        at, n = int(np.searchsorted(self.sorted, x, side="right")), 0
+        while at:
+            n += self.tree[at]
+            at &= at - 1
+        return n
+
+    def median(self) -> float:
+        n = self.added
+        return (self.kth((n + 1) // 2) + self.kth(n // 2 + 1)) / 2
+
+    def deviation(self, middle: float) -> float:
+        """The median distance from ``middle``."""
+        n, below = self.added, self._up_to(middle)
+        return (self._nth_distance((n + 1) // 2, middle, below) + self._nth_distance(n // 2 + 1, middle, below)) / 2
+
+    def _nth_distance(self, n: int, middle: float, below: int) -> float:
+        """Distances rise to both sides of ``middle``: how many of the n smallest lie below is found by halving."""
+        lo, hi = max(0, n - (self.added - below)), min(n, below)
+        while lo < hi:
+            half = (lo + hi) // 2
+            if middle - self.kth(below - half) < self.kth(below + n - half) - middle:  # the next one below is nearer than the last above
+                lo = half + 1
+            else:
+                hi = half
+        left = middle - self.kth(below - lo + 1) if lo else float("-inf")
+        right = self.kth(below + n - lo) - middle if n > lo else float("-inf")
+        return max(left, right)
+
+
+def prior_statistics(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Median and MAD of the values before each one; NaN with fewer than MIN_PRIOR of them, or if one is NaN."""
+    med, mad = np.full(len(values), np.nan), np.full(len(values), np.nan)
+    lost = np.flatnonzero(np.isnan(values))
+    judged = int(lost[0]) + 1 if len(lost) else len(values)  # from the first missing one on nothing is told
+    if judged <= MIN_PRIOR:
+        return med, mad
+    seen = RunningMedian(values[: judged - 1])
+    for i in range(judged):
+        if i >= MIN_PRIOR:
+            med[i] = seen.median()
+            mad[i] = seen.deviation(med[i])
+        if i < judged - 1:
+            seen.add(i)
+    return med, mad
+
+
+_BASELINES = "gi long, gj long, daynight string, acq_date string, prior_active_days long, med double, mad double"
+
+
+def _site_baselines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows arrive by site and day; a site's days may go on in the next batch."""
+    held: list[pa.RecordBatch] = []
+
+    def judged(rows: pa.Table) -> pa.RecordBatch:
+        new = np.ones(rows.num_rows, dtype=bool)
+        keys = [rows.column(c).combine_chunks() for c in ("gi", "gj", "daynight")]
+        new[1:] = ~np.logical_and.reduce([pc.equal(k[1:], k[:-1]).to_numpy(zero_copy_only=False) for k in keys])
+        starts = np.r_[np.flatnonzero(new), rows.num_rows]
+        values = rows.column("max_frp").to_numpy()
+        prior = np.arange(rows.num_rows) - np.repeat(starts[:-1], np.diff(starts))
+        med, mad = np.full(rows.num_rows, np.nan), np.full(rows.num_rows, np.nan)
+        for lo, hi in zip(starts, starts[1:]):
+            if hi - lo > MIN_PRIOR:
+                med[lo:hi], mad[lo:hi] = prior_statistics(values[lo:hi])
+        columns = [rows.column(c).combine_chunks() for c in ("gi", "gj", "daynight", "acq_date")]
+        columns += [pa.array(prior), pa.array(med, mask=np.isnan(med)), pa.array(mad, mask=np.isnan(mad))]
+        return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _BASELINES.split(", ")])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        last = [batch.column(c)[batch.num_rows - 1] for c in ("gi", "gj", "daynight")]
+        same = np.logical_and.reduce([pc.equal(batch.column(c), v).to_numpy(zero_copy_only=False) for c, v in zip(("gi", "gj", "daynight"), last)])
+        cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0  # the last site may go on
+        if cut:
+            yield judged(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+            held = []
+        elif held and any(held[-1].column(c)[held[-1].num_rows - 1] != v for c, v in zip(("gi", "gj", "daynight"), last)):
+            yield judged(pa.Table.from_batches(held))
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield judged(pa.Table.from_batches(held))
+
+
 def baselines(rows: DataFrame) -> DataFrame:
     """(gi, gj, daynight, acq_date) with prior_active_days, med and mad of the daily maxima strictly before the day.
 
-    A site's days are gathered in one window frame; a site has one row a day at most.
-    """
-    before = Window.partitionBy("gi", "gj", "daynight").orderBy("acq_date").rowsBetween(Window.unboundedPreceding, -1)
-    prior = daily_max(rows).select(
-        "gi", "gj", "daynight", "acq_date", F.count(F.lit(1)).over(before).alias("prior_active_days"),
-        F.array_sort(F.collect_list("max_frp").over(before)).alias("prior"),
-    )
-    judged = F.when((F.col("prior_active_days") >= MIN_PRIOR) & (F.size("prior") == F.col("prior_active_days")), median(F.col("prior")))
-    with_median = prior.withColumn("med", judged)
-    mad = F.when(F.col("med").isNotNull(), median(F.array_sort(F.transform("prior", lambda v: F.abs(v - F.col("med"))))))
-    return with_median.withColumn("mad", mad).drop("prior")
+    Sites are sorted by day within their partition, and each is read once: its running median and MAD take a logarithm's time a day. A site has
+    one row a day at most, so its days are few whatever its rows are."""
+    site = ["gi", "gj", "daynight"]
+    days = daily_max(rows).select(*[F.col(c).cast("long") for c in ("gi", "gj")], "daynight", F.col("acq_date").cast("string"), F.col("max_frp").cast("double"))
+    return days.repartition(*site).sortWithinPartitions(*site, "acq_date").mapInArrow(_site_baselines, _BASELINES)
 
 
 def with_anomaly(rows: DataFrame, history: DataFrame | None = None) -> DataFrame:
