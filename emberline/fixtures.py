@@ -56,6 +56,21 @@ SELECT n_name AS name,
   CAST(21.08 AS DOUBLE) + CAST(floor(n_nationkey / 5) AS BIGINT) * CAST(0.25 AS DOUBLE) AS south, CAST(21.33 AS DOUBLE) + CAST(floor(n_nationkey / 5) AS BIGINT) * CAST(0.25 AS DOUBLE) AS north,
   CAST(70.38 AS DOUBLE) + (n_nationkey % 5) * CAST(0.2 AS DOUBLE) AS west, CAST(70.58 AS DOUBLE) + (n_nationkey % 5) * CAST(0.2 AS DOUBLE) AS east
 FROM nation
+""",
+    "boundary_points": """
+SELECT name, ring, i,
+  round(CAST(70.48 AS DOUBLE) + (k % 5) * CAST(0.2 AS DOUBLE) + CASE ring WHEN 0 THEN CAST(0.08 AS DOUBLE) * (1 + CAST(0.2 AS DOUBLE) * sin(7 * turn)) * cos(turn)
+    WHEN 1 THEN CAST(0.03 AS DOUBLE) * cos(turn) ELSE CAST(0.085 AS DOUBLE) + CAST(0.01 AS DOUBLE) * cos(turn) END, 7) AS longitude,
+  round(CAST(21.205 AS DOUBLE) + CAST(floor(k / 5) AS BIGINT) * CAST(0.25 AS DOUBLE) + CASE ring WHEN 0 THEN CAST(0.1 AS DOUBLE) * (1 + CAST(0.2 AS DOUBLE) * sin(7 * turn)) * sin(turn)
+    WHEN 1 THEN CAST(0.03 AS DOUBLE) * sin(turn) ELSE CAST(0.11 AS DOUBLE) + CAST(0.01 AS DOUBLE) * sin(turn) END, 7) AS latitude
+FROM (SELECT n_name AS name, k, ring, i, i * CAST(6.283185307179586 AS DOUBLE) / n AS turn FROM nation JOIN (
+  SELECT k, ring, row_number() OVER (PARTITION BY k, ring ORDER BY o_orderkey) - 1 AS i, count(*) OVER (PARTITION BY k, ring) AS n FROM (
+    SELECT o_orderkey, (o_orderkey * 7) % 25 AS k, CASE CAST(floor(o_orderkey / 25) AS BIGINT) % 10 WHEN 0 THEN 1 WHEN 5 THEN 2 ELSE 0 END AS ring FROM orders) a) b
+  ON n_nationkey = k) c
+""",
+    "boundary_sides": """
+SELECT name AS fid, ring, longitude AS x1, latitude AS y1, coalesce(lead(longitude) OVER w, first_value(longitude) OVER w) AS x2,
+  coalesce(lead(latitude) OVER w, first_value(latitude) OVER w) AS y2 FROM boundary_points WINDOW w AS (PARTITION BY name, ring ORDER BY i)
 """,
     "zones": """
 SELECT 'Zone A' AS zone, CAST(71.38 AS DOUBLE) AS west, CAST(21.08 AS DOUBLE) AS south, CAST(71.80 AS DOUBLE) AS east, CAST(21.80 AS DOUBLE) AS north

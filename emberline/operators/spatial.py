@@ -53,22 +53,52 @@ def _bucketed(points: DataFrame, cell: float) -> DataFrame:
     return points.withColumn("cx", F.floor(F.col("x") / cell)).withColumn("cy", F.floor(F.col("y") / cell))
 
 
+def cut(segments: DataFrame, longest: float) -> DataFrame:
+    """Segments longer than ``longest`` in parts of that length at most, so that a part's envelope touches few buckets."""
+    length = F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1")))
+    parts = F.greatest(F.lit(1), F.ceil(length / longest)).cast("int")
+    at = lambda c, k: F.when(k == 0, F.col(f"{c}1")).when(k == F.col("parts"), F.col(f"{c}2")).otherwise(F.col(f"{c}1") + (F.col(f"{c}2") - F.col(f"{c}1")) * k / F.col("parts"))
+    split = segments.withColumn("parts", parts).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    ends = {f"{c}{n}": at(c, F.col("part") + n - 1) for c in "xy" for n in (1, 2)}
+    return split.select(*[ends[c].alias(c) if c in ends else F.col(c) for c in segments.columns])
+
+
+def _inside(tests: DataFrame, segments: DataFrame, band: float) -> DataFrame:
+    """``tests`` (fid, test, x, y) whose ray crosses the segments of polygon fid an odd number of times. A point meets only the segments that
+    reach into its own band of y."""
+    rows = F.sequence(F.floor(F.least("y1", "y2") / band), F.floor(F.greatest("y1", "y2") / band))
+    slabs = segments.select("fid", "x1", "y1", "x2", "y2", F.explode(rows).alias("slab"))
+    straddles = (F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y"))
+    rise = F.col("y2") - F.col("y1")
+    crosses = straddles & (F.col("x") < (F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) / F.when(rise != 0, rise) + F.col("x1"))
+    met = tests.withColumn("slab", F.floor(F.col("y") / band)).join(slabs, ["fid", "slab"]).where(crosses)
+    return met.groupBy("fid", "test").agg(F.count("*").alias("n")).where(F.col("n") % 2 == 1).select("fid", "test")
+
+
+#: Envelopes are listed over buckets so many cells wide.
+COARSE = 25
+
+
 def containing(points: DataFrame, segments: DataFrame, cell: float = 4_000.0) -> DataFrame:
-    """(pid, fid) of each point (pid, x, y) and each polygon that contains it.
+    """(pid, fid) of each point (pid, x, y) and each polygon that contains it by the even-odd rule: rings of one fid may be holes or further parts.
 
-    Points meet the polygons whose envelopes touch their bucket, then those polygons' segments.
-    """
+    Cells that hold points are listed for each polygon whose envelope reaches them. A cell that no segment touches lies inside or outside as a
+    whole: its centre is tested once for all of its points. Points of the other cells are tested one by one."""
     envelopes = segments.groupBy("fid").agg(
         F.min(F.least("x1", "x2")).alias("x_lo"), F.max(F.greatest("x1", "x2")).alias("x_hi"),
         F.min(F.least("y1", "y2")).alias("y_lo"), F.max(F.greatest("y1", "y2")).alias("y_hi"),
     )
-    near = _bucketed(points, cell).join(_cells(envelopes, cell, 0.0), ["cx", "cy"])
-    near = near.where(F.col("x").between(F.col("x_lo"), F.col("x_hi")) & F.col("y").between(F.col("y_lo"), F.col("y_hi")))
-    straddles = (F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y"))
-    rise = F.col("y2") - F.col("y1")
-    crosses = straddles & (F.col("x") < (F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) / F.when(rise != 0, rise) + F.col("x1"))
-    hits = near.select("pid", "x", "y", "fid").join(segments, "fid").groupBy("pid", "fid").agg(F.sum(crosses.cast("int")).alias("n"))
-    return hits.where(F.col("n") % 2 == 1).select("pid", "fid")
+    placed = _bucketed(points, cell)
+    held = placed.select("cx", "cy").distinct().select(F.col("cx").alias("px"), F.col("cy").alias("py"), *[F.floor(F.col(c) / COARSE).alias(c) for c in ("cx", "cy")])
+    reaches = lambda c, p: (F.col(p) * cell <= F.col(f"{c}_hi")) & ((F.col(p) + 1) * cell >= F.col(f"{c}_lo"))
+    listed = held.join(_cells(envelopes, cell * COARSE, 0.0), ["cx", "cy"]).where(reaches("x", "px") & reaches("y", "py"))
+    touched = _cells(_envelopes(cut(segments, cell)), cell, cell * 1e-6).select("fid", F.col("cx").alias("px"), F.col("cy").alias("py"), F.lit(True).alias("touched")).distinct()
+    listed = listed.select("fid", "px", "py").join(touched, ["fid", "px", "py"], "left")
+    one = listed.where("touched").join(placed.select("pid", "x", "y", F.col("cx").alias("px"), F.col("cy").alias("py")), ["px", "py"])
+    centre = lambda c: ((F.col(c) + 0.5) * cell).alias(c[1])
+    whole = listed.where("touched IS NULL").select("fid", F.struct("px", "py").alias("test"), centre("px"), centre("py"))
+    inner = _inside(whole, segments, cell).select("fid", F.col("test.px").alias("cx"), F.col("test.py").alias("cy"))
+    return _inside(one.select("fid", F.col("pid").alias("test"), "x", "y"), segments, cell).select(F.col("test").alias("pid"), "fid").unionByName(placed.join(inner, ["cx", "cy"]).select("pid", "fid"))
 
 
 def _envelopes(segments: DataFrame) -> DataFrame:
@@ -95,7 +125,7 @@ def nearest_by_role(points: DataFrame, segments: DataFrame, roles: list[str], bu
     A grid is the index: points meet segments of the neighbouring buckets only, and what finds none there looks further.
     One bucket join serves all roles (``segments`` has a column role); no row where a role has no segment.
     """
-    wide = _envelopes(segments)
+    wide = lambda cell: _envelopes(cut(segments, cell))
     if which:
         least = lambda met: met.groupBy("pid", "role").agg(F.min(F.struct("dist", "fid")).alias("b")).select("pid", "role", "b.*")
     else:
@@ -105,7 +135,7 @@ def nearest_by_role(points: DataFrame, segments: DataFrame, roles: list[str], bu
     present = segments.select("role").distinct()
     left = points.select("pid", "x", "y", F.explode(F.array(*map(F.lit, roles))).alias("role")).join(F.broadcast(present), "role", "left_semi")
     while True:
-        met = _bucketed(left, cell).join(_cells(wide, cell, cell), ["role", "cx", "cy"]).withColumn("dist", segment_distance())
+        met = _bucketed(left, cell).join(_cells(wide(cell), cell, cell), ["role", "cx", "cy"]).withColumn("dist", segment_distance())
         last = cell > extent
         exact = least(met if last else met.where(F.col("dist") <= cell))
         if last:
@@ -126,6 +156,6 @@ def nearest(points: DataFrame, segments: DataFrame, bucket: float = BUCKET, whic
 
 def within(points: DataFrame, segments: DataFrame, radius: float) -> DataFrame:
     """(pid, dist, fid) of each point's nearest segment up to ``radius``: one pass with the radius as bucket."""
-    hits = _bucketed(points, radius).join(_cells(_envelopes(segments), radius, radius), ["cx", "cy"]).withColumn("dist", segment_distance())
+    hits = _bucketed(points, radius).join(_cells(_envelopes(cut(segments, radius)), radius, radius), ["cx", "cy"]).withColumn("dist", segment_distance())
     best = F.min(F.struct("dist", "fid")).alias("b")
     return hits.where(F.col("dist") <= radius).groupBy("pid").agg(best).select("pid", "b.dist", "b.fid")

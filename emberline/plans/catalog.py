@@ -288,14 +288,21 @@ def polygon_tag(s, d):
     return rows.join(L._by_place(L.polygon_tag(L.places(rows), L.context(s, d))), ["latitude", "longitude"]).select("det_id", "osm_industrial_tag")
 
 
-@query("assign_state", "SELECT det_id, min(name) AS state FROM detections LEFT JOIN regions ON latitude >= south AND latitude < north AND longitude >= west AND longitude < east GROUP BY det_id")
+@query("assign_state", "SELECT det_id, state FROM detections LEFT JOIN placed USING (latitude, longitude)")
 def assign_state(s, d):
-    return L.with_region(view(s, d, "detections"), view(s, d, "regions")).select("det_id", "state")
+    return L.with_region(view(s, d, "detections"), L.boundary(s, d)).select("det_id", "state")
 
 
-@query("clip_boundary", "SELECT det_id FROM detections WHERE EXISTS (SELECT 1 FROM regions WHERE latitude >= south AND latitude < north AND longitude >= west AND longitude < east)")
+@query("clip_boundary", f"""SELECT det_id, CASE WHEN state IS NULL THEN 'offshore' ELSE 'land' END AS side, zone FROM detections LEFT JOIN placed USING (latitude, longitude) LEFT JOIN (
+  SELECT det_id, max(zone) AS zone FROM detections JOIN zones ON latitude BETWEEN south AND north AND longitude BETWEEN west AND east GROUP BY det_id) z USING (det_id)
+  WHERE state IS NOT NULL OR zone IS NOT NULL""")
 def clip_boundary(s, d):
-    return L.with_region(view(s, d, "detections"), view(s, d, "regions")).where("state IS NOT NULL").select("det_id")
+    """Rows within the boundary, and rows outside of it that are in a zone at sea, which are tagged."""
+    rows = L.with_region(view(s, d, "detections"), L.boundary(s, d))
+    inside = F.col("latitude").between(F.col("south"), F.col("north")) & F.col("longitude").between(F.col("west"), F.col("east"))
+    zoned = view(s, d, "detections").join(F.broadcast(view(s, d, "zones")), inside).groupBy("det_id").agg(F.max("zone").alias("zone"))
+    side = F.when(F.col("state").isNull(), "offshore").otherwise("land").alias("side")
+    return rows.join(zoned, "det_id", "left").where("state IS NOT NULL OR zone IS NOT NULL").select("det_id", side, "zone")
 
 
 def _placed(name, column, sql):

@@ -158,7 +158,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    make = lambda: with_region(labelled(spark, sf_dir), view(spark, sf_dir, "regions"), view(spark, sf_dir, "detections"))
+    make = lambda: with_region(labelled(spark, sf_dir), boundary(spark, sf_dir), view(spark, sf_dir, "detections"))
     return once(spark, sf_dir, "labelled_by_region", make)
 
 
@@ -167,9 +167,14 @@ def contract(rows: DataFrame) -> DataFrame:
     return rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in CONTRACT_COLUMNS])
 
 
-def with_region(rows: DataFrame, regions: DataFrame, positions: DataFrame | None = None) -> DataFrame:
-    """``rows`` with ``state``: the first region by name that contains the position, else null. ``positions``
+def boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sides of the regions' outlines in degrees: several rings of thousands of corners, of which some are holes."""
+    return view(spark, sf_dir, "boundary_sides").drop("ring")
+
+
+def with_region(rows: DataFrame, sides: DataFrame, positions: DataFrame | None = None) -> DataFrame:
+    """``rows`` with ``state``: the first region by name that contains the position, else null. ``sides``: segments in degrees; ``positions``
     (default: rows) has all positions, where these come cheaper than the rows."""
     points = (rows if positions is None else positions).select(F.struct("latitude", "longitude").alias("pid"), F.col("longitude").alias("x"), F.col("latitude").alias("y")).distinct()
-    inside = spatial.containing(points, spatial.box_segments(regions, "name", projected=False), cell=0.25)
+    inside = spatial.containing(points, sides, cell=0.02)
     return rows.join(_by_place(inside.groupBy("pid").agg(F.min("fid").alias("state"))), ["latitude", "longitude"], "left")

@@ -107,7 +107,7 @@ def label_offshore(s, d):
 
 def persistent_cells(s, d) -> DataFrame:
     """Cells with SEA_DAYS active days or more outside every region, at their mean position."""
-    rows = L.projected(det(s, d)).join(L.with_region(view(s, d, "detections"), view(s, d, "regions")).where("state IS NULL").select("det_id"), "det_id", "left_semi")
+    rows = L.projected(det(s, d)).join(L.with_region(view(s, d, "detections"), spatial.box_segments(view(s, d, "regions"), "name", projected=False)).where("state IS NULL").select("det_id"), "det_id", "left_semi")
     cells = rows.groupBy("cell").agg(F.count("*").alias("detections"), F.countDistinct("acq_date").alias("active_days"), F.avg("x").alias("x"), F.avg("y").alias("y"))
     return cells.where(F.col("active_days") >= SEA_DAYS)
 

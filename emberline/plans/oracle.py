@@ -75,8 +75,9 @@ TABLES = {
     "lab": """SELECT *, CASE WHEN m <> 1 THEN 'unknown' WHEN is_flare THEN 'gas flare' WHEN is_industrial THEN 'industrial' WHEN is_crop THEN 'agricultural burning' ELSE 'wildfire' END AS label,
   CASE WHEN m = 1 THEN 'rule' WHEN m > 1 THEN 'conflict' ELSE 'unknown' END AS label_source
   FROM (SELECT *, is_flare::INT + is_industrial::INT + is_crop::INT + is_wild::INT AS m FROM ruled) t""",
-    "lab_s": """SELECT lab.*, s.state FROM lab LEFT JOIN (SELECT latitude, longitude, min(name) AS state FROM loc JOIN regions
-  ON latitude >= south AND latitude < north AND longitude >= west AND longitude < east GROUP BY ALL) s USING (latitude, longitude)""",
+    "placed": """SELECT latitude, longitude, min(fid) AS state FROM (SELECT p.latitude, p.longitude, fid FROM (SELECT DISTINCT latitude, longitude FROM detections) p JOIN boundary_sides b
+  ON (b.y1 > p.latitude) <> (b.y2 > p.latitude) AND p.longitude < (b.x2 - b.x1) * (p.latitude - b.y1) / (b.y2 - b.y1) + b.x1 GROUP BY ALL HAVING count(*) % 2 = 1) t GROUP BY ALL""",
+    "lab_s": "SELECT lab.*, s.state FROM lab LEFT JOIN placed s USING (latitude, longitude)",
 }
 
 
