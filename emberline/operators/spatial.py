@@ -75,30 +75,41 @@ def _inside(tests: DataFrame, segments: DataFrame, band: float) -> DataFrame:
     return met.groupBy("fid", "test").agg(F.count("*").alias("n")).where(F.col("n") % 2 == 1).select("fid", "test")
 
 
-#: Envelopes are listed over buckets so many cells wide.
-COARSE = 25
+#: Polygons up to so many cells wide are compared with the points of their cells; wider ones settle whole cells first. Envelopes wider than
+#: COARSE cells are listed over buckets of that width.
+SMALL, COARSE = 4, 25
 
 
 def containing(points: DataFrame, segments: DataFrame, cell: float = 4_000.0) -> DataFrame:
     """(pid, fid) of each point (pid, x, y) and each polygon that contains it by the even-odd rule: rings of one fid may be holes or further parts.
 
-    Cells that hold points are listed for each polygon whose envelope reaches them. A cell that no segment touches lies inside or outside as a
-    whole: its centre is tested once for all of its points. Points of the other cells are tested one by one."""
+    For a wide polygon the cells that hold points are listed. A cell that no segment touches lies inside or outside as a
+    whole: its centre is tested once for all of its points. The other points within an envelope are tested one by one."""
+    points, segments = save(points.select("pid", "x", "y"), "points"), save(segments.select("fid", "x1", "y1", "x2", "y2"), "segments")  # read by every branch
     envelopes = segments.groupBy("fid").agg(
         F.min(F.least("x1", "x2")).alias("x_lo"), F.max(F.greatest("x1", "x2")).alias("x_hi"),
         F.min(F.least("y1", "y2")).alias("y_lo"), F.max(F.greatest("y1", "y2")).alias("y_hi"),
     )
+    width = F.greatest(F.col("x_hi") - F.col("x_lo"), F.col("y_hi") - F.col("y_lo"))
     placed = _bucketed(points, cell)
-    held = placed.select("cx", "cy").distinct().select(F.col("cx").alias("px"), F.col("cy").alias("py"), *[F.floor(F.col(c) / COARSE).alias(c) for c in ("cx", "cy")])
+    within_box = F.col("x").between(F.col("x_lo"), F.col("x_hi")) & F.col("y").between(F.col("y_lo"), F.col("y_hi"))
+    one = placed.join(_cells(envelopes.where(width <= cell * SMALL), cell, 0.0), ["cx", "cy"]).where(within_box).select("fid", "pid", "x", "y")
+    wide = envelopes.where(width > cell * SMALL)
+    held = placed.select("cx", "cy").distinct()
+    listed = _cells(wide.where(width <= cell * COARSE), cell, 0.0).join(held, ["cx", "cy"]).select("fid", F.col("cx").alias("px"), F.col("cy").alias("py"))
+    grouped = held.select(F.col("cx").alias("px"), F.col("cy").alias("py"), *[F.floor(F.col(c) / COARSE).alias(c) for c in ("cx", "cy")])
     reaches = lambda c, p: (F.col(p) * cell <= F.col(f"{c}_hi")) & ((F.col(p) + 1) * cell >= F.col(f"{c}_lo"))
-    listed = held.join(_cells(envelopes, cell * COARSE, 0.0), ["cx", "cy"]).where(reaches("x", "px") & reaches("y", "py"))
-    touched = _cells(_envelopes(cut(segments, cell)), cell, cell * 1e-6).select("fid", F.col("cx").alias("px"), F.col("cy").alias("py"), F.lit(True).alias("touched")).distinct()
-    listed = listed.select("fid", "px", "py").join(touched, ["fid", "px", "py"], "left")
-    one = listed.where("touched").join(placed.select("pid", "x", "y", F.col("cx").alias("px"), F.col("cy").alias("py")), ["px", "py"])
-    centre = lambda c: ((F.col(c) + 0.5) * cell).alias(c[1])
-    whole = listed.where("touched IS NULL").select("fid", F.struct("px", "py").alias("test"), centre("px"), centre("py"))
+    widest = grouped.join(_cells(wide.where(width > cell * COARSE), cell * COARSE, 0.0), ["cx", "cy"]).where(reaches("x", "px") & reaches("y", "py"))
+    listed = listed.unionByName(widest.select("fid", "px", "py"))
+    sides = _cells(_envelopes(cut(segments.join(wide.select("fid"), "fid", "left_semi"), cell)), cell, cell * 1e-6)
+    touched = sides.select("fid", F.col("cx").alias("px"), F.col("cy").alias("py"), F.lit(True).alias("touched")).distinct()
+    listed = listed.join(touched, ["fid", "px", "py"], "left")
+    edge = listed.where("touched").join(placed.select("pid", "x", "y", F.col("cx").alias("px"), F.col("cy").alias("py")), ["px", "py"])
+    one = one.unionByName(edge.select("fid", "pid", "x", "y"))
+    centre = lambda c: (F.col(c) + 0.5) * cell
+    whole = listed.where("touched IS NULL").select("fid", F.struct("px", "py").alias("test"), centre("px").alias("x"), centre("py").alias("y"))
     inner = _inside(whole, segments, cell).select("fid", F.col("test.px").alias("cx"), F.col("test.py").alias("cy"))
-    return _inside(one.select("fid", F.col("pid").alias("test"), "x", "y"), segments, cell).select(F.col("test").alias("pid"), "fid").unionByName(placed.join(inner, ["cx", "cy"]).select("pid", "fid"))
+    return _inside(one.withColumnRenamed("pid", "test"), segments, cell).select(F.col("test").alias("pid"), "fid").unionByName(placed.join(inner, ["cx", "cy"]).select("pid", "fid"))
 
 
 def _envelopes(segments: DataFrame) -> DataFrame:
