@@ -333,13 +333,3 @@ def gold_wilson(s, d):
     rows = view(s, d, "gold").where("verified_label <> 'uncertain'").groupBy("label").agg(F.count("*").alias("n"), F.count_if(F.col("label") == F.col("verified_label")).alias("hits"))
     low, high = wilson(F.col("hits"), F.col("n"))
     return rows.select("label", "n", "hits", F.round(low, 6).alias("low"), F.round(high, 6).alias("high"))
-
-
-@query("late_data", """SELECT a.det_id, count(DISTINCT b.acq_date) AS recurrence_count FROM det a JOIN det b ON a.gi = b.gi AND a.gj = b.gj AND b.acq_date <= a.acq_date GROUP BY a.det_id""")
-def late_data(s, d):
-    """Rows in two batches, the later half first: each is judged by days on or before its own, whatever is stored already."""
-    rows = det(s, d)
-    days = H.causal_recurrence(rows.where(F.col("acq_date") >= BATCH).unionByName(rows.where(F.col("acq_date") < BATCH)), None)
-    return rows.join(days, ["gi", "gj", "acq_date"]).select("det_id", "recurrence_count")
-
-

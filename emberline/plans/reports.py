@@ -9,6 +9,8 @@ from ..fixtures import view
 from ..functions import scalars as S
 from ..functions.rules import apply_rules as label_rules
 from ..operators import history as H
+from ..storage import save
+from ..stores import Store, new_folder
 from . import labels as L
 from .alerts import typed, _FUELS
 from .catalog import _GC, _KEY, _NBR, _scene_stats, BATCH, det, numbered, query
@@ -50,12 +52,15 @@ def tile_bounds(s, d):
     return tiles.select("tile", west.alias("west"), south.alias("south"), (west + 3).alias("east"), (south + 3).alias("north"))
 
 
-@query("append_partitions", f"SELECT substr(acq_date, 1, 7) AS month, count(*) AS added FROM (SELECT DISTINCT {', '.join(_KEY)} FROM detections WHERE acq_date >= '{BATCH}') t GROUP BY 1")
+@query("append_partitions", f"SELECT substr(acq_date, 1, 7) AS month, (acq_date >= '{BATCH}')::INT AS batch, acq_date, count(*) AS n FROM (SELECT DISTINCT {', '.join(_KEY)} FROM detections) t GROUP BY ALL")
 def append_partitions(s, d):
+    """Rows a day as the monthly store has them after two appends, of which the second overlaps the first and is run twice."""
     rows = view(s, d, "detections")
-    batch = rows.where(F.col("acq_date") >= BATCH).select(*_KEY).distinct()
-    new = batch.join(rows.where(F.col("acq_date") < BATCH).select(*_KEY), _KEY, "left_anti")
-    return new.groupBy(F.substring("acq_date", 1, 7).alias("month")).agg(F.count("*").alias("added"))
+    store = Store(s, new_folder(s, "store"), rows.schema)
+    pulls = rows.where(F.col("acq_date") < BATCH), rows.where(F.col("acq_date") >= "2024-01-20")
+    for number, pull in ((0, pulls[0]), (1, pulls[1]), (1, pulls[1])):
+        store.append(pull, number, _KEY)
+    return store.rows().groupBy(F.substring("acq_date", 1, 7).alias("month"), "batch", "acq_date").agg(F.count("*").alias("n"))
 
 
 _CODES = " ".join(f"WHEN '{k}' THEN {v}" for k, v in CONFIDENCE_ORDINAL.items())
@@ -177,9 +182,13 @@ def drop_known_ids(s, d):
 
 @query("rescore_window", f"SELECT *, acq_date >= '{BATCH}' AS rescored FROM ({_ALERTS}) t")
 def rescore_window(s, d):
-    alerts = _alerts(s, d)
-    kept = alerts.where(~F.col("acq_date").between(BATCH, "2024-01-31")).withColumn("rescored", F.lit(False))
-    return kept.unionByName(alerts.where(F.col("acq_date") >= BATCH).withColumn("rescored", F.lit(True)))
+    """The alert store after the window from BATCH on was replaced, twice: what is read back."""
+    alerts = save(_alerts(s, d), "alerts")
+    store = Store(s, new_folder(s, "alerts"), alerts.schema)
+    store.write(alerts.where(F.col("acq_date") != "2024-01-27"), 0)
+    for _ in range(2):
+        store.replace(BATCH, "2024-01-31", alerts.where(F.col("acq_date") >= BATCH), 1)
+    return store.rows().select(*alerts.columns, (F.col("batch") == 1).alias("rescored"))
 
 
 @query("mode_label", "SELECT cell, label FROM (SELECT cell, label, row_number() OVER (PARTITION BY cell ORDER BY count(*) DESC, label) AS n FROM lab GROUP BY cell, label) t WHERE n = 1")
