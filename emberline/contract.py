@@ -34,8 +34,25 @@ FACILITY_SUBTYPE = {
     "cement_plant": "Cement", "chemical_plant": "Chemical / petrochemical",
 }
 TAG_SUBTYPE = {
-    "refinery": "Refinery / oil & gas", "oil": "Refinery / oil & gas", "gas": "Refinery / oil & gas", "mine": "Mine / coal-seam fire",
-    "steel": "Steel", "steel_mill": "Steel", "cement": "Cement", "cement_plant": "Cement",
+    "refinery": "Refinery / oil & gas", "oil": "Refinery / oil & gas", "oil_storage": "Refinery / oil & gas",
+    "petroleum_terminal": "Refinery / oil & gas", "gas": "Refinery / oil & gas", "gas_plant": "Refinery / oil & gas",
+    "natural_gas": "Refinery / oil & gas", "gas_storage": "Refinery / oil & gas", "mine": "Mine / coal-seam fire",
+    "steel": "Steel", "steel_mill": "Steel", "steelmaking": "Steel", "cement": "Cement", "cement_plant": "Cement",
     "chemical": "Chemical / petrochemical", "petrochemical": "Chemical / petrochemical",
 }
 CONFIDENCE_ORDINAL = {"l": 0, "low": 0, "n": 1, "nominal": 1, "h": 2, "high": 2}
+# Classes in the order in which a map draws them, first drawn first.
+DRAW_ORDER = ["unknown", "agricultural burning", "wildfire", "industrial", "gas flare"]
+# What a model sees, in its order.
+FEATURES = [
+    "bright_ti4", "bright_ti4_missing", "bright_ti5", "bright_ti5_missing", "frp", "frp_missing", "confidence_ordinal",
+    "dist_to_industrial_m", "dist_to_industrial_m_missing", "dist_to_flare_capable_m", "dist_to_flare_capable_m_missing",
+    "dist_to_heat_industry_m", "dist_to_heat_industry_m_missing", "recurrence_count", "is_anomalous",
+    "satellite__N", "satellite__1", "satellite__2", "satellite__other", "daynight__D", "daynight__N", "daynight__other",
+    "landcover_class__10", "landcover_class__20", "landcover_class__30", "landcover_class__40", "landcover_class__50", "landcover_class__60",
+    "landcover_class__70", "landcover_class__80", "landcover_class__90", "landcover_class__95", "landcover_class__100", "landcover_class__other",
+    "nearest_flare_facility_type__oil_gas_power_plant", "nearest_flare_facility_type__oil_gas_field", "nearest_flare_facility_type__lng_terminal",
+    "nearest_flare_facility_type__chemical_plant", "nearest_flare_facility_type__other",
+    "nearest_heat_facility_type__cement_plant", "nearest_heat_facility_type__steel_plant", "nearest_heat_facility_type__coal_power_plant",
+    "nearest_heat_facility_type__coal_mine", "nearest_heat_facility_type__chemical_plant", "nearest_heat_facility_type__other",
+]

@@ -262,19 +262,51 @@ def label_reason(s, d):
     return L.labelled(s, d).join(sea, "det_id", "left").select("det_id", reason.alias("reason"))
 
 
+def critical_sites(s, d) -> tuple[DataFrame, DataFrame]:
+    """Critical facilities, and mapped refineries and thermal power plants; both with ``kind`` and ``name``."""
+    sites = L.facilities(s, d).where(F.col("facility_type").isin(CRITICAL_TYPES))
+    boxes = L.context(s, d)
+    thermal = F.coalesce((F.col("power") == "plant") & S.any_of(F.col("plant_source"), THERMAL_FUELS), F.lit(False))
+    kind = F.when(thermal, F.concat(F.lit("power plant ("), "plant_source", F.lit(")"))).when(F.col("industrial") == "refinery", "refinery")
+    named = lambda c: F.coalesce(F.col(c), F.lit("unnamed")).alias("name")
+    return sites.select("*", F.col("facility_type").alias("kind"), named("facility_name")), boxes.drop("name").join(boxes.select("feature_id", named("name")), "feature_id").withColumn("kind", kind).where("kind IS NOT NULL")
+
+
+_SITES = f"""SELECT 0 AS source, facility_id AS id, facility_type AS kind, coalesce(facility_name, 'unnamed') AS name FROM facilities WHERE facility_type IN ({sql_list(CRITICAL_TYPES)})
+  UNION ALL SELECT 1, feature_id, kind, name FROM (SELECT feature_id, CASE WHEN coalesce(power = 'plant' AND {_FUELS}, false) THEN 'power plant (' || plant_source || ')' WHEN industrial = 'refinery' THEN 'refinery' END AS kind,
+    coalesce(name, 'unnamed') AS name FROM ctx) c WHERE kind IS NOT NULL"""
+_NEAR_SITE = f"""SELECT latitude, longitude, source, id, d AS dist_m FROM (SELECT *, row_number() OVER (PARTITION BY latitude, longitude ORDER BY d, source, id) AS nth FROM (
+  SELECT l.latitude, l.longitude, 0 AS source, f.facility_id AS id, sqrt(pow(l.x - f.x, 2) + pow(l.y - f.y, 2)) AS d FROM loc l CROSS JOIN fac f WHERE f.facility_type IN ({sql_list(CRITICAL_TYPES)})
+  UNION ALL SELECT p.latitude, p.longitude, 1, p.fid, p.d FROM pairs p JOIN ({_SITES}) k ON k.source = 1 AND k.id = p.fid) c WHERE d <= {SITE_RADIUS}) t WHERE nth = 1"""
+
+
+@query("critical_sites", _SITES)
+def critical_sites_rows(s, d):
+    sites, boxes = critical_sites(s, d)
+    return sites.select(F.lit(0).alias("source"), F.col("facility_id").alias("id"), "kind", "name").unionByName(boxes.select(F.lit(1).alias("source"), F.col("feature_id").alias("id"), "kind", "name"))
+
+
+def near_critical_site(s, d) -> DataFrame:
+    """(latitude, longitude, source, id, dist_m): the nearest critical site of each position that has one within SITE_RADIUS."""
+    near = L._by_place(near_any(L.places(L.detections(s, d)), *critical_sites(s, d), SITE_RADIUS))
+    return near.select("latitude", "longitude", "source", F.col("fid").alias("id"), F.col("dist").alias("dist_m"))
+
+
+@query("near_critical_site", f"SELECT det_id, kind, name, source, id, round(dist_m, 2) AS dist_m FROM det JOIN ({_NEAR_SITE}) n USING (latitude, longitude) JOIN ({_SITES}) k USING (source, id)")
+def near_critical_site_rows(s, d):
+    found = det(s, d).select("det_id", "latitude", "longitude").join(near_critical_site(s, d), ["latitude", "longitude"])
+    return found.join(critical_sites_rows(s, d), ["source", "id"]).select("det_id", "kind", "name", "source", "id", F.round("dist_m", 2).alias("dist_m"))
+
+
 def critical_site_alerts(s, d) -> DataFrame:
     """(det_id, cell, acq_date, frp, latitude, longitude, dist_m): near a critical site whose neighbourhood was quiet, at most one active day in 90."""
     rows = L.detections(s, d)
-    sites, boxes = L.facilities(s, d).where(F.col("facility_type").isin(CRITICAL_TYPES)), L.context(s, d).where("industrial = 'refinery'")
-    near = L._by_place(near_any(L.places(rows), sites, boxes, SITE_RADIUS)).drop("source", "fid")
-    quiet = H.neighbourhood_days(rows.join(near, ["latitude", "longitude"]), rows, -89, 0).where("n <= 1")
-    return quiet.select("det_id", "cell", "acq_date", "frp", "latitude", "longitude", F.col("dist").alias("dist_m"))
+    quiet = H.neighbourhood_days(rows.join(near_critical_site(s, d), ["latitude", "longitude"]), rows, -89, 0).where("n <= 1")
+    return quiet.select("det_id", "cell", "acq_date", "frp", "latitude", "longitude", "dist_m")
 
 
 _CRITICAL = f"""SELECT det_id, cell, acq_date, frp, latitude, longitude, dist_m FROM (SELECT t.det_id, t.cell, t.acq_date, t.frp, t.latitude, t.longitude, t.dist_m, count(DISTINCT b.acq_date) AS n FROM (
-  SELECT det.*, dist_m FROM det JOIN (SELECT latitude, longitude, min(d) AS dist_m FROM (
-    SELECT l.latitude, l.longitude, sqrt(pow(l.x - f.x, 2) + pow(l.y - f.y, 2)) AS d FROM loc l CROSS JOIN fac f WHERE f.facility_type IN ({sql_list(CRITICAL_TYPES)})
-    UNION ALL SELECT p.latitude, p.longitude, p.d FROM pairs p JOIN ctx ON p.fid = feature_id WHERE industrial = 'refinery') c GROUP BY ALL HAVING min(d) <= {SITE_RADIUS}) near USING (latitude, longitude)) t
+  SELECT det.*, dist_m FROM det JOIN ({_NEAR_SITE}) near USING (latitude, longitude)) t
   JOIN det b ON b.gi BETWEEN t.gi - 1 AND t.gi + 1 AND b.gj BETWEEN t.gj - 1 AND t.gj + 1 AND CAST(b.acq_date AS DATE) BETWEEN CAST(t.acq_date AS DATE) - 89 AND CAST(t.acq_date AS DATE) GROUP BY ALL) u WHERE n <= 1"""
 
 

@@ -255,13 +255,6 @@ def numeric_sentinel(s, d):
     return view(s, d, "detections").select("det_id", *pairs)
 
 
-@query("one_hot", "SELECT det_id, (satellite = 'N')::INT::DOUBLE AS satellite__N, (satellite = '1')::INT::DOUBLE AS satellite__1, (satellite NOT IN ('N', '1'))::INT::DOUBLE AS satellite__other FROM detections")
-def one_hot(s, d):
-    known = ["N", "1"]
-    hot = [F.coalesce((F.col("satellite") == v).cast("int").cast("double"), F.lit(0.0)).alias(f"satellite__{v}") for v in known]
-    return view(s, d, "detections").select("det_id", *hot, F.coalesce((~F.col("satellite").isin(known)).cast("int").cast("double"), F.lit(0.0)).alias("satellite__other"))
-
-
 @query("nbr_index", "SELECT point_id, scene_date, px, scl IN (4, 5, 6, 7) AS valid, round(CASE WHEN b08 + b12 = 0 THEN 0 ELSE (b08 - b12) / (b08 + b12) END, 6) AS nbr FROM scenes")
 def nbr_index(s, d):
     total = F.col("b08") + F.col("b12")
@@ -335,14 +328,6 @@ _placed("nearest_coal", "dist_to_coal_mine_m", "SELECT det_id, round(dist_to_coa
 )
 
 
-@query("near_critical_site", """SELECT det_id, fid AS facility_id, round(d, 2) AS dist_m FROM (SELECT det.det_id, f.facility_id AS fid, sqrt(pow(det.x - f.x, 2) + pow(det.y - f.y, 2)) AS d,
-  row_number() OVER (PARTITION BY det.det_id ORDER BY sqrt(pow(det.x - f.x, 2) + pow(det.y - f.y, 2)), f.facility_id) AS n FROM det CROSS JOIN fac f WHERE f.facility_type <> 'coal_mine') t WHERE n = 1 AND d <= 2000""")
-def near_critical_site(s, d):
-    rows = L.detections(s, d)
-    found = L._by_place(spatial.within(L.places(rows), spatial.point_segments(L.facilities(s, d).where("facility_type <> 'coal_mine'"), "facility_id"), 2_000.0))
-    return rows.join(found, ["latitude", "longitude"]).select("det_id", F.col("fid").alias("facility_id"), F.round("dist", 2).alias("dist_m"))
-
-
 @query("landcover_point", "SELECT det_id, CASE WHEN class_code <> 0 THEN class_code END AS landcover_class FROM det LEFT JOIN landcover_cells USING (gi, gj)")
 def landcover_point(s, d):
     return L.with_landcover(det(s, d), view(s, d, "landcover_cells")).select("det_id", "landcover_class")
@@ -548,11 +533,6 @@ def gold_agreement(s, d):
     return view(s, d, "gold").agg(F.count("*").alias("n"), F.count_if(F.col("verified_label") != "uncertain").alias("decided"), F.count_if(F.col("label") == F.col("verified_label")).alias("hits"))
 
 
-@query("confusion_matrix", "SELECT label AS actual, verified_label AS predicted, count(*) AS n FROM gold GROUP BY ALL")
-def confusion_matrix(s, d):
-    return view(s, d, "gold").groupBy(F.col("label").alias("actual"), F.col("verified_label").alias("predicted")).agg(F.count("*").alias("n"))
-
-
 # Scenes
 
 

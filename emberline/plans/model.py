@@ -2,68 +2,91 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+import uuid
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..contract import CONFIDENCE_ORDINAL, FLARE_TYPES, HEAT_TYPES, LANDCOVER_NAMES
+from ..contract import CLASSES, CONFIDENCE_ORDINAL, FEATURES
 from ..fixtures import view
 from ..functions import scalars as S
 from ..operators import history as H
-from ..storage import once
+from ..storage import once, save, shared_folder
 from . import labels as L
 from .catalog import _GC, det, query
-from .reports import cutoff_of, _CUTOFF
-
-_DISTANCES = ["dist_to_industrial_m", "dist_to_flare_capable_m", "dist_to_heat_industry_m", "dist_to_coal_mine_m", "dist_to_brick_kiln_m"]
-_MEASURED = ["frp", "bright_ti4", "bright_ti5"]
-# The known values of each one-hot block; whatever else is known is "other", and nothing is set for a null.
-_BLOCKS = {
-    "satellite": ["N", "1"], "daynight": ["D"], "landcover_class": [str(k) for k in LANDCOVER_NAMES],
-    "nearest_flare_facility_type": FLARE_TYPES, "nearest_heat_facility_type": HEAT_TYPES,
+from .oracle import sql_list
+from .reports import cutoff_of, spatial_block_split, _CUTOFF
+
+# What stands for a missing number, and the categories of which each value has a column.
+MISSING = {
+    "bright_ti4": -1.0, "bright_ti5": -1.0, "frp": -1.0,
+    "dist_to_industrial_m": 50_000.0, "dist_to_flare_capable_m": 50_000.0, "dist_to_heat_industry_m": 50_000.0,
 }
-FEATURES = [
-    *[f for c in (*_MEASURED, *_DISTANCES) for f in (c, f"{c}_missing")],
-    "confidence_ordinal", "recurrence_count", "is_anomalous", "osm_industrial_tag_present",
-    *[f"{c}__{v}" for c, values in _BLOCKS.items() for v in (*values, "other")],
-]
+CATEGORIES = ["satellite", "daynight", "landcover_class", "nearest_flare_facility_type", "nearest_heat_facility_type"]
+_DISTANCES = [c for c in MISSING if c.startswith("dist_")]
+
+
+def known_values(column: str) -> list[str]:
+    """Of a category, the values that have a column; whatever else is known is "other", and nothing is set for a null."""
+    return [v for c, _, v in (f.partition("__") for f in FEATURES) if c == column and v != "other"]
+
+
 MODEL_CLASSES = ["agricultural burning", "gas flare", "industrial", "wildfire"]
-TREES, DEPTH, SEED = 20, 6, 11
+#: Trees of a class at most, their depth, and how much of each tree's correction is taken.
+TREES, DEPTH, STEP, SEED = 12, 4, 0.3, 11
+
+
+def one_hot_columns(columns: list[str]) -> dict[str, Column]:
+    out = {}
+    for c in columns:
+        text, values = F.col(c).cast("string"), known_values(c)
+        hot = {f"{c}__{v}": text == v for v in values} | {f"{c}__other": ~text.isin(values)}
+        out |= {f: F.coalesce(condition.cast("double"), F.lit(0.0)) for f, condition in hot.items()}
+    return out
 
 
 def feature_columns() -> list[Column]:
     """FEATURES in their order, all double, none null: the same for a batch and for one row."""
-    number = lambda c: F.coalesce(F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")), F.lit(-1.0)).alias(c)
-    missing = lambda c: (F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).cast("double").alias(f"{c}_missing")
-    out = [x for c in (*_MEASURED, *_DISTANCES) for x in (number(c), missing(c))]
-    out += [
-        F.coalesce(S.lookup(F.lower("confidence"), CONFIDENCE_ORDINAL), F.lit(1)).cast("double").alias("confidence_ordinal"),
-        F.coalesce(F.col("recurrence_count").cast("double"), F.lit(1.0)).alias("recurrence_count"),
-        F.coalesce(F.col("is_anomalous").cast("double"), F.lit(0.0)).alias("is_anomalous"),
-        F.coalesce((F.trim("osm_industrial_tag") != "").cast("double"), F.lit(0.0)).alias("osm_industrial_tag_present"),
-    ]
-    for c, values in _BLOCKS.items():
-        text = F.col(c).cast("string")
-        hot = lambda condition, v, c=c: F.coalesce(condition.cast("double"), F.lit(0.0)).alias(f"{c}__{v}")
-        out += [hot(text == v, v) for v in values] + [hot(~text.isin(values), "other")]
-    return out
+    out = one_hot_columns(CATEGORIES)
+    for c, instead in MISSING.items():
+        number = F.col(c).cast("double")
+        lost = number.isNull() | F.isnan(number)
+        out |= {c: F.when(lost, instead).otherwise(number), f"{c}_missing": lost.cast("double")}
+    out["confidence_ordinal"] = F.coalesce(S.lookup(F.lower(F.trim("confidence")), CONFIDENCE_ORDINAL), F.lit(1)).cast("double")
+    out["recurrence_count"] = F.coalesce(F.col("recurrence_count").cast("double"), F.lit(1.0))
+    out["is_anomalous"] = F.coalesce(F.col("is_anomalous").cast("double"), F.lit(0.0))
+    return [out[f].alias(f) for f in FEATURES]
 
 
 def feature_matrix(rows: DataFrame, *keep: str) -> DataFrame:
     return rows.select(*keep, *feature_columns())
 
 
+def _one_hot_sql(columns: list[str]) -> dict[str, str]:
+    out = {}
+    for c in columns:
+        out |= {f"{c}__{v}": f"coalesce(({c}::VARCHAR = '{v}')::INT, 0)::DOUBLE" for v in known_values(c)}
+        out[f"{c}__other"] = f"coalesce(({c}::VARCHAR NOT IN ({sql_list(known_values(c))}))::INT, 0)::DOUBLE"
+    return out
+
+
 def _feature_sql(history: str = "recurrence_count") -> str:
-    out = [x for c in (*_MEASURED, *_DISTANCES) for x in (f"round(coalesce({c}, -1), 2)::DOUBLE AS {c}" if c in _DISTANCES else f"coalesce({c}, -1)::DOUBLE AS {c}", f"({c} IS NULL)::INT::DOUBLE AS {c}_missing")]
+    out = _one_hot_sql(CATEGORIES)
+    for c, instead in MISSING.items():
+        value = f"coalesce({c}, {instead})"
+        out |= {c: f"round({value}, 2)::DOUBLE" if c in _DISTANCES else f"{value}::DOUBLE", f"{c}_missing": f"({c} IS NULL)::INT::DOUBLE"}
     cases = " ".join(f"WHEN '{k}' THEN {v}" for k, v in CONFIDENCE_ORDINAL.items())
-    out += [f"coalesce(CASE lower(confidence) {cases} END, 1)::DOUBLE AS confidence_ordinal", f"coalesce({history}, 1)::DOUBLE AS recurrence_count", "is_anomalous::INT::DOUBLE AS is_anomalous",
-            "coalesce((trim(osm_industrial_tag) <> '')::INT, 0)::DOUBLE AS osm_industrial_tag_present"]
-    for c, values in _BLOCKS.items():
-        known = ", ".join(f"'{v}'" for v in values)
-        out += [f"coalesce(({c}::VARCHAR = '{v}')::INT, 0)::DOUBLE AS \"{c}__{v}\"" for v in values] + [f"coalesce(({c}::VARCHAR NOT IN ({known}))::INT, 0)::DOUBLE AS \"{c}__other\""]
-    return ", ".join(out)
+    out |= {"confidence_ordinal": f"coalesce(CASE lower(confidence) {cases} END, 1)::DOUBLE", "recurrence_count": f"coalesce({history}, 1)::DOUBLE", "is_anomalous": "is_anomalous::INT::DOUBLE"}
+    return ", ".join(f'{out[f]} AS "{f}"' for f in FEATURES)
+
+
+@query("one_hot", "SELECT det_id, " + ", ".join(f'{v} AS "{f}"' for f, v in _one_hot_sql(CATEGORIES).items()) + " FROM feat")
+def one_hot(s, d):
+    return L.labelled(s, d).select("det_id", *[v.alias(f) for f, v in one_hot_columns(CATEGORIES).items()])
 
 
 def _rounded(rows: DataFrame) -> DataFrame:
@@ -93,26 +116,52 @@ def prepare_training_query(s, d):
     return _rounded(prepare_training(s, d))
 
 
-def train_model(rows: DataFrame) -> PipelineModel:
-    """A forest over FEATURES; labels are numbered in alphabetical order."""
-    stages = [
-        StringIndexer(inputCol="label", outputCol="target", stringOrderType="alphabetAsc", handleInvalid="skip"),
-        VectorAssembler(inputCols=FEATURES, outputCol="features"),
-        RandomForestClassifier(labelCol="target", featuresCol="features", numTrees=TREES, maxDepth=DEPTH, seed=SEED),
-    ]
-    return Pipeline(stages=stages).fit(rows)
-
-
-def score_model(rows: DataFrame, model: PipelineModel) -> DataFrame:
-    """``rows`` with model_label and probabilities (label -> probability). Refuses rows that lack a feature of the model."""
-    indexer, assembler, forest = model.stages
-    if lacking := [c for c in assembler.getInputCols() if c not in rows.columns]:
-        raise ValueError(f"the model needs {lacking}")
-    names = F.array(*map(F.lit, indexer.labels))
-    scored = forest.transform(assembler.transform(rows))
-    probability = F.map_from_arrays(names, vector_to_array("probability"))
-    out = scored.withColumn("model_label", F.get(names, F.col("prediction").cast("int"))).withColumn("probabilities", probability)
-    return out.select(*rows.columns, "model_label", "probabilities")
+@dataclass(frozen=True)
+class BoostedTrees:
+    """A boosted model for each class against the others, with the columns it was trained on in their order."""
+
+    features: list[str]
+    classes: list[str]
+    trees: list[GBTClassificationModel]
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        for i, t in enumerate(self.trees):
+            t.write().overwrite().save(f"{path}/class={i}")
+        names = [("feature", i, f) for i, f in enumerate(self.features)] + [("class", i, c) for i, c in enumerate(self.classes)]
+        spark.createDataFrame(names, "kind string, i int, name string").coalesce(1).write.mode("overwrite").json(f"{path}/names")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> BoostedTrees:
+        rows = spark.read.schema("kind string, i int, name string").json(f"{path}/names").orderBy("i").collect()
+        names = {k: [r.name for r in rows if r.kind == k] for k in ("feature", "class")}
+        return BoostedTrees(names["feature"], names["class"], [GBTClassificationModel.load(f"{path}/class={i}") for i in range(len(names["class"]))])
+
+
+def train_model(rows: DataFrame, features: list[str] = FEATURES) -> BoostedTrees:
+    """Boosted trees for each class of ``rows`` against the others. A tenth of the rows, by a hash of all they hold, tells when more trees
+    stop to help."""
+    classes = [r.label for r in rows.select("label").distinct().orderBy("label").collect()]
+    held = F.pmod(F.xxhash64("label", *features), F.lit(10)) == 0
+    table = VectorAssembler(inputCols=features, outputCol="features").transform(rows.withColumn("is_held", held)).select("label", "features", "is_held")
+    table = save(table, "training_vectors")
+    booster = GBTClassifier(labelCol="target", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, validationIndicatorCol="is_held", validationTol=0.01, seed=SEED)
+    return BoostedTrees(list(features), classes, [booster.fit(table.withColumn("target", (F.col("label") == c).cast("double"))) for c in classes])
+
+
+def score_model(rows: DataFrame, model: BoostedTrees) -> DataFrame:
+    """``rows`` with model_label and probabilities (label -> probability, their sum 1). Refuses rows whose features aren't the model's, in its order."""
+    own = [c for c in rows.columns if c in set(model.features) or c in set(FEATURES)]
+    if own != model.features:
+        raise ValueError(f"the model was trained on {model.features}, the rows have {own}")
+    scored = VectorAssembler(inputCols=model.features, outputCol="features").transform(rows)
+    for i, t in enumerate(model.trees):
+        t = t.copy({t.predictionCol: f"prediction{i}", t.rawPredictionCol: f"raw{i}", t.probabilityCol: f"probability{i}"})
+        scored = t.transform(scored).withColumn(f"p{i}", F.get(vector_to_array(f"probability{i}"), F.lit(1)))
+    parts = [F.col(f"p{i}") for i in range(len(model.trees))]
+    share = [p / reduce(Column.__add__, parts) for p in parts]
+    best = F.array_max(F.array(*[F.struct(p.alias("p"), F.lit(-i).alias("i"), F.lit(c).alias("name")) for i, (p, c) in enumerate(zip(parts, model.classes))]))
+    probability = F.map_from_arrays(F.array(*map(F.lit, model.classes)), F.array(*share))
+    return scored.withColumn("model_label", best["name"]).withColumn("probabilities", probability).select(*rows.columns, "model_label", "probabilities")
 
 
 def classify(rows: DataFrame, scored: DataFrame | None) -> DataFrame:
@@ -126,22 +175,35 @@ def classify(rows: DataFrame, scored: DataFrame | None) -> DataFrame:
 
 
 def _training(s, d) -> DataFrame:
-    return once(s, d, "training", lambda: prepare_training(s, d))
+    """``prepare_training`` with ``is_new_cell``: whether the row's cell is one of the newest fifth."""
+    cells = det(s, d).select("det_id", "cell").join(spatial_block_split(s, d).withColumnRenamed("is_test", "is_new_cell"), "cell").drop("cell")
+    return once(s, d, "training", lambda: prepare_training(s, d).join(cells, "det_id"))
 
 
-def scored_rows(s, d) -> DataFrame:
-    def make():
-        model = train_model(_training(s, d).where("NOT is_test"))
-        return score_model(feature_matrix(L.labelled(s, d), "det_id", "label", "acq_date"), model).select("det_id", "label", "acq_date", "model_label", "probabilities")
+_trained: dict[tuple[str, str, str], str] = {}
+
 
+def trained(s, d, split: str) -> BoostedTrees:
+    """The model of the rows that ``split`` (a column of ``_training``) doesn't hold out, trained and written once for an application and input folder, and read back."""
+    key = (s.sparkContext.applicationId, d, split)
+    if key not in _trained:
+        path = f"{shared_folder(s)}/models/{uuid.uuid4().hex}"
+        train_model(_training(s, d).where(~F.col(split))).save(s, path)
+        _trained[key] = path
+    return BoostedTrees.load(s, _trained[key])
+
+
+def scored_rows(s, d) -> DataFrame:
+    make = lambda: score_model(feature_matrix(L.labelled(s, d), "det_id", "label", "acq_date"), trained(s, d, "is_test")).select("det_id", "label", "acq_date", "model_label", "probabilities")
     return once(s, d, "scored", make)
 
 
 @query("train_model")
 def train_model_query(s, d):
-    """What was learned: the features by importance."""
-    model = train_model(_training(s, d).where("NOT is_test"))
-    return s.createDataFrame([(c, float(v)) for c, v in zip(FEATURES, model.stages[-1].featureImportances.toArray())], "feature string, importance double")
+    """What was learned for each class: the features by importance, and how many trees."""
+    model = trained(s, d, "is_test")
+    rows = [(c, f, float(v), t.getNumTrees) for c, t in zip(model.classes, model.trees) for f, v in zip(model.features, t.featureImportances.toArray())]
+    return s.createDataFrame(rows, "label string, feature string, importance double, trees int")
 
 
 @query("score_model")
@@ -154,23 +216,64 @@ def classify_query(s, d):
     return classify(L.labelled(s, d), scored_rows(s, d))
 
 
-def evaluate(scored: DataFrame) -> DataFrame:
-    """(label, support, predicted, hits, precision, recall) of rows with label and model_label."""
-    sides = F.array(F.struct(F.col("label").alias("name"), F.lit(1).alias("t"), F.lit(0).alias("p")), F.struct(F.col("model_label").alias("name"), F.lit(0).alias("t"), F.lit(1).alias("p")))
-    each = scored.select((F.col("label") == F.col("model_label")).cast("int").alias("hit"), F.inline(sides))
-    counts = each.groupBy(F.col("name").alias("label")).agg(F.sum("t").alias("support"), F.sum("p").alias("predicted"), F.sum(F.col("hit") * F.col("t")).alias("hits"))
-    share = lambda n: F.coalesce(F.try_divide(F.col("hits").cast("double"), F.col(n)), F.lit(0.0))
-    return counts.withColumn("precision", share("predicted")).withColumn("recall", share("support"))
+def report(rows: DataFrame, actual: str, predicted: str, labels: list[str]) -> DataFrame:
+    """(label, precision, recall, f1, support) of each of ``labels``, then rows for the accuracy, the plain mean and the mean weighted by support."""
+    sides = F.array(F.struct(F.col(actual).alias("name"), F.lit(1).alias("t"), F.lit(0).alias("p")), F.struct(F.col(predicted).alias("name"), F.lit(0).alias("t"), F.lit(1).alias("p")))
+    each = rows.select((F.col(actual) == F.col(predicted)).cast("int").alias("hit"), F.inline(sides))
+    known = rows.sparkSession.createDataFrame([(c,) for c in labels], "name string")
+    counts = F.broadcast(known).join(each, "name", "left").groupBy(F.col("name").alias("label")).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(a) for c, a in ((F.col("hit") * F.col("t"), "hits"), (F.col("p"), "predicted"), (F.col("t"), "support"))]
+    )
+    ratio = lambda a, b: F.coalesce(F.try_divide(a.cast("double"), b), F.lit(0.0))
+    hits, told, support = F.col("hits"), F.col("predicted"), F.col("support")
+    by_class = counts.select("label", ratio(hits, told).alias("precision"), ratio(hits, support).alias("recall"), ratio(2 * hits, told + support).alias("f1"), "support", "hits")
+    scores = ("precision", "recall", "f1")
+    whole = F.sum("support")
+    mean = by_class.agg(F.lit("macro avg").alias("label"), *[F.avg(c).alias(c) for c in scores], whole.alias("support"))
+    weighted = by_class.agg(F.lit("weighted avg").alias("label"), *[ratio(F.sum(F.col(c) * support), whole).alias(c) for c in scores], whole.alias("support"))
+    right = by_class.agg(F.lit("accuracy").alias("label"), *[ratio(F.sum("hits"), whole).alias(c) for c in scores], whole.alias("support"))
+    return by_class.drop("hits").unionByName(right).unionByName(mean).unionByName(weighted)
+
+
+_REPORT = f"""WITH c AS (SELECT c.label, count(*) FILTER (WHERE g.label = c.label AND verified_label = c.label) AS hits,
+  count(*) FILTER (WHERE g.label = c.label) AS predicted, count(*) FILTER (WHERE verified_label = c.label) AS support
+  FROM gold g, (SELECT unnest([{sql_list(CLASSES)}]) AS label) c GROUP BY c.label),
+r AS (SELECT label, coalesce(hits / nullif(predicted, 0), 0)::DOUBLE AS precision, coalesce(hits / nullif(support, 0), 0)::DOUBLE AS recall,
+  coalesce(2 * hits / nullif(predicted + support, 0), 0)::DOUBLE AS f1, support, hits FROM c)
+SELECT label, precision, recall, f1, support::BIGINT AS support FROM r UNION ALL SELECT 'accuracy', sum(hits) / sum(support), sum(hits) / sum(support), sum(hits) / sum(support), sum(support) FROM r
+UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM r
+UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support), sum(f1 * support) / sum(support), sum(support) FROM r"""
+
+
+@query("classification_report", f"SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM ({_REPORT}) t")
+def classification_report(s, d):
+    r = lambda c: F.round(c, 6).alias(c)
+    return report(view(s, d, "gold"), "verified_label", "label", CLASSES).select("label", r("precision"), r("recall"), r("f1"), "support")
+
+
+def confusion(rows: DataFrame, actual: str, predicted: str, labels: list[str]) -> DataFrame:
+    """(actual, predicted, n) for each pair of ``labels``, 0 where there are no rows."""
+    spark = rows.sparkSession
+    grid = spark.createDataFrame([(a, p) for a in labels for p in labels], "actual string, predicted string")
+    counts = rows.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted")).agg(F.count("*").alias("n"))
+    return grid.join(counts, ["actual", "predicted"], "left").select("actual", "predicted", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query("confusion_matrix", f"""SELECT a.l AS actual, p.l AS predicted, (SELECT count(*) FROM gold WHERE verified_label = a.l AND label = p.l) AS n
+  FROM (SELECT unnest([{sql_list(CLASSES)}]) AS l) a CROSS JOIN (SELECT unnest([{sql_list(CLASSES)}]) AS l) p""")
+def confusion_matrix(s, d):
+    return confusion(view(s, d, "gold"), "verified_label", "label", CLASSES)
 
 
 @query("evaluate_split")
 def evaluate_split(s, d):
-    """Both splits side by side: by date, and by place with the newest fifth of the cells held out."""
-    by_date = scored_rows(s, d).join(_training(s, d).where("is_test").select("det_id"), "det_id", "left_semi")
-    rows = _training(s, d).join(det(s, d).select("det_id", "cell"), "det_id")
-    held = F.pmod(F.xxhash64("cell"), F.lit(5)) == 0
-    by_place = score_model(rows.where(held), train_model(rows.where(~held)))
-    return evaluate(by_date).withColumn("split", F.lit("date")).unionByName(evaluate(by_place).withColumn("split", F.lit("place")))
+    """The report of both splits side by side: by date, and by place with the newest fifth of the cells held out."""
+    parts = []
+    for split, name in (("is_test", "date"), ("is_new_cell", "place")):
+        rows = _training(s, d).where(split)
+        scored = score_model(rows.select("det_id", "label", *FEATURES), trained(s, d, split))
+        parts.append(report(scored, "label", "model_label", MODEL_CLASSES).withColumn("split", F.lit(name)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("train_evaluate")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..contract import CLASSES, CONFIDENCE_ORDINAL, CRITICAL_TYPES, FACILITY_SUBTYPE, NEVER_DUG, REQUIRED_COLUMNS, TAG_SUBTYPE
+from ..contract import CLASSES, CONFIDENCE_ORDINAL, DRAW_ORDER, FACILITY_SUBTYPE, NEVER_DUG, REQUIRED_COLUMNS, TAG_SUBTYPE
 from ..fixtures import view
 from ..functions import scalars as S
 from ..functions.rules import apply_rules as label_rules
@@ -159,13 +159,6 @@ def typed_facilities(s, d):
     return side(sites, "facility", "facility_id").unionByName(side(mapped, "context", "feature_id"))
 
 
-@query("critical_sites", f"""SELECT facility_id AS id, facility_type AS kind FROM facilities WHERE facility_type IN ({sql_list(CRITICAL_TYPES)})
-  UNION ALL SELECT feature_id, 'refinery' FROM ctx WHERE industrial = 'refinery'""")
-def critical_sites(s, d):
-    sites = view(s, d, "facilities").where(F.col("facility_type").isin(CRITICAL_TYPES)).select(F.col("facility_id").alias("id"), F.col("facility_type").alias("kind"))
-    return sites.unionByName(L.context(s, d).where("industrial = 'refinery'").select(F.col("feature_id").alias("id"), F.col("industrial").alias("kind")))
-
-
 _ALERTS = "SELECT cell || '|' || acq_date AS alert_id, acq_date, label, max(frp) AS frp FROM lab WHERE is_anomalous AND label IN ('industrial', 'gas flare') GROUP BY ALL"
 
 
@@ -248,22 +241,6 @@ def pre_split_features(s, d):
     return rows.join(past, ["gi", "gj"], "left").select("det_id", F.coalesce("recurrence_count", F.lit(0)).alias("recurrence_count"), "first_seen", "last_seen")
 
 
-@query("classification_report", f"""SELECT c.label, coalesce(hits / nullif(predicted, 0), 0)::DOUBLE AS precision, coalesce(hits / nullif(support, 0), 0)::DOUBLE AS recall,
-  coalesce(2 * hits / nullif(predicted + support, 0), 0)::DOUBLE AS f1, support FROM (SELECT c.label, count(*) FILTER (WHERE g.label = c.label AND verified_label = c.label) AS hits,
-  count(*) FILTER (WHERE g.label = c.label) AS predicted, count(*) FILTER (WHERE verified_label = c.label) AS support
-  FROM gold g, (SELECT unnest([{sql_list(CLASSES)}]) AS label) c GROUP BY c.label) c""")
-def classification_report(s, d):
-    sides = F.array(F.struct(F.col("label").alias("name"), F.lit(1).alias("p"), F.lit(0).alias("t")), F.struct(F.col("verified_label").alias("name"), F.lit(0).alias("p"), F.lit(1).alias("t")))
-    each = view(s, d, "gold").select((F.col("label") == F.col("verified_label")).cast("int").alias("hit"), F.inline(sides))
-    known = s.createDataFrame([(c,) for c in CLASSES], "name string")
-    by_class = F.broadcast(known).join(each, "name", "left").groupBy(F.col("name").alias("label")).agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(a) for c, a in ((F.col("hit") * F.col("t"), "hits"), (F.col("p"), "predicted"), (F.col("t"), "support"))]
-    )
-    ratio = lambda a, b: F.coalesce(F.try_divide(a.cast("double"), b), F.lit(0.0))
-    hits, predicted, support = F.col("hits"), F.col("predicted"), F.col("support")
-    return by_class.select("label", ratio(hits, predicted).alias("precision"), ratio(hits, support).alias("recall"), ratio(2 * hits, predicted + support).alias("f1"), "support")
-
-
 @query("key_except", f"SELECT DISTINCT 'gone' AS side, cell FROM det WHERE cell NOT IN (SELECT cell FROM det WHERE acq_date >= '{BATCH}') UNION ALL SELECT DISTINCT 'new', cell FROM det WHERE cell NOT IN (SELECT cell FROM det WHERE acq_date < '{BATCH}')")
 def key_except(s, d):
     rows = det(s, d)
@@ -272,9 +249,9 @@ def key_except(s, d):
     return side(old, new, "gone").unionByName(side(new, old, "new"))
 
 
-@query("draw_order", f"SELECT det_id, CASE label {' '.join(f'''WHEN '{c}' THEN {i}''' for i, c in enumerate(reversed(CLASSES)))} END AS priority FROM lab")
+@query("draw_order", f"SELECT det_id, CASE label {' '.join(f'''WHEN '{c}' THEN {i}''' for i, c in enumerate(DRAW_ORDER))} END AS priority FROM lab")
 def draw_order(s, d):
-    rank = S.lookup(F.col("label"), {c: i for i, c in enumerate(reversed(CLASSES))})
+    rank = S.lookup(F.col("label"), {c: i for i, c in enumerate(DRAW_ORDER)})
     return L.labelled(s, d).select("det_id", rank.alias("priority")).orderBy("priority", "det_id")
 
 

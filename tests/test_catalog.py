@@ -9,6 +9,7 @@ from emberline.fixtures import TABLES, view
 from emberline.operators import spatial
 from emberline.operators import clusters, history
 from emberline.plans import alerts, catalog, labels, model, offshore, readers, reports, validation  # noqa: F401
+from emberline import storage
 from emberline.streaming import feeds
 
 SF = "/root/testdata/sf0.001"
@@ -94,6 +95,13 @@ def test_model_refuses_other_features_and_learns(spark):
     trained = model.train_model(model._training(spark, SF))
     with pytest.raises(ValueError):
         model.score_model(labels.labelled(spark, SF).select("det_id"), trained)
+    with pytest.raises(ValueError):  # the same columns in another order
+        model.score_model(model.feature_matrix(labels.labelled(spark, SF)).select(*reversed(model.FEATURES)), trained)
+    trained.save(spark, f"{storage.shared_folder(spark)}/models/test")
+    again = model.BoostedTrees.load(spark, f"{storage.shared_folder(spark)}/models/test")
+    matrix = model.feature_matrix(labels.labelled(spark, SF), "det_id")
+    told = lambda m: sorted((r.det_id, r.model_label, round(sum(r.probabilities.values()), 9)) for r in model.score_model(matrix, m).collect())
+    assert told(again) == told(trained) and {p for *_, p in told(again)} == {1.0}
     row = labels.labelled(spark, SF).orderBy("det_id").limit(1)
     one, batch = model.feature_matrix(row, "det_id").first(), model.feature_matrix(labels.labelled(spark, SF), "det_id").orderBy("det_id").first()
     assert one == batch and one.asDict().keys() == {"det_id", *model.FEATURES}
