@@ -82,6 +82,14 @@ SELECT gi, gj, CASE (gi * 7 + gj * 3) % 10 WHEN 0 THEN 10 WHEN 1 THEN 20 WHEN 2
 FROM (SELECT DISTINCT a.gi + o.di AS gi, a.gj + p.di AS gj FROM
   (SELECT DISTINCT CAST(floor(latitude / CAST(0.0034 AS DOUBLE) + 0.5) AS BIGINT) AS gi, CAST(floor(longitude / CAST(0.0034 AS DOUBLE) + 0.5) AS BIGINT) AS gj FROM detections) a
   CROSS JOIN (SELECT -1 AS di UNION ALL SELECT 0 UNION ALL SELECT 1) o CROSS JOIN (SELECT -1 AS di UNION ALL SELECT 0 UNION ALL SELECT 1) p) t
+""",
+    "landcover_pixels": """
+SELECT row, col, CASE (row * 7 + col * 3) % 10 WHEN 0 THEN 10 WHEN 1 THEN 20 WHEN 2 THEN 30 WHEN 3 THEN 40 WHEN 4 THEN 40 WHEN 5 THEN 40
+    WHEN 6 THEN 50 WHEN 7 THEN 60 WHEN 8 THEN 100 ELSE 0 END AS value
+FROM (SELECT DISTINCT a.r + o.i AS row, a.c + p.i AS col FROM
+  (SELECT DISTINCT CAST(floor(round(latitude / CAST(0.0017 AS DOUBLE), 9)) AS BIGINT) AS r, CAST(floor(round(longitude / CAST(0.0017 AS DOUBLE), 9)) AS BIGINT) AS c FROM detections WHERE det_id % 50 <> 7) a
+  CROSS JOIN (SELECT -2 AS i UNION ALL SELECT -1 UNION ALL SELECT 0 UNION ALL SELECT 1 UNION ALL SELECT 2) o
+  CROSS JOIN (SELECT -2 AS i UNION ALL SELECT -1 UNION ALL SELECT 0 UNION ALL SELECT 1 UNION ALL SELECT 2) p) t
 """,
     "scenes": """
 SELECT l_orderkey AS point_id, CAST(l_shipdate AS DATE) AS scene_date, l_linenumber AS px,

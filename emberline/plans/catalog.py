@@ -328,11 +328,6 @@ _placed("nearest_coal", "dist_to_coal_mine_m", "SELECT det_id, round(dist_to_coa
 )
 
 
-@query("landcover_point", "SELECT det_id, CASE WHEN class_code <> 0 THEN class_code END AS landcover_class FROM det LEFT JOIN landcover_cells USING (gi, gj)")
-def landcover_point(s, d):
-    return L.with_landcover(det(s, d), view(s, d, "landcover_cells")).select("det_id", "landcover_class")
-
-
 @query("tile_for_point", "SELECT det_id, (floor(longitude / 3) * 3)::INT AS tile_lon, (floor(latitude / 3) * 3)::INT AS tile_lat FROM detections")
 def tile_for_point(s, d):
     return view(s, d, "detections").select("det_id", (F.floor(F.col("longitude") / 3) * 3).cast("int").alias("tile_lon"), (F.floor(F.col("latitude") / 3) * 3).cast("int").alias("tile_lat"))

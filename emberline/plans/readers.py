@@ -12,6 +12,7 @@ from ..contract import CLASSES, CONTRACT_COLUMNS
 from ..fixtures import view
 from ..functions import rules, scalars as S
 from ..operators import history as H
+from ..operators.raster import DEGREE, Raster
 from ..storage import shared_folder
 from . import alerts as A, labels as L
 from .catalog import BATCH, det, query
@@ -235,15 +236,44 @@ def median_mad(s, d):
     return rows.join(middle, "cell").groupBy("cell", "med").agg(F.percentile(F.abs(F.col("frp") - F.col("med")), F.lit(0.5)).alias("mad"))
 
 
-@query("landcover_majority", """SELECT gi, gj, arg_min(class_code, (-n) * 1000 + class_code) AS majority FROM (SELECT c.gi, c.gj, l.class_code, count(*) AS n FROM (SELECT DISTINCT gi, gj FROM det) c
-  JOIN landcover_cells l ON l.gi BETWEEN c.gi - 1 AND c.gi + 1 AND l.gj BETWEEN c.gj - 1 AND c.gj + 1 WHERE l.class_code <> 0 GROUP BY ALL) t GROUP BY gi, gj""")
+def landcover_raster(s, d) -> Raster:
+    """Pixels of half a grid cell in tiles of 100 by 100, written once for an application and input folder."""
+    key = (s.sparkContext.applicationId, d)
+    if key not in _rasters:
+        _rasters[key] = Raster(s, new_folder(s, "landcover"), 0.0017, 100)
+        _rasters[key].write(view(s, d, "landcover_pixels"))
+    return _rasters[key]
+
+
+_rasters: dict[tuple[str, str], Raster] = {}
+_PIXEL = "CAST(floor(round({} / 0.0017::DOUBLE, 9)) AS BIGINT)"
+
+
+def _positions(rows: DataFrame) -> DataFrame:
+    return rows.select(F.struct("latitude", "longitude").alias("pid"), "latitude", "longitude").distinct()
+
+
+@query("landcover_point", f"""SELECT det_id, CASE WHEN value <> 0 THEN value END AS landcover_class FROM detections
+  LEFT JOIN landcover_pixels ON row = {_PIXEL.format('latitude')} AND col = {_PIXEL.format('longitude')}""")
+def landcover_point(s, d):
+    """The class of each detection's own pixel; null without data."""
+    rows = view(s, d, "detections").select("det_id", "latitude", "longitude")
+    found = landcover_raster(s, d).at(_positions(rows))
+    return rows.join(L._by_place(found), ["latitude", "longitude"], "left").select("det_id", F.col("value").alias("landcover_class"))
+
+
+#: Metres around a position whose most frequent class is taken.
+BUFFER = 375.0
+_HIGH, _WIDE = f"cos(radians(latitude)) * {BUFFER} / {DEGREE}", f"{BUFFER} / {DEGREE}"
+
+
+@query("landcover_majority", f"""SELECT latitude, longitude, arg_min(value, (-n) * 1000 + value) AS majority FROM (SELECT p.latitude, p.longitude, l.value, count(*) AS n FROM (SELECT DISTINCT latitude, longitude FROM detections) p
+  JOIN landcover_pixels l ON l.row BETWEEN {_PIXEL.format(f'(latitude - {_HIGH})')} AND {_PIXEL.format(f'(latitude + {_HIGH})')}
+  AND l.col BETWEEN {_PIXEL.format(f'(longitude - {_WIDE})')} AND {_PIXEL.format(f'(longitude + {_WIDE})')} WHERE l.value <> 0 GROUP BY ALL) t GROUP BY ALL""")
 def landcover_majority(s, d):
-    """The most frequent class of the pixels around each cell, ties to the smaller code; pixels without data don't count."""
-    around = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    pixels = view(s, d, "landcover_cells").where("class_code <> 0")
-    near = pixels.withColumn("di", F.explode(around)).withColumn("dj", F.explode(around)).select((F.col("gi") + F.col("di")).alias("gi"), (F.col("gj") + F.col("dj")).alias("gj"), "class_code")
-    counts = det(s, d).select("gi", "gj").distinct().join(near, ["gi", "gj"]).groupBy("gi", "gj", "class_code").agg(F.count("*").alias("n"))
-    return counts.groupBy("gi", "gj").agg(F.min_by("class_code", F.struct(-F.col("n"), "class_code")).alias("majority"))
+    """The most frequent class around each position, ties to the smaller code; pixels without data don't count."""
+    found = landcover_raster(s, d).majority(_positions(view(s, d, "detections")), BUFFER)
+    return L._by_place(found).select("latitude", "longitude", F.col("value").alias("majority"))
 
 
 SWEEP = [("recurrence_count", 2.0), ("recurrence_count", 5.0), ("recurrence_count", 10.0), ("frp", 5.0), ("frp", 20.0), ("prior_active_days", 5.0)]
