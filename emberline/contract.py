@@ -8,6 +8,12 @@ CONTRACT_COLUMNS = [
     "dist_to_coal_mine_m", "nearest_coal_source", "dist_to_brick_kiln_m",
     "landcover_class", "recurrence_count", "first_seen", "last_seen", "is_anomalous", "label", "label_source",
 ]
+# Of the contract's columns; the others are strings.
+CONTRACT_TYPES = {
+    **dict.fromkeys(["latitude", "longitude", "bright_ti4", "bright_ti5", "frp"], "double"),
+    **dict.fromkeys([c for c in CONTRACT_COLUMNS if c.startswith("dist_")], "double"),
+    "landcover_class": "int", "recurrence_count": "long", "is_anomalous": "boolean",
+}
 REQUIRED_COLUMNS = ["latitude", "longitude", "acq_date", "acq_time", "satellite", "bright_ti4", "bright_ti5", "frp", "confidence", "daynight"]
 CLASSES = ["industrial", "gas flare", "agricultural burning", "wildfire", "unknown"]
 GRID = 0.0034

@@ -162,15 +162,6 @@ def months_table(s, d):
     )
 
 
-@query("check_consistency", "SELECT label, count(*) AS source_n, count(*) AS export_n, false AS differs FROM lab GROUP BY label")
-def check_consistency(s, d):
-    rows = L.labelled(s, d)
-    source = rows.groupBy("label").agg(F.count("*").alias("source_n"))
-    daily = rows.groupBy("acq_date").agg(*[F.count_if(F.col("label") == c).alias(c) for c in CLASSES])
-    export = daily.unpivot("acq_date", CLASSES, "label", "n").groupBy("label").agg(F.sum("n").alias("export_n")).where("export_n > 0")
-    return source.join(export, "label", "full").withColumn("differs", ~F.col("source_n").eqNullSafe(F.col("export_n")))
-
-
 # Facilities on display
 
 _GROUPED = """SELECT facility_id AS id, 0 AS display_group, replace(facility_type, '_', ' ') AS kind, latitude, longitude FROM facilities

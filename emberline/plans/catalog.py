@@ -10,6 +10,7 @@ from ..contract import CLASSES, CONFIDENCE_ORDINAL, FACILITY_SUBTYPE, FLARE_TYPE
 from ..fixtures import view
 from ..functions import scalars as S
 from ..operators import history as H, spatial
+from ..stores import new_folder
 from . import labels as L
 from .oracle import oracle, sql_list
 
@@ -48,9 +49,22 @@ CASE_CODE = " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(CLASSES))
 # Scans, sources and sinks
 
 
+def read_detections(spark: SparkSession, path: str) -> DataFrame:
+    """Detections from CSV or Parquet, by the path's extension."""
+    kinds = {"bright_ti4": "double", "bright_ti5": "double", "frp": "double", "latitude": "double", "longitude": "double"}
+    schema = "det_id long, " + ", ".join(f"{c} {kinds.get(c, 'string')}" for c in REQUIRED_COLUMNS)
+    if path.endswith(".csv"):
+        return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 @query("scan_detections", f"SELECT {', '.join(['det_id', *REQUIRED_COLUMNS])} FROM detections")
 def scan_detections(s, d):
-    return view(s, d, "detections").select("det_id", *REQUIRED_COLUMNS)
+    """The detections, landed in two files of different kinds and read by their extension."""
+    rows, folder = view(s, d, "detections").select("det_id", *REQUIRED_COLUMNS), new_folder(s, "pull")
+    rows.where(F.col("acq_date") < BATCH).write.option("header", True).csv(f"{folder}/old.csv")
+    rows.where(F.col("acq_date") >= BATCH).write.parquet(f"{folder}/new.parquet")
+    return read_detections(s, f"{folder}/old.csv").unionByName(read_detections(s, f"{folder}/new.parquet"))
 
 
 @query("bbox_filter", "SELECT det_id, latitude, longitude FROM detections WHERE latitude BETWEEN 21.3 AND 22.0 AND longitude BETWEEN 70.6 AND 71.2")
@@ -91,9 +105,27 @@ def coverage_gaps(s, d):
     return _coverage(s, d).groupBy("satellite").agg(F.count("*").alias("days_covered")).withColumn("days_requested", F.lit(31)).where("days_covered < days_requested")
 
 
-@query("load_facilities", "SELECT facility_id, coalesce(facility_type, 'industrial') AS facility_type, latitude, longitude FROM facilities WHERE latitude IS NOT NULL AND longitude IS NOT NULL")
-def load_facilities(s, d):
-    return view(s, d, "facilities").dropna(subset=["latitude", "longitude"]).select("facility_id", F.coalesce("facility_type", F.lit("industrial")).alias("facility_type"), "latitude", "longitude")
+#: Names under which tables give a facility's place.
+ALIASES = {"latitude": ["latitude", "lat"], "longitude": ["longitude", "lon", "lng", "long"]}
+
+
+def load_facilities(rows: DataFrame) -> DataFrame:
+    """``rows`` with latitude and longitude under their own names, those without a place dropped; the type is facility_type, else type, else industrial."""
+    by_name = {c.strip().lower(): c for c in rows.columns}
+    for name, aliases in ALIASES.items():
+        found = next((by_name[a] for a in aliases if a in by_name), None)
+        if found is None:
+            raise ValueError(f"no column for {name} among {rows.columns}")
+        rows = rows.withColumnRenamed(found, name)
+    types = [F.col(by_name[c]) for c in ("facility_type", "type") if c in by_name]
+    return rows.dropna(subset=["latitude", "longitude"]).withColumn("facility_type", F.coalesce(*types, F.lit("industrial")))
+
+
+@query("load_facilities", "SELECT facility_id, coalesce(CASE WHEN facility_id % 5 <> 0 THEN facility_type END, 'industrial') AS facility_type, latitude, longitude FROM facilities WHERE facility_id % 7 <> 0")
+def load_facilities_query(s, d):
+    """Facilities from a table with other column names, places and types missing."""
+    rows = view(s, d, "facilities").select("facility_id", F.when(F.col("facility_id") % 7 != 0, F.col("latitude")).alias("Lat"), F.col("longitude").alias("lng"), F.when(F.col("facility_id") % 5 != 0, F.col("facility_type")).alias("type"))
+    return load_facilities(rows).select("facility_id", "facility_type", "latitude", "longitude")
 
 
 @query("coal_mine_points", f"SELECT facility_id, status, area_km2 FROM facilities WHERE facility_type = 'coal_mine' AND NOT coalesce(lower(status) IN ({sql_list(NEVER_DUG)}), false)")
@@ -113,9 +145,23 @@ def exclude_renewables(s, d):
     return L.context(s, d).select("feature_id", "power", "plant_source")
 
 
-@query("load_history", f"SELECT det_id, latitude, longitude, acq_date, acq_time, satellite, frp, daynight FROM detections WHERE acq_date < '{BATCH}'")
-def load_history(s, d):
-    return view(s, d, "detections").where(F.col("acq_date") < BATCH).select("det_id", "latitude", "longitude", "acq_date", "acq_time", "satellite", "frp", "daynight")
+HISTORY = ["det_id", "latitude", "longitude", "acq_date", "acq_time", "satellite", "frp", "daynight"]
+
+
+def load_history(spark: SparkSession, historical: str, live: str) -> DataFrame:
+    """HISTORY of the historical files and the live monthly partitions, which may lack some columns and have others."""
+    return spark.read.option("mergeSchema", True).parquet(historical).select(*HISTORY).unionByName(spark.read.option("mergeSchema", True).parquet(live).select(*HISTORY))
+
+
+@query("load_history", f"SELECT {', '.join(HISTORY)} FROM detections")
+def load_history_query(s, d):
+    """Both stores as files of several schemas, read as one table."""
+    rows, folder = view(s, d, "detections"), new_folder(s, "history")
+    rows.where(F.col("acq_date") < "2024-01-10").drop("bright_ti5").write.parquet(f"{folder}/old/file=1")
+    rows.where(F.col("acq_date").between("2024-01-10", "2024-01-24")).write.parquet(f"{folder}/old/file=2")
+    live = rows.where(F.col("acq_date") > "2024-01-24").withColumn("label", F.lit("unknown")).withColumn("month", F.substring("acq_date", 1, 7))
+    live.write.partitionBy("month").parquet(f"{folder}/live")
+    return load_history(s, f"{folder}/old", f"{folder}/live")
 
 
 @query("union_by_name", """SELECT facility_id AS id, facility_type AS kind, NULL::VARCHAR AS geom_type FROM facilities UNION ALL SELECT feature_id, NULL, geom_type FROM context_boxes""")
@@ -140,17 +186,6 @@ def region_bbox(s, d):
     return view(s, d, "regions").groupBy("name").agg(F.min("south").alias("south"), F.max("north").alias("north"), F.min("west").alias("west"), F.max("east").alias("east"))
 
 
-_PART = "SELECT acq_date, floor(det_id / 1000) AS part, sha256(string_agg(det_id::VARCHAR, chr(10) ORDER BY det_id)) AS hash FROM detections GROUP BY ALL"
-
-
-@query("content_hash", f"SELECT acq_date, substr(sha256(string_agg(hash, chr(10) ORDER BY part)), 1, 12) AS hash FROM ({_PART}) t GROUP BY acq_date")
-def content_hash(s, d):
-    """Of each day, the hash of the hashes of its ids, a thousand ids at most in each: no day is gathered whole."""
-    part = F.floor(F.col("det_id") / 1000).alias("part")
-    ids = F.transform(F.array_sort(F.collect_list("det_id")), lambda i: i.cast("string"))
-    parts = view(s, d, "detections").groupBy("acq_date", part).agg(F.sha2(F.concat_ws("\n", ids), 256).alias("hash"))
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("part", "hash"))), lambda p: p["hash"])
-    return parts.groupBy("acq_date").agg(F.substring(F.sha2(F.concat_ws("\n", ordered), 256), 1, 12).alias("hash"))
 
 
 # Scalar functions
@@ -424,10 +459,13 @@ def neighbourhood_spread(s, d):
     return H.spread(H.distinct_cell_days(det(s, d)))
 
 
-@query("cell_profile", """SELECT cell, count(*) AS detections, count(DISTINCT acq_date) AS active_days, round(avg((daynight = 'N')::INT), 4) AS night_share, median(frp) AS frp_median,
-  string_agg(DISTINCT acq_date, ',' ORDER BY acq_date) AS dates FROM det GROUP BY cell""")
+@query("cell_profile", """SELECT cell, round(avg(latitude), 6) AS latitude, round(avg(longitude), 6) AS longitude, max(zone) AS zone, count(*) AS detections, count(DISTINCT acq_date) AS active_days, round(avg((daynight = 'N')::INT), 4) AS night_share,
+  median(frp) AS frp_median, string_agg(DISTINCT acq_date, ',' ORDER BY acq_date) AS dates FROM det LEFT JOIN (SELECT det_id, max(zone) AS zone FROM detections JOIN zones ON latitude BETWEEN south AND north AND longitude BETWEEN west AND east GROUP BY det_id) z USING (det_id) GROUP BY cell""")
 def cell_profile(s, d):
-    return det(s, d).groupBy("cell").agg(
+    inside = F.col("latitude").between(F.col("south"), F.col("north")) & F.col("longitude").between(F.col("west"), F.col("east"))
+    zoned = det(s, d).join(F.broadcast(view(s, d, "zones")), inside).groupBy("det_id").agg(F.max("zone").alias("zone"))
+    return det(s, d).join(zoned, "det_id", "left").groupBy("cell").agg(
+        F.round(F.avg("latitude"), 6).alias("latitude"), F.round(F.avg("longitude"), 6).alias("longitude"), F.max("zone").alias("zone"),
         F.count("*").alias("detections"), F.countDistinct("acq_date").alias("active_days"), F.round(F.avg((F.col("daynight") == "N").cast("int")), 4).alias("night_share"),
         F.percentile("frp", F.lit(0.5)).alias("frp_median"), F.concat_ws(",", F.array_sort(F.collect_set("acq_date"))).alias("dates"),
     )
@@ -476,10 +514,18 @@ def stats_cube(s, d):
     return L.labelled_by_region(s, d).groupBy("acq_date", "label", "state").agg(F.count("*").alias("n"), F.count_if("is_anomalous").alias("anomalous"))
 
 
-@query("source_counts", "SELECT label, state, count(*) AS n FROM lab_s GROUP BY GROUPING SETS ((), (label), (state, label))")
+_SETS = "GROUP BY GROUPING SETS ((), (label), (state, label))"
+
+
+@query("source_counts", f"""SELECT label, state, count(*) AS n, count(*) FILTER (WHERE is_anomalous) AS anomalous, max(acq_date) AS latest,
+  count(*) FILTER (WHERE substr(acq_date, 1, 7) = (SELECT max(substr(acq_date, 1, 7)) FROM detections)) AS latest_month FROM lab_s {_SETS}""")
 def source_counts(s, d):
-    rows = L.labelled_by_region(s, d).select("label", "state")
-    return rows.groupingSets([[], ["label"], ["state", "label"]], "label", "state").agg(F.count("*").alias("n")).select("label", "state", "n")
+    """In all, by class, and by class and state: rows, anomalous ones, the latest date, and rows of the latest month of all."""
+    month = F.substring("acq_date", 1, 7)
+    last = view(s, d, "detections").agg(F.max(month).alias("last_month"))
+    rows = L.labelled_by_region(s, d).join(F.broadcast(last)).select("label", "state", "acq_date", "is_anomalous", (month == F.col("last_month")).alias("is_last"))
+    counts = rows.groupingSets([[], ["label"], ["state", "label"]], "label", "state").agg(F.count("*").alias("n"), F.count_if("is_anomalous").alias("anomalous"), F.max("acq_date").alias("latest"), F.count_if("is_last").alias("latest_month"))
+    return counts.select("label", "state", "n", "anomalous", "latest", "latest_month")
 
 
 @query("top_states", "SELECT state, count(*) AS n FROM lab_s WHERE state IS NOT NULL GROUP BY state ORDER BY n DESC, state LIMIT 7")
@@ -498,15 +544,23 @@ def class_mix(s, d):
     return mix.withColumn("share", F.round(F.lit(100.0) * F.col("n") / F.sum("n").over(Window.partitionBy()), 4))
 
 
-@query("landcover_share", "SELECT label, landcover_class, count(*) AS n FROM lab GROUP BY ALL")
+@query("landcover_share", """SELECT coalesce(state, 'outside') AS state, label, landcover_class, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY coalesce(state, 'outside'), label)::DOUBLE, 6) AS share FROM lab_s GROUP BY 1, 2, 3
+  UNION ALL SELECT 'all', label, landcover_class, count(*), round(count(*) / sum(count(*)) OVER (PARTITION BY label)::DOUBLE, 6) FROM lab_s GROUP BY 1, 2, 3""")
 def landcover_share(s, d):
-    return L.labelled(s, d).groupBy("label", "landcover_class").agg(F.count("*").alias("n"))
+    """How the rows of each class are divided among landcovers, in each state and in all."""
+    by_state = L.labelled_by_region(s, d).groupBy(F.coalesce("state", F.lit("outside")).alias("state"), "label", "landcover_class").agg(F.count("*").alias("n"))
+    everywhere = by_state.groupBy("label", "landcover_class").agg(F.sum("n").alias("n")).withColumn("state", F.lit("all"))
+    counts = by_state.unionByName(everywhere)
+    return counts.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("state", "label")), 6))
 
 
-@query("industrial_anomaly_alerts", "SELECT det_id, label, frp, baseline_frp FROM lab WHERE is_anomalous AND label IN ('industrial', 'gas flare') AND frp >= 2 * baseline_frp")
+@query("industrial_anomaly_alerts", """SELECT det_id, label, frp, baseline_frp, round(frp / nullif(baseline_frp, 0), 3) AS frp_vs_normal, prior_active_days, state, CASE WHEN state IS NULL THEN 'Industrial site' ELSE 'Industrial site · ' || state END AS site
+  FROM lab_s WHERE is_anomalous AND label IN ('industrial', 'gas flare') AND frp >= 2 * baseline_frp""")
 def industrial_anomaly_alerts(s, d):
     hot = F.col("is_anomalous") & F.col("label").isin("industrial", "gas flare") & (F.col("frp") >= 2 * F.col("baseline_frp"))
-    return L.labelled(s, d).where(hot).select("det_id", "label", "frp", "baseline_frp")
+    site = F.when(F.col("state").isNull(), "Industrial site").otherwise(F.concat(F.lit("Industrial site · "), "state"))
+    ratio = F.round(F.try_divide(F.col("frp"), F.col("baseline_frp")), 3)
+    return L.labelled_by_region(s, d).where(hot).select("det_id", "label", "frp", "baseline_frp", ratio.alias("frp_vs_normal"), "prior_active_days", "state", site.alias("site"))
 
 
 @query("map_points", f"SELECT row_number() OVER (ORDER BY acq_date, det_id) - 1 AS row_id, CAST(acq_date AS DATE) - DATE '2024-01-01' AS day, CASE label {CASE_CODE} END AS class_id, is_anomalous::INT AS anomaly FROM lab")

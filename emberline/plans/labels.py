@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..contract import CONTRACT_COLUMNS, FLARE_TYPES, HEAT_TYPES, NEVER_DUG
+from ..contract import CONTRACT_COLUMNS, CONTRACT_TYPES, FLARE_TYPES, HEAT_TYPES, NEVER_DUG
 from ..fixtures import view
 from ..functions.rules import apply_rules
 from ..functions.scalars import project
@@ -163,8 +163,9 @@ def labelled_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contract(rows: DataFrame) -> DataFrame:
-    """Exactly the contract's columns in their order; absent ones are null."""
-    return rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in CONTRACT_COLUMNS])
+    """Exactly the contract's columns in their order and of their types; absent ones are null."""
+    typed = lambda c: (F.col(c) if c in rows.columns else F.lit(None)).cast(CONTRACT_TYPES.get(c, "string")).alias(c)
+    return rows.select(*map(typed, CONTRACT_COLUMNS))
 
 
 def boundary(spark: SparkSession, sf_dir: str) -> DataFrame:

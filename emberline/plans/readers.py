@@ -32,10 +32,22 @@ def read_geojson(spark: SparkSession, path: str, properties: str) -> DataFrame:
     geometry = "struct<type:string,coordinates:string>"
     schema = f"type string, features array<struct<type:string,properties:struct<{properties}>,geometry:{geometry}>>"
     features = spark.read.schema(schema).option("multiLine", True).json(path).select(F.explode("features").alias("f"))
-    pair, ring = "array<double>", "array<array<array<double>>>"
-    text = F.col("f.geometry.coordinates")
-    points = F.when(F.col("f.geometry.type") == "Point", F.array(F.from_json(text, pair))).otherwise(F.get(F.from_json(text, ring), F.lit(0)))
-    return features.select("f.properties.*", F.col("f.geometry.type").alias("geom_type"), points.alias("points"))
+    pair = "array<double>"
+    kind, text = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
+    as_ = lambda depth: F.from_json(text, "array<" * depth + pair + ">" * depth)
+    parts = (
+        F.when(kind == "Point", F.array(F.array(F.from_json(text, pair)))).when(kind == "MultiPoint", F.transform(as_(1), lambda p: F.array(p)))
+        .when(kind == "LineString", F.array(as_(1))).when(kind.isin("Polygon", "MultiLineString"), as_(2)).when(kind == "MultiPolygon", F.flatten(as_(3)))
+    )
+    return features.select("f.properties.*", kind.alias("geom_type"), parts.alias("parts"))
+
+
+def geojson_sides(features: DataFrame, fid: str) -> DataFrame:
+    """Segments (fid, x1, y1, x2, y2) of all parts of ``read_geojson``'s features: rings of polygons, also holes; a point gives one of length 0."""
+    parts = features.select(F.col(fid).alias("fid"), F.explode("parts").alias("p"))
+    ends = F.when(F.size("p") == 1, F.array(F.struct(F.col("p")[0].alias("a"), F.col("p")[0].alias("b")))).otherwise(F.zip_with(F.slice("p", 1, F.size("p") - 1), F.slice("p", 2, F.size("p") - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b"))))
+    sides = parts.select("fid", F.explode(ends).alias("s"))
+    return sides.select("fid", *[F.col(f"s.{p}")[i].alias(f"{c}{n}") for n, p in ((1, "a"), (2, "b")) for i, c in enumerate("xy")])
 
 
 @query("read_geojson", "SELECT feature_id, industrial, geom_type, round(min_x, 6) AS min_x, round(max_y, 6) AS max_y FROM (SELECT feature_id, industrial, geom_type, west AS min_x, north AS max_y FROM context_boxes) t")
@@ -51,7 +63,7 @@ def read_geojson_query(s, d):
     grouped = view(s, d, "context_boxes").select(F.floor(F.col("feature_id") / 5_000).alias("part"), feature.alias("f")).groupBy("part").agg(F.concat_ws(",", F.collect_list("f")).alias("all"))
     grouped.select("part", F.concat(F.lit('{"type":"FeatureCollection","features":['), "all", F.lit("]}")).alias("value")).write.partitionBy("part").text(folder)
     found = read_geojson(s, folder, "feature_id:long,industrial:string")
-    edge = lambda f, i: F.round(f(F.transform("points", lambda p: F.get(p, F.lit(i)))), 6)
+    edge = lambda f, i: F.round(f(F.transform(F.flatten("parts"), lambda p: F.get(p, F.lit(i)))), 6)
     return found.select("feature_id", "industrial", "geom_type", edge(F.array_min, 0).alias("min_x"), edge(F.array_max, 1).alias("max_y"))
 
 
@@ -131,29 +143,20 @@ _KEPT = ["latitude", "longitude", "acq_date", "acq_time", "satellite", "frp", "l
 
 @query("contract_projection", f"SELECT {', '.join(_KEPT)} FROM lab")
 def contract_projection(s, d):
-    """The labelled table written in the contract's columns and order, by month, and read back."""
-    folder = new_folder(s, "contract")
-    L.contract(L.labelled(s, d)).withColumn("month", F.substring("acq_date", 1, 7)).write.partitionBy("month").parquet(folder)
-    stored = s.read.parquet(folder).drop("month")
-    assert stored.columns == CONTRACT_COLUMNS
-    return stored.select(*_KEPT)
+    """The labelled table written in the contract's columns, order and types, older dates as CSV, the others as Parquet by month, and read back."""
+    folder, rows = new_folder(s, "contract"), L.contract(L.labelled(s, d))
+    rows.where(F.col("acq_date") < BATCH).write.option("header", True).csv(f"{folder}/old")
+    rows.where(F.col("acq_date") >= BATCH).withColumn("month", F.substring("acq_date", 1, 7)).write.partitionBy("month").parquet(f"{folder}/new")
+    old, new = s.read.schema(rows.schema).option("header", True).csv(f"{folder}/old"), s.read.schema(rows.schema).parquet(f"{folder}/new").drop("month")
+    assert old.columns == new.columns == CONTRACT_COLUMNS
+    return old.unionByName(new).select(*_KEPT)
 
 
-@query("map_meta", """SELECT count(*) AS points, min(acq_date) AS first_date, max(acq_date) AS last_date, """ + ", ".join(f"count(*) FILTER (WHERE label = '{c}') AS \"{c}\"" for c in CLASSES) + """,
-  count(*) FILTER (WHERE label_source = 'rule') AS by_rule FROM lab""")
+@query("map_meta", """SELECT count(*) AS points, min(acq_date) AS base_date, max(acq_date) AS last_date, """ + ", ".join(f"count(*) FILTER (WHERE label = '{c}') AS \"{c}\"" for c in CLASSES) + ", " + ", ".join(
+    f"count(*) FILTER (WHERE label_source = '{c}') AS \"from_{c}\"" for c in ("rule", "conflict", "unknown")) + " FROM lab")
 def map_meta(s, d):
-    return L.labelled(s, d).agg(
-        F.count("*").alias("points"), F.min("acq_date").alias("first_date"), F.max("acq_date").alias("last_date"),
-        *[F.count_if(F.col("label") == c).alias(c) for c in CLASSES], F.count_if(F.col("label_source") == "rule").alias("by_rule"),
-    )
-
-
-@query("check_manifest")
-def check_manifest(s, d):
-    """The input's Parquet files against a manifest of name, size and SHA-256 made of them: status ok, size, checksum, missing or extra."""
-    files = s.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(d)
-    now = files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
-    return compare_manifest(now, now)
+    sources = [F.count_if(F.col("label_source") == c).alias(f"from_{c}") for c in ("rule", "conflict", "unknown")]
+    return L.labelled(s, d).agg(F.count("*").alias("points"), F.min("acq_date").alias("base_date"), F.max("acq_date").alias("last_date"), *[F.count_if(F.col("label") == c).alias(c) for c in CLASSES], *sources)
 
 
 def compare_manifest(now: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from .oracle import sql_list
 
 TEST_SHARE = 0.2
 #: Detections in one file of the exported details.
-SHARD_ROWS = 1_000
+SHARD_ROWS = 10_000
 
 
 def cutoff_of(rows: DataFrame, share: float = TEST_SHARE) -> DataFrame:
@@ -190,10 +190,19 @@ def mode_label(s, d):
     return counts.groupBy("cell").agg(F.min_by("label", F.struct(-F.col("n"), "label")).alias("label"))
 
 
-@query("run_summary", f"SELECT acq_date, count(*) AS fetched, count(*) FILTER (WHERE acq_date < '{BATCH}') AS skipped, count(*) FILTER (WHERE acq_date >= '{BATCH}' AND is_anomalous) AS new_anomalous FROM lab WHERE acq_date >= '2024-01-23' GROUP BY 1")
+_NEW = f"acq_date >= '{BATCH}'"
+_STRONG = "is_anomalous AND label IN ('industrial', 'gas flare') AND frp >= 2 * baseline_frp"
+
+
+@query("run_summary", f"""SELECT acq_date, count(*) AS fetched, count(*) FILTER (WHERE NOT {_NEW}) AS skipped, count(*) FILTER (WHERE {_NEW}) AS added, """ + ", ".join(f"count(*) FILTER (WHERE {_NEW} AND label = '{c}') AS \"{c}\"" for c in CLASSES) + f""",
+  count(*) FILTER (WHERE {_NEW} AND is_anomalous) AS anomalous, count(*) FILTER (WHERE {_NEW} AND {_STRONG}) AS alerts FROM lab WHERE acq_date >= '2024-01-23' GROUP BY 1""")
 def run_summary(s, d):
+    """What a run fetched, skipped as known and added a day, with the labels of the added rows and the alerts among them."""
     rows, new = L.labelled(s, d).where("acq_date >= '2024-01-23'"), F.col("acq_date") >= BATCH
-    return rows.groupBy("acq_date").agg(F.count("*").alias("fetched"), F.count_if(~new).alias("skipped"), F.count_if(new & F.col("is_anomalous")).alias("new_anomalous"))
+    return rows.groupBy("acq_date").agg(
+        F.count("*").alias("fetched"), F.count_if(~new).alias("skipped"), F.count_if(new).alias("added"), *[F.count_if(new & (F.col("label") == c)).alias(c) for c in CLASSES],
+        F.count_if(new & F.col("is_anomalous")).alias("anomalous"), F.count_if(new & F.expr(_STRONG)).alias("alerts"),
+    )
 
 
 _TAGS = ["industrial", "landuse", "power", "man_made"]
@@ -233,12 +242,15 @@ def spatial_block_split(s, d):
     return placed.join(F.broadcast(total)).select("cell", (F.col("row_id") >= cut).alias("is_test"))
 
 
-@query("pre_split_features", f"""SELECT det_id, coalesce(n, 0) AS recurrence_count, first_seen, last_seen FROM det LEFT JOIN (SELECT gi, gj, count(DISTINCT acq_date) AS n,
+@query("pre_split_features", f"""SELECT det_id, coalesce(n, 0) AS recurrence_count, p.first_seen, p.last_seen, acq_date < '{BATCH}' AND is_anomalous AS is_anomalous FROM lab LEFT JOIN (SELECT gi, gj, count(DISTINCT acq_date) AS n,
   min(acq_date) AS first_seen, max(acq_date) AS last_seen FROM det WHERE acq_date < '{BATCH}' GROUP BY gi, gj) p USING (gi, gj)""")
 def pre_split_features(s, d):
-    rows = det(s, d)
-    past = H.recurrence(rows.where(F.col("acq_date") < BATCH))
-    return rows.join(past, ["gi", "gj"], "left").select("det_id", F.coalesce("recurrence_count", F.lit(0)).alias("recurrence_count"), "first_seen", "last_seen")
+    """Features that don't look past the split: history of the rows before it, and anomaly judged among these alone."""
+    rows, old = det(s, d), F.col("acq_date") < BATCH
+    past = H.recurrence(rows.where(old))
+    judged = H.with_anomaly(rows.where(old)).select("det_id", "is_anomalous")
+    out = rows.join(past, ["gi", "gj"], "left").join(judged, "det_id", "left")
+    return out.select("det_id", F.coalesce("recurrence_count", F.lit(0)).alias("recurrence_count"), "first_seen", "last_seen", F.coalesce("is_anomalous", F.lit(False)).alias("is_anomalous"))
 
 
 @query("key_except", f"SELECT DISTINCT 'gone' AS side, cell FROM det WHERE cell NOT IN (SELECT cell FROM det WHERE acq_date >= '{BATCH}') UNION ALL SELECT DISTINCT 'new', cell FROM det WHERE cell NOT IN (SELECT cell FROM det WHERE acq_date < '{BATCH}')")
@@ -255,10 +267,13 @@ def draw_order(s, d):
     return L.labelled(s, d).select("det_id", rank.alias("priority")).orderBy("priority", "det_id")
 
 
-@query("facility_dictionary", "SELECT facility_name AS name, facility_type AS kind, row_number() OVER (ORDER BY facility_name, facility_type) - 1 AS code FROM (SELECT DISTINCT facility_name, facility_type FROM facilities) t")
+@query("facility_dictionary", """SELECT kind, name, source, row_number() OVER (ORDER BY kind, name, source) - 1 AS code FROM (SELECT DISTINCT facility_type AS kind, facility_name AS name, 'facility' AS source FROM facilities
+  UNION SELECT DISTINCT coalesce(industrial, power, landuse, man_made), coalesce(name, 'unnamed'), 'map' FROM ctx) t""")
 def facility_dictionary(s, d):
-    names = view(s, d, "facilities").select(F.col("facility_name").alias("name"), F.col("facility_type").alias("kind")).distinct()
-    return names.withColumn("code", (F.row_number().over(Window.orderBy("name", "kind")) - 1).cast("long"))
+    """A gapless code for each facility on display, in order of kind, name and source; kinds are numbered by themselves."""
+    names = view(s, d, "facilities").select(F.col("facility_type").alias("kind"), F.col("facility_name").alias("name"), F.lit("facility").alias("source"))
+    mapped = L.context(s, d).select(F.coalesce("industrial", "power", "landuse", "man_made").alias("kind"), F.coalesce("name", F.lit("unnamed")).alias("name"), F.lit("map").alias("source"))
+    return numbered(names.unionByName(mapped).distinct(), "kind", "name", "source").select("kind", "name", "source", F.col("row_id").alias("code"))
 
 
 @query("stale_feed", "SELECT satellite, max(acq_date || ' ' || acq_time) AS newest, max(acq_date || ' ' || acq_time) < '2024-01-30 1200' AS stale FROM detections GROUP BY satellite")

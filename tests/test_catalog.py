@@ -4,11 +4,12 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from emberline.fixtures import TABLES, view
 from emberline.operators import spatial
 from emberline.operators import clusters, history
-from emberline.plans import alerts, catalog, labels, model, offshore, readers, reports, validation  # noqa: F401
+from emberline.plans import alerts, catalog, labels, model, offshore, readers, reconcile, reports, validation  # noqa: F401
 from emberline import storage
 from emberline.streaming import feeds
 
@@ -26,7 +27,7 @@ def norm(v):
     ["coverage_segments", "detection_keys", "project_points", "zone_of", "assign_state", "causal_recurrence", "anomaly_baselines",
      "neighbourhood_active_days", "near_critical_site", "asof_scenes", "build_labels",
      "detail_shards", "temporal_split", "spatial_block_split", "pre_split_features", "classification_report", "burn_severity",
-     "industrial_subtype", "period_over_period", "months_table", "facility_group_counts", "new_unmapped_source", "map_points", "content_hash",
+     "industrial_subtype", "period_over_period", "months_table", "facility_group_counts", "new_unmapped_source", "map_points", "content_hash", "check_manifest", "check_consistency", "classification_report", "late_data", "publish_alerts", "landcover_point", "assign_state",
      "offshore_columns", "offshore_recurrence", "offshore_clusters", "large_fire_events", "isolated_points", "compare_locations", "hot_pixels", "control_points", "offshore_validation", "stratified_sample",
      "read_geojson", "extract_context", "nested_json", "contract_projection", "label_fingerprint", "landcover_majority", "relabel_industrial", "gold_wilson",
      "feature_matrix", "prepare_training", "stream_alert_once", "stream_site_state", "build_alerts", "label_reason", "apply_offshore_rules", "dnbr", "typed_facilities", "check_alerts"],
@@ -145,3 +146,44 @@ def test_cloudy_scenes_and_low_tail(spark, tmp_path):
     assert str(r.scene_date) == "1995-03-01" and r.clear == 1.0
     assert r.nbr == pytest.approx(sum(ratios) / 4) and r.p10 == pytest.approx(ratios[0] + 0.3 * (ratios[1] - ratios[0])) and r.p50 == pytest.approx((ratios[1] + ratios[2]) / 2)
     assert catalog._scene_stats(spark, str(tmp_path), least=0.0).count() == 2
+
+
+def test_digests_see_every_change_and_no_order(spark):
+    rows = [(1, "a", 1.5, None), (2, "b", None, "x"), (2, "b", None, "x"), (3, "ab", 2.0, "")]
+    table = lambda r: spark.createDataFrame([("p", *x) for x in r], "part string, n int, t string, frp double, u string")
+    digest = lambda r: reconcile.digests(table(r), "part", ["n", "t", "frp", "u"]).first()
+    plain = digest(rows)
+    assert digest(rows[::-1]) == plain and plain.n == 4
+    changed = [[(1, "a", 1.5, ""), *rows[1:]], [(1, "a", 1.501, None), *rows[1:]], rows[:3], [*rows, rows[0]], [(1, "a1", 1.5, None), *rows[1:]], [rows[0], rows[1], rows[3], rows[3]]]
+    assert len({plain.digest, *(digest(r).digest for r in changed)}) == 7
+
+
+def test_reconcile_reports_each_difference(spark):
+    table = lambda *r: spark.createDataFrame(list(r), "metric string, key string, n long")
+    got = reconcile.reconcile(table(("day", "a", 1), ("day", "b", 2), ("day", "c", 3)), table(("day", "a", 1), ("day", "b", 5), ("day", "d", 4))).collect()
+    assert {(r.key, r.differs) for r in got} == {("a", False), ("b", True), ("c", True), ("d", True)}
+
+
+def test_geojson_of_all_kinds(spark, tmp_path):
+    import json
+
+    square = [[0.0, 0.0], [4.0, 0.0], [4.0, 4.0], [0.0, 4.0], [0.0, 0.0]]
+    hole = [[1.0, 1.0], [2.0, 1.0], [2.0, 2.0], [1.0, 2.0], [1.0, 1.0]]
+    island = [[x + 10, y] for x, y in square]
+    shapes = {"Point": [1.0, 2.0], "MultiPoint": [[1.0, 2.0], [3.0, 4.0]], "LineString": square[:3], "MultiLineString": [square[:3], hole[:2]], "Polygon": [square, hole], "MultiPolygon": [[square, hole], [island]]}
+    features = [{"type": "Feature", "properties": {"fid": k}, "geometry": {"type": k, "coordinates": v}} for k, v in shapes.items()]
+    features.append({"type": "Feature", "properties": {"fid": "none"}, "geometry": None})
+    (tmp_path / "a.json").write_text(json.dumps({"type": "FeatureCollection", "features": features}))
+    found = readers.read_geojson(spark, f"file://{tmp_path}/a.json", "fid:string")
+    sides = readers.geojson_sides(found, "fid")
+    assert {r.fid: r.n for r in sides.groupBy("fid").agg(F.count("*").alias("n")).collect()} == {"Point": 1, "MultiPoint": 2, "LineString": 2, "MultiLineString": 3, "Polygon": 8, "MultiPolygon": 12}
+    points = spark.createDataFrame([(1, 3.0, 3.0), (2, 1.5, 1.5), (3, 13.0, 3.0), (4, 9.0, 9.0)], "pid long, x double, y double")
+    inside = spatial.containing(points, sides.where(F.col("fid").isin("Polygon", "MultiPolygon")), cell=1.0)
+    assert {(r.pid, r.fid) for r in inside.collect()} == {(1, "Polygon"), (1, "MultiPolygon"), (3, "MultiPolygon")}
+
+
+def test_facility_columns_under_other_names(spark):
+    rows = spark.createDataFrame([(1, 2.0, 3.0, None), (2, None, 3.0, "x")], "id int, LAT double, Long double, type string")
+    assert [tuple(r) for r in catalog.load_facilities(rows).select("id", "latitude", "longitude", "facility_type").collect()] == [(1, 2.0, 3.0, "industrial")]
+    with pytest.raises(ValueError):
+        catalog.load_facilities(rows.drop("Long"))
