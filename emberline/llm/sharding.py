@@ -77,15 +77,33 @@ def virtual_slot(*columns, slots: int = SLOTS):
     return F.pmod(F.xxhash64(*columns), F.lit(slots)).cast("int")
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32 and virtual slot of each record; the text itself isn't carried on.
+#: Copies of one record are numbered in so many buckets.
+COPY_BUCKETS = 64
 
-    The CRC is hashed with the id, so null or repeated ids don't fill one slot.
-    """
+
+def sized(docs: DataFrame) -> DataFrame:
+    """doc_id, size, text_crc32 of each record, with a number that tells rows apart and a key that copies share; the text itself isn't carried on."""
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    return docs.select("doc_id", (utf8_bytes() + 16).alias("size"), crc.alias("text_crc32")).withColumn(
-        "virtual_slot", virtual_slot("doc_id", "text_crc32")
-    )
+    rows = docs.select("doc_id", (utf8_bytes() + 16).alias("size"), crc.alias("text_crc32"), F.monotonically_increasing_id().alias("number"))
+    return rows.withColumn("copy_key", F.xxhash64("doc_id", "text_crc32", "size"))
+
+
+def slotted(records: DataFrame, slots: int) -> DataFrame:
+    """``records`` (of ``sized``) with their virtual slot, by the hash of id and CRC.
+
+    Copies of one record (the same id, or none, and the same text) that would fill more than their slot's share are numbered from 0, and the
+    number is hashed too. There are fewer such records than slots, so all tasks know them; which copy gets which number doesn't matter."""
+    total = records.count()
+    hot = F.broadcast(records.groupBy("copy_key").agg(F.count("*").alias("n")).where((F.col("n") > 1) & (F.col("n") * slots > total)).select("copy_key"))
+    single = records.join(hot, "copy_key", "left_anti").withColumn("virtual_slot", virtual_slot("doc_id", "text_crc32", slots=slots))
+    copies = records.join(hot, "copy_key", "left_semi").withColumn("bucket", F.pmod(F.xxhash64("number"), F.lit(COPY_BUCKETS)).cast("int"))
+    counts = copies.groupBy("copy_key", "bucket").agg(F.count("*").alias("n"))
+    before = counts.select("copy_key", "bucket", (F.sum("n").over(Window.partitionBy("copy_key").orderBy("bucket")) - F.col("n")).alias("before"))
+    nth = F.row_number().over(Window.partitionBy("copy_key", "bucket").orderBy("number"))
+    copies = copies.withColumn("nth", nth).join(F.broadcast(before), ["copy_key", "bucket"]).withColumn("copy", F.col("before") + F.col("nth") - 1)
+    copies = copies.withColumn("virtual_slot", virtual_slot("doc_id", "text_crc32", "copy", slots=slots))
+    columns = ["doc_id", "size", "text_crc32", "number", "virtual_slot"]
+    return single.select(*columns).unionByName(copies.select(*columns))
 
 
 def shard_documents(docs: DataFrame, shards: int, slots: int = SLOTS, map_path: str | None = None) -> tuple[DataFrame, list[SlotMap]]:
@@ -103,7 +121,7 @@ def shard_documents(docs: DataFrame, shards: int, slots: int = SLOTS, map_path:
     found = stored_map(spark, map_path) if map_path else None
     maps = [found or first_map(shards, slots)]
     slots = len(maps[0].shard_of)
-    records = save(sized(docs).withColumn("virtual_slot", F.pmod("virtual_slot", F.lit(slots)).cast("int")), "sized")
+    records = save(slotted(save(sized(docs), "sized"), slots), "slotted")
     per_slot = {
         r.virtual_slot: (r.bytes, r.rows)
         for r in records.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).collect()
@@ -123,12 +141,12 @@ def shard_documents(docs: DataFrame, shards: int, slots: int = SLOTS, map_path:
         rows.append((s, shard, filled[shard], current.version))
         filled[shard] += per_slot.get(s, (0, 0))[1]
     placed = spark.createDataFrame(rows, "virtual_slot int, shard int, before long, map_version int")
-    in_slot = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")
+    in_slot = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size", "number")
     return (
         records.withColumn("nth", F.row_number().over(in_slot) - 1)
         .join(F.broadcast(placed), "virtual_slot")
         .withColumn("slot", (F.col("before") + F.col("nth")).cast("long"))
-        .drop("before", "nth"),
+        .drop("before", "nth", "number"),
         maps,
     )
 

@@ -188,3 +188,14 @@ def test_pieces_are_cut_gapless(spark):
         assert all(n == packing.CAPACITY for _, _, n in pieces[1:])
     total = sum(r.length for r in rows)
     assert len({r.sequence_id for r in rows}) <= 1.02 * total / packing.CAPACITY + 1
+
+
+def test_shards_stay_near_equal_with_a_third_of_the_rows_copies_without_an_id(spark):
+    rows = [(i, f"text number {i} " + "x" * (i % 17)) for i in range(6000)] + [(None, "one text of many copies")] * 3000 + [(7, "another")] * 500
+    out = sharding.op1_sharding(spark, spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, number int, copy_key int")).collect()
+    assert len(out) == len(rows) and all(sorted(r.slot for r in out if r.shard == s) == list(range(sum(r.shard == s for r in out))) for s in range(40))
+    sizes = Counter()
+    for r in out:
+        sizes[r.shard] += r.size
+    mean = sum(sizes.values()) / 40
+    assert len(sizes) == 40 and max(abs(v - mean) for v in sizes.values()) < 0.05 * mean
