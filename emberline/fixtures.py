@@ -74,7 +74,7 @@ SELECT name AS fid, ring, longitude AS x1, latitude AS y1, coalesce(lead(longitu
 """,
     "zones": """
 SELECT 'Zone A' AS zone, CAST(71.38 AS DOUBLE) AS west, CAST(21.08 AS DOUBLE) AS south, CAST(71.80 AS DOUBLE) AS east, CAST(21.80 AS DOUBLE) AS north
-UNION ALL SELECT 'Zone B', CAST(71.38 AS DOUBLE), CAST(21.80 AS DOUBLE), CAST(71.80 AS DOUBLE), CAST(22.50 AS DOUBLE)
+UNION ALL SELECT 'Zone B', CAST(71.38 AS DOUBLE), CAST(21.80 AS DOUBLE), CAST(71.80 AS DOUBLE), CAST(22.05 AS DOUBLE)
 """,
     "landcover_cells": """
 SELECT gi, gj, CASE (gi * 7 + gj * 3) % 10 WHEN 0 THEN 10 WHEN 1 THEN 20 WHEN 2 THEN 30 WHEN 3 THEN 40 WHEN 4 THEN 40 WHEN 5 THEN 40

@@ -8,7 +8,7 @@ from ..fixtures import view
 from ..functions.rules import apply_rules
 from ..functions.scalars import project_sql
 from ..operators import clusters, history as H, spatial
-from ..storage import once
+from ..storage import once, save
 from . import labels as L
 from .catalog import det, query
 from .oracle import TABLES, sql_list, _DX, _DY, _T
@@ -21,21 +21,28 @@ FIRE_REACH, FIRE_LEAST, KNOWN_KM = 5_000.0, 10, 5.0
 FIRE_DAYS, FIRE_ACTIVE = 30, 5
 #: Heat at sea: how near cells of a cluster stand, and how many active days make a cell persistent.
 SEA_REACH, SEA_DAYS = 2_000.0, 5
+#: Metres off land up to which heat outside the zones is looked at.
+COAST = 250_000.0
 #: Metres that a sample point keeps from every detection.
 ISOLATED = 5_000.0
 #: Zones whose persistent heat isn't confirmed to be flares.
 UNCONFIRMED = ("Zone B",)
 
 
+def distance_to_land(points: DataFrame, regions: DataFrame) -> DataFrame:
+    """(latitude, longitude, dist_m) of each place: metres to the nearest region, 0 within one."""
+    points, sides = save(points, "points"), spatial.box_segments(regions, "name")
+    shore = spatial.nearest(points, sides, bucket=20_000.0, which=False).select("pid", "dist")
+    land = spatial.containing(points, sides, cell=20_000.0).select("pid").distinct().withColumn("on_land", F.lit(True))
+    return L._by_place(shore.join(land, "pid", "left").select("pid", F.when(F.col("on_land"), 0.0).otherwise(F.col("dist")).alias("dist_m")))
+
+
 def offshore_columns(rows: DataFrame, zones: DataFrame, regions: DataFrame, floor: float = FLOOR) -> DataFrame:
     """``rows`` (det_id, latitude, longitude, x, y) in a zone with ``zone``, ``dist_m`` to the nearest region (0 within one) and
     ``offshore``. Only rows in a zone are measured; of zones that overlap the last by name counts."""
     inside = F.col("latitude").between(F.col("south"), F.col("north")) & F.col("longitude").between(F.col("west"), F.col("east"))
     at_sea = rows.join(F.broadcast(zones), inside).groupBy("det_id", "latitude", "longitude", "x", "y").agg(F.max("zone").alias("zone"))
-    points = L.places(at_sea)
-    shore = spatial.nearest(points, spatial.box_segments(regions, "name"), bucket=20_000.0, which=False).select("pid", "dist")
-    land = spatial.containing(points, spatial.box_segments(regions, "name"), cell=20_000.0).select("pid").distinct().withColumn("on_land", F.lit(True))
-    dist = L._by_place(shore.join(land, "pid", "left").select("pid", F.when(F.col("on_land"), 0.0).otherwise(F.col("dist")).alias("dist_m")))
+    dist = distance_to_land(L.places(at_sea), regions)
     out = at_sea.drop("x", "y").join(dist, ["latitude", "longitude"], "left")
     return out.withColumn("offshore", F.coalesce(F.col("dist_m") >= floor, F.lit(True)))
 
@@ -105,29 +112,33 @@ def label_offshore(s, d):
 # Clusters
 
 
-def persistent_cells(s, d) -> DataFrame:
-    """Cells with SEA_DAYS active days or more outside every region, at their mean position."""
-    rows = L.projected(det(s, d)).join(L.with_region(view(s, d, "detections"), spatial.box_segments(view(s, d, "regions"), "name", projected=False)).where("state IS NULL").select("det_id"), "det_id", "left_semi")
-    cells = rows.groupBy("cell").agg(F.count("*").alias("detections"), F.countDistinct("acq_date").alias("active_days"), F.avg("x").alias("x"), F.avg("y").alias("y"))
-    return cells.where(F.col("active_days") >= SEA_DAYS)
+def unzoned_sea(s, d) -> DataFrame:
+    """Detections outside every zone, from FLOOR to COAST metres off land, with ``dist_m``."""
+    inside = F.col("latitude").between(F.col("south"), F.col("north")) & F.col("longitude").between(F.col("west"), F.col("east"))
+    rows = L.projected(det(s, d)).join(F.broadcast(view(s, d, "zones")), inside, "left_anti")
+    dist = once(s, d, "unzoned_distances", lambda: distance_to_land(L.places(rows), view(s, d, "regions")))
+    return rows.join(dist, ["latitude", "longitude"]).where(F.col("dist_m").between(FLOOR, COAST))
 
 
 def offshore_clusters(s, d) -> DataFrame:
-    """(cluster, cell, detections, active_days): persistent cells linked up to SEA_REACH apart."""
-    cells = persistent_cells(s, d)
+    """(cluster, cell, detections, active_days): cells of ``unzoned_sea`` with SEA_DAYS active days or more at their mean position, linked up to
+    SEA_REACH apart."""
+    cells = unzoned_sea(s, d).groupBy("cell").agg(F.count("*").alias("detections"), F.countDistinct("acq_date").alias("active_days"), F.avg("x").alias("x"), F.avg("y").alias("y"))
+    cells = cells.where(F.col("active_days") >= SEA_DAYS)
     found = clusters.density_clusters(cells.select(F.lit(0).alias("g"), F.col("cell").alias("pid"), "x", "y"), "g", SEA_REACH, 1)
     return cells.join(found.withColumnRenamed("pid", "cell"), "cell")
 
 
-_CELLS = f"""SELECT cell, count(*) AS detections, count(DISTINCT acq_date) AS active_days, avg(x) AS x, avg(y) AS y FROM det WHERE NOT EXISTS (SELECT 1 FROM regions r
-  WHERE latitude >= r.south AND latitude < r.north AND longitude >= r.west AND longitude < r.east) GROUP BY cell HAVING count(DISTINCT acq_date) >= {SEA_DAYS}"""
-MORE = {
-    "sea_cells": _CELLS,
+TABLES |= {
+    "unzoned": f"""SELECT det.*, dist_m FROM det JOIN (SELECT latitude, longitude, CASE WHEN EXISTS (SELECT 1 FROM regions r WHERE m.latitude BETWEEN r.south AND r.north AND m.longitude > r.west AND m.longitude < r.east)
+  THEN 0.0::DOUBLE ELSE dist END AS dist_m FROM (SELECT latitude, longitude, min(sqrt(pow(x - x1 - {_T} * {_DX}, 2) + pow(y - y1 - {_T} * {_DY}, 2))) AS dist FROM loc CROSS JOIN ({_SHORE}) g GROUP BY ALL) m) u USING (latitude, longitude)
+  WHERE dist_m BETWEEN {FLOOR} AND {COAST} AND NOT EXISTS (SELECT 1 FROM zones z WHERE det.latitude BETWEEN z.south AND z.north AND det.longitude BETWEEN z.west AND z.east)""",
+    "sea_cells": f"SELECT cell, count(*) AS detections, count(DISTINCT acq_date) AS active_days, avg(x) AS x, avg(y) AS y FROM unzoned GROUP BY cell HAVING count(DISTINCT acq_date) >= {SEA_DAYS}",
     "sea_links": f"SELECT a.cell AS u, b.cell AS v FROM sea_cells a JOIN sea_cells b ON sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) <= {SEA_REACH}",
     "sea_reach": "SELECT u AS node, v AS other FROM sea_links UNION SELECT r.node, l.v FROM sea_reach r JOIN sea_links l ON r.other = l.u",
     "sea_clusters": "SELECT c.*, r.cluster FROM sea_cells c JOIN (SELECT node, min(other) AS cluster FROM sea_reach GROUP BY node) r ON c.cell = r.node",
+    "zone_cells": f"SELECT cell, avg(det.x) AS x, avg(det.y) AS y FROM det JOIN ({_AT_SEA}) o USING (det_id) GROUP BY cell HAVING count(DISTINCT acq_date) >= {SEA_DAYS}",
 }
-TABLES |= MORE
 
 
 @query("offshore_clusters", "SELECT cluster, cell, detections, active_days FROM sea_clusters")
@@ -135,22 +146,26 @@ def offshore_clusters_rows(s, d):
     return offshore_clusters(s, d).select("cluster", "cell", "detections", "active_days")
 
 
-@query("cluster_summary", """SELECT cluster, count(DISTINCT cell) AS cells, count(*) AS detections, count(DISTINCT acq_date) AS active_days, min(acq_date) AS first_seen, max(acq_date) AS last_seen,
-  round(avg((daynight = 'N')::INT), 4) AS night_share, median(frp) AS frp_median, max(frp) AS frp_max FROM det JOIN (SELECT cell, cluster FROM sea_clusters) c USING (cell) GROUP BY cluster""")
+@query("cluster_summary", """SELECT cluster, count(DISTINCT cell) AS cells, count(*) AS detections, count(DISTINCT acq_date) AS active_days, min(acq_date) AS first_seen, max(acq_date) AS last_seen, round(avg(latitude), 3) AS latitude, round(avg(longitude), 3) AS longitude,
+  round(avg((daynight = 'N')::INT), 4) AS night_share, median(frp) AS frp_median, max(frp) AS frp_max, round(avg(dist_m) / 1000, 1) AS coast_km, round(min(dist_m) / 1000, 1) AS nearest_land_km FROM unzoned JOIN (SELECT cell, cluster FROM sea_clusters) c USING (cell) GROUP BY cluster""")
 def cluster_summary(s, d):
-    rows = det(s, d).join(offshore_clusters(s, d).select("cell", "cluster"), "cell")
+    rows = unzoned_sea(s, d).join(offshore_clusters(s, d).select("cell", "cluster"), "cell")
+    km = lambda f, name: F.round(f("dist_m") / 1_000, 1).alias(name)
     return rows.groupBy("cluster").agg(
         F.countDistinct("cell").alias("cells"), F.count("*").alias("detections"), F.countDistinct("acq_date").alias("active_days"), F.min("acq_date").alias("first_seen"),
-        F.max("acq_date").alias("last_seen"), F.round(F.avg((F.col("daynight") == "N").cast("int")), 4).alias("night_share"),
-        F.percentile("frp", F.lit(0.5)).alias("frp_median"), F.max("frp").alias("frp_max"),
+        F.max("acq_date").alias("last_seen"), F.round(F.avg("latitude"), 3).alias("latitude"), F.round(F.avg("longitude"), 3).alias("longitude"),
+        F.round(F.avg((F.col("daynight") == "N").cast("int")), 4).alias("night_share"),
+        F.percentile("frp", F.lit(0.5)).alias("frp_median"), F.max("frp").alias("frp_max"), km(F.avg, "coast_km"), km(F.min, "nearest_land_km"),
     )
 
 
 @query("compare_locations", """SELECT cell, round(min(sqrt(pow(c.x - f.x, 2) + pow(c.y - f.y, 2))) FILTER (WHERE facility_type = 'lng_terminal') / 1000, 3) AS platform_km,
-  round(min(sqrt(pow(c.x - f.x, 2) + pow(c.y - f.y, 2))) FILTER (WHERE facility_type = 'oil_gas_field') / 1000, 3) AS field_km FROM sea_cells c CROSS JOIN fac f GROUP BY cell""")
+  round(min(sqrt(pow(c.x - f.x, 2) + pow(c.y - f.y, 2))) FILTER (WHERE facility_type = 'oil_gas_field') / 1000, 3) AS field_km FROM zone_cells c CROSS JOIN fac f GROUP BY cell""")
 def compare_locations(s, d):
-    """Kilometres from each persistent cell to the nearest terminal and to the nearest field."""
-    points = persistent_cells(s, d).select(F.col("cell").alias("pid"), "x", "y")
+    """Kilometres from each persistent cell of the zones to the nearest terminal and to the nearest field."""
+    rows = L.projected(det(s, d)).join(offshore(s, d).where("offshore").select("det_id"), "det_id", "left_semi")
+    cells = rows.groupBy("cell").agg(F.countDistinct("acq_date").alias("active_days"), F.avg("x").alias("x"), F.avg("y").alias("y")).where(F.col("active_days") >= SEA_DAYS)
+    points = cells.select(F.col("cell").alias("pid"), "x", "y")
     role = F.when(F.col("facility_type") == "lng_terminal", "platform").when(F.col("facility_type") == "oil_gas_field", "field")
     spots = L.facilities(s, d).withColumn("role", role).where("role IS NOT NULL")
     found = spatial.nearest_by_role(points, spots.select(F.col("facility_id").alias("fid"), F.col("x").alias("x1"), F.col("y").alias("y1"), F.col("x").alias("x2"), F.col("y").alias("y2"), "role"), ["platform", "field"], which=False)

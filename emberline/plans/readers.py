@@ -289,22 +289,33 @@ def threshold_sweep(s, d):
     return rows.groupBy("signal", "threshold", "label").agg(F.count_if("hit").alias("hits"), F.count("*").alias("n"))
 
 
-@query("relabel_coal", "SELECT det_id, label, label_source, round(dist_to_coal_mine_m, 2) AS dist_to_coal_mine_m FROM lab")
+def moved(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(det_id, old_label, ...): ``after`` with the label that each row had before."""
+    return after.join(before.select("det_id", F.col("label").alias("old_label")), "det_id")
+
+
+@query("relabel_coal", "SELECT det_id, label AS old_label, label, label_source, round(dist_to_coal_mine_m, 2) AS dist_to_coal_mine_m FROM lab")
 def relabel_coal(s, d):
     """The coal columns of stored rows, computed anew, and the rules applied again; everything else is kept."""
     stored = L.labelled(s, d).drop("dist_to_coal_mine_m", "nearest_coal_source", "label", "label_source")
     coal = L._by_place(L.nearest_coal(L.places(stored), L.facilities(s, d), L.context(s, d)))
-    again = rules.apply_rules(stored.join(coal, ["latitude", "longitude"], "left"))
-    return again.select("det_id", "label", "label_source", F.round("dist_to_coal_mine_m", 2).alias("dist_to_coal_mine_m"))
+    again = moved(L.labelled(s, d), rules.apply_rules(stored.join(coal, ["latitude", "longitude"], "left")))
+    return again.select("det_id", "old_label", "label", "label_source", F.round("dist_to_coal_mine_m", 2).alias("dist_to_coal_mine_m"))
+
+
+_STALE = "CASE WHEN is_industrial AND det_id % 3 = 0 THEN 'unknown' ELSE label END"
 
 
-@query("relabel_industrial", "SELECT det_id, label, osm_industrial_tag, round(dist_to_industrial_m, 2) AS dist_to_industrial_m FROM lab")
+@query("relabel_industrial", f"SELECT {_STALE} AS old_label, label, count(*) AS n FROM lab GROUP BY ALL")
 def relabel_industrial(s, d):
-    stored = L.labelled(s, d).drop("dist_to_industrial_m", "osm_industrial_tag", "label", "label_source")
+    """Rows by the label that was stored (of every third industrial one a stale one) and the one that its new distance and tag give: off the diagonal are the moved ones."""
+    rows = L.labelled(s, d)
+    stale = rows.withColumn("label", F.when(rules.industrial() & (F.col("det_id") % 3 == 0), "unknown").otherwise(F.col("label")))
+    stored = stale.drop("dist_to_industrial_m", "osm_industrial_tag", "label", "label_source")
     points = L.places(stored)
     near, tag = L._by_place(L.feature_distance(points, L.context(s, d), "dist_to_industrial_m")), L._by_place(L.polygon_tag(points, L.context(s, d)))
     again = rules.apply_rules(stored.join(near, ["latitude", "longitude"], "left").join(tag, ["latitude", "longitude"], "left"))
-    return again.select("det_id", "label", "osm_industrial_tag", F.round("dist_to_industrial_m", 2).alias("dist_to_industrial_m"))
+    return moved(stale, again).groupBy("old_label", "label").agg(F.count("*").alias("n"))
 
 
 @query("reevaluate_alerts", f"""SELECT cell, acq_date, max(frp) AS frp FROM lab WHERE is_anomalous AND label IN ('industrial', 'gas flare') AND acq_date >= '{BATCH}' AND frp >= 3 * baseline_frp GROUP BY ALL""")

@@ -67,13 +67,22 @@ _CODES = " ".join(f"WHEN '{k}' THEN {v}" for k, v in CONFIDENCE_ORDINAL.items())
 
 
 @query("detail_shards", f"""SELECT row_id, row_id // {SHARD_ROWS} AS shard, round_even(latitude * 100000, 0)::BIGINT AS lat, round_even(longitude * 100000, 0)::BIGINT AS lon,
-  round_even(frp * 100, 0)::BIGINT AS frp, coalesce(CASE confidence {_CODES} END, -1) AS confidence FROM (SELECT *, row_number() OVER (ORDER BY acq_date, det_id) - 1 AS row_id FROM detections) t""")
+  round_even(frp * 100, 0)::BIGINT AS frp, coalesce(CASE confidence {_CODES} END, -1) AS confidence, dense_rank() OVER (ORDER BY satellite) - 1 AS satellite, dense_rank() OVER (ORDER BY label) - 1 AS label
+  FROM (SELECT *, row_number() OVER (ORDER BY acq_date, det_id) - 1 AS row_id FROM lab) t""")
 def detail_shards(s, d):
+    """The details of all detections, written in shards of SHARD_ROWS rows and read back: whole numbers, and codes of the values in their order, -1 for none."""
+    rows = numbered(L.labelled(s, d).select("det_id", "acq_date", "latitude", "longitude", "frp", "confidence", "satellite", "label"), "acq_date", "det_id")
+    for c in ("satellite", "label"):  # a few values each
+        codes = rows.select(c).where(F.col(c).isNotNull()).distinct().withColumn("code", F.row_number().over(Window.orderBy(c)) - 1)
+        rows = rows.join(F.broadcast(codes), c, "left").withColumn(c, F.coalesce("code", F.lit(-1)).cast("long")).drop("code")
     scaled = lambda c, by: F.rint(F.col(c) * by).cast("long").alias(c[:3])
-    return numbered(view(s, d, "detections"), "acq_date", "det_id").select(
+    shards = rows.select(
         "row_id", F.floor(F.col("row_id") / SHARD_ROWS).alias("shard"), scaled("latitude", 100_000), scaled("longitude", 100_000), scaled("frp", 100),
-        F.coalesce(S.lookup(F.col("confidence"), CONFIDENCE_ORDINAL), F.lit(-1)).alias("confidence"),
+        F.coalesce(S.lookup(F.col("confidence"), CONFIDENCE_ORDINAL), F.lit(-1)).alias("confidence"), "satellite", "label",
     )
+    folder = new_folder(s, "details")
+    shards.write.partitionBy("shard").parquet(folder)
+    return s.read.schema(shards.schema).parquet(folder)
 
 
 @query("detection_lookup", """SELECT acq_date AS file, row_number() OVER (PARTITION BY acq_date ORDER BY det_id) - 1 AS row_in_file, det_id FROM detections
