@@ -10,7 +10,7 @@ from emberline.plans import catalog
 
 HEADLINE = [
     "nearest_industrial", "polygon_tag", "nearest_facility_flare", "nearest_facility_heat", "recurrence", "anomaly_baselines",
-    "neighbourhood_active_days", "stats_cube", "build_labels",
+    "neighbourhood_active_days", "build_labels", "stats_cube",  # labels are written by the first of these two, the second reads them
 ]
 
 
