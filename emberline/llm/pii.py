@@ -159,15 +159,18 @@ def _word_patterns(clean: Column) -> Column:
     return let(F.split(_plain(F.trim(clean)), r"\s+"), of_words)
 
 
+def _clean() -> Column:
+    """The text that is searched: null is empty, and MARK keeps its place as another control character."""
+    return F.translate(F.coalesce("text", F.lit("")), MARK, "\u0002")
+
+
 def mark(docs: DataFrame, keep: list[str]) -> DataFrame:
     """Written once: ``row``, ``doc`` (a struct of the columns ``keep``), base spans of each kind, ``values`` (start, end,
-    value, patterns: what may be an identifier) and, of texts with a seed, ``clean``.
+    value, patterns: what may be an identifier).
 
     A null text is empty. Positions are code points, ends exclusive.
     """
-    # MARK may not stand in the text that is searched; it keeps its place as another control character.
-    clean = F.translate(F.coalesce("text", F.lit("")), MARK, "\u0002")
-    out = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*keep).alias("doc"), clean.alias("clean"))
+    out = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*keep).alias("doc"), _clean().alias("clean"))
     for kind in KINDS:
         out = out.withColumn(kind, _spans(F.col("clean"), PATTERNS[kind], NEEDED[kind], CHECKS[kind]))
     long_enough = lambda v: F.char_length(v) >= LEAST_LENGTH
@@ -178,13 +181,10 @@ def mark(docs: DataFrame, keep: list[str]) -> DataFrame:
         return F.struct(v["start"].alias("start"), (v["start"] + F.char_length(value)).alias("end"), value.alias("value"), _around(v).alias("patterns"))
 
     with_patterns = lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), _around(s).alias("patterns"))
-    seeded = F.exists("values", lambda v: v["value"].rlike(SECRET_SEED))
-    for kind in KINDS:
-        seeded = seeded | (F.size(kind) > 0)
     return save(
         out.select(
             "row", "doc", *[F.transform(kind, with_patterns).alias(kind) for kind in KINDS],
-            F.transform("values", trimmed).alias("values"), F.when(seeded, F.col("clean")).alias("clean"),
+            F.transform("values", trimmed).alias("values"),
         ),
         "pii_marked",
     )
@@ -232,16 +232,17 @@ def confident_patterns(edges: DataFrame, ordinary: DataFrame | None = None) -> D
     return rated.where(F.col("confidence") >= CONFIDENCE).select("pattern", F.col("of_kind").alias("kind"), "confidence")
 
 
-def learn(marked: DataFrame) -> DataFrame:
-    """The corpus' confident patterns."""
+def learn(marked: DataFrame, docs: DataFrame) -> DataFrame:
+    """The corpus' confident patterns. Ordinary words in the places of supported patterns are counted in every text; texts are read for it
+    where they are."""
     edges = save(graph_edges(marked), "pii_edges")
     seeds = edges.where("kind IS NOT NULL").groupBy("pattern", "kind").count().where(F.col("count") >= SUPPORT)
     keys = save(seeds.select(F.xxhash64("pattern").alias("key")).distinct(), "pii_keys")
-    words = marked.where("clean IS NOT NULL").select(F.explode(_word_patterns(F.col("clean"))).alias("key"))
+    words = docs.select(F.explode(_word_patterns(_clean())).alias("key"))
     return confident_patterns(edges, words.join(keys, "key").groupBy("key").agg(F.count("*").alias("words")))
 
 
-def find(marked: DataFrame) -> DataFrame:
+def find(marked: DataFrame, docs: DataFrame) -> DataFrame:
     """``doc``, ``n_<kind>``, ``base`` and ``spans``: all spans, sorted (start, rank, end, kind).
 
     Spans of different base kinds may overlap; a value that contexts reveal overlaps none of them and has the kind
@@ -250,7 +251,7 @@ def find(marked: DataFrame) -> DataFrame:
     every = [*KINDS, SECRET]
     one = lambda rank, kind: lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), F.lit(kind).alias("kind"))
     base = F.concat(*[F.transform(kind, one(rank, kind)) for rank, kind in enumerate(KINDS)])
-    patterns = learn(marked)
+    patterns = learn(marked, docs)
     asked = marked.select("row", F.explode("values").alias("v")).select("row", "v.start", "v.end", "v.value", F.explode("v.patterns").alias("pattern"))
     told = asked.join(patterns, "pattern").groupBy("row", "start", "end", "value").agg(F.max_by("kind", F.struct("confidence", "kind")).alias("kind"))
     shaped = reduce(lambda a, b: a | b, [(F.col("kind") == kind) & F.col("value").rlike(shape) for kind, shape in SHAPES.items()])
@@ -276,7 +277,7 @@ def _listed(spans: Column) -> Column:
 def op10_pii(spark, docs: DataFrame) -> DataFrame:
     """Counts of base spans, the digest of these, and all spans of each row; edge rows as ``mark`` and ``find`` state. Of further
     columns nothing is used."""
-    found = find(mark(docs, ["doc_id"]))
+    found = find(mark(docs, ["doc_id"]), docs)
     return found.select(
         "doc.doc_id", *[f"n_{kind}" for kind in KINDS],
         F.sha2(_listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"),
@@ -286,7 +287,7 @@ def op10_pii(spark, docs: DataFrame) -> DataFrame:
 def mask(docs: DataFrame) -> DataFrame:
     """Pipeline stage: each span of ``text`` becomes its kind in brackets; of spans that overlap, the first and what goes on
     beyond it. Texts without a span, and nulls, stay as they are, and so do all other columns, whatever these are called."""
-    found, text = find(mark(docs, docs.columns)), F.col("doc.text")
+    found, text = find(mark(docs, docs.columns), docs), F.col("doc.text")
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
     def step(done: Column, s: Column) -> Column:

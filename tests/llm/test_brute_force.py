@@ -95,7 +95,8 @@ def test_a_value_keeps_its_whole_length_and_base_spans_stay(spark):
 
 
 def test_no_pattern_of_ordinary_words(spark):
-    patterns = pii.learn(pii.mark(table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text"), ["doc_id"])).collect()
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    patterns = pii.learn(pii.mark(docs, ["doc_id"]), docs).collect()
     assert patterns and all(r.kind == pii.SECRET and "token" in r.pattern for r in patterns if not r.pattern.startswith("= "))
 
 
@@ -199,3 +200,11 @@ def test_shards_stay_near_equal_with_a_third_of_the_rows_copies_without_an_id(sp
         sizes[r.shard] += r.size
     mean = sum(sizes.values()) / 40
     assert len(sizes) == 40 and max(abs(v - mean) for v in sizes.values()) < 0.05 * mean
+
+
+def test_ordinary_words_count_wherever_they_stand(spark):
+    seeds = [f"then met zeta node 10.0.{i}.7 today" for i in range(12)]
+    asked, ordinary = ["so met zeta node 77123456 here"], ["so met zeta node garden here"] * 400
+    revealed = found(spark, seeds + asked)[12]
+    assert revealed != ""
+    assert found(spark, seeds + asked + ordinary)[12] == found(spark, seeds + asked + [t + " and a@b.cd" for t in ordinary])[12] == ""
