@@ -233,11 +233,13 @@ def confident_patterns(edges: DataFrame, ordinary: DataFrame | None = None) -> D
 
 
 def learn(marked: DataFrame, docs: DataFrame) -> DataFrame:
-    """The corpus' confident patterns. Ordinary words in the places of supported patterns are counted in every text; texts are read for it
-    where they are."""
+    """The corpus' confident patterns.
+
+    Ordinary words in a pattern's place only lower confidences. So patterns are rated without them first; for those that are confident then, the words are
+    counted in every text, which is read for it where it is, and all are rated again. The others can't become confident, and lend their values what they lent before."""
     edges = save(graph_edges(marked), "pii_edges")
-    seeds = edges.where("kind IS NOT NULL").groupBy("pattern", "kind").count().where(F.col("count") >= SUPPORT)
-    keys = save(seeds.select(F.xxhash64("pattern").alias("key")).distinct(), "pii_keys")
+    able = save(confident_patterns(edges).select("pattern"), "pii_able")
+    keys = save(able.select(F.xxhash64("pattern").alias("key")).distinct(), "pii_keys")
     words = docs.select(F.explode(_word_patterns(_clean())).alias("key"))
     return confident_patterns(edges, words.join(keys, "key").groupBy("key").agg(F.count("*").alias("words")))
 
