@@ -139,20 +139,24 @@ class BoostedTrees:
 
 def train_model(rows: DataFrame, features: list[str] = FEATURES) -> BoostedTrees:
     """Boosted trees for each class of ``rows`` against the others. A tenth of the rows, by a hash of all they hold, tells when more trees
-    stop to help."""
+    stop to help; where they leave none to learn from, or are none, all rows are learned from. No rows give a model without classes."""
     classes = [r.label for r in rows.select("label").distinct().orderBy("label").collect()]
     held = F.pmod(F.xxhash64("label", *features), F.lit(10)) == 0
     table = VectorAssembler(inputCols=features, outputCol="features").transform(rows.withColumn("is_held", held)).select("label", "features", "is_held")
     table = save(table, "training_vectors")
-    booster = GBTClassifier(labelCol="target", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, validationIndicatorCol="is_held", validationTol=0.01, seed=SEED)
+    stop = {"validationIndicatorCol": "is_held", "validationTol": 0.01} if table.select("is_held").distinct().count() == 2 else {}
+    booster = GBTClassifier(labelCol="target", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=SEED, **stop)
     return BoostedTrees(list(features), classes, [booster.fit(table.withColumn("target", (F.col("label") == c).cast("double"))) for c in classes])
 
 
 def score_model(rows: DataFrame, model: BoostedTrees) -> DataFrame:
-    """``rows`` with model_label and probabilities (label -> probability, their sum 1). Refuses rows whose features aren't the model's, in its order."""
+    """``rows`` with model_label and probabilities (label -> probability, their sum 1). Refuses rows whose features aren't the model's, in its order.
+    A model that had no rows to learn from knows no class: model_label is null and probabilities has no entry."""
     own = [c for c in rows.columns if c in set(model.features) or c in set(FEATURES)]
     if own != model.features:
         raise ValueError(f"the model was trained on {model.features}, the rows have {own}")
+    if not model.trees:
+        return rows.withColumn("model_label", F.lit(None).cast("string")).withColumn("probabilities", F.create_map().cast("map<string,double>"))
     scored = VectorAssembler(inputCols=model.features, outputCol="features").transform(rows)
     for i, t in enumerate(model.trees):
         t = t.copy({t.predictionCol: f"prediction{i}", t.rawPredictionCol: f"raw{i}", t.probabilityCol: f"probability{i}"})

@@ -111,6 +111,21 @@ def test_model_refuses_other_features_and_learns(spark):
         assert (r.label_source == "model") == (ruled[r.det_id].label == "unknown") and (r.label_source == "model" or r.label == ruled[r.det_id].label)
 
 
+def test_model_without_rows_to_learn_from(spark, monkeypatch):
+    few = model._training(spark, SF)
+    one = model.train_model(few.limit(1))  # one class, and no row left to stop by
+    assert len(one.classes) == 1 and model.score_model(few.select("det_id", *model.FEATURES).limit(3), one).select("model_label").distinct().count() == 1
+    monkeypatch.setattr(model, "_training", lambda s, d: few.limit(0))  # gold cells may cover all
+    monkeypatch.setattr(model, "_trained", {})
+    monkeypatch.setattr(storage, "_written", {k: v for k, v in storage._written.items() if k[2] != "scored"})
+    assert model.train_model_query(spark, SF).count() == 0
+    assert {(r.model_label, len(r.probabilities)) for r in model.score_model_query(spark, SF).collect()} == {(None, 0)}
+    ruled = {tuple(r) for r in labels.labelled(spark, SF).select("det_id", "label", "label_source").collect()}
+    assert {tuple(r) for r in model.classify_query(spark, SF).collect()} == ruled
+    assert {(r.precision, r.recall, r.f1, r.support) for r in model.evaluate_split(spark, SF).collect()} <= {(0.0, 0.0, 0.0, 0), (0.0, 0.0, 0.0, None)}
+    assert tuple(model.train_evaluate(spark, SF).first()) == (0, None)
+
+
 def test_manifest_differences(spark):
     schema = "name string, size long, sha256 string"
     now = spark.createDataFrame([("a", 1, "x"), ("b", 2, "x"), ("c", 3, "x"), ("d", 4, "x")], schema)
