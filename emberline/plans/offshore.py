@@ -230,10 +230,10 @@ TABLES["gold_xy"] = "SELECT *, " + ", ".join(f"{c} AS {n}" for n, c in zip("xy",
 @query("isolated_points", f"""SELECT g.sample_id FROM gold_xy g WHERE NOT EXISTS (SELECT 1 FROM loc WHERE sqrt(pow(loc.x - g.x, 2) + pow(loc.y - g.y, 2)) < {ISOLATED})""")
 def isolated_points(s, d):
     """Sample points at least ISOLATED metres from every detection."""
-    sample = L.projected(view(s, d, "gold")).select(F.col("sample_id").alias("pid"), "x", "y")
+    sample = L.projected(view(s, d, "gold")).select("sample_id", "latitude", "longitude", "x", "y")
     found = L.places(L.detections(s, d)).select(F.col("x").alias("x1"), F.col("y").alias("y1"), F.col("x").alias("x2"), F.col("y").alias("y2"), F.lit(0).cast("long").alias("fid"))
-    near = spatial.within(sample, found, ISOLATED).where(F.col("dist") < ISOLATED)
-    return sample.join(near.select("pid"), "pid", "left_anti").select(F.col("pid").alias("sample_id"))
+    near = spatial.within(L.places(sample), found, ISOLATED).where(F.col("dist") < ISOLATED)
+    return sample.join(L._by_place(near), ["latitude", "longitude"], "left_anti").select("sample_id")
 
 
 

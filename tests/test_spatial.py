@@ -69,3 +69,18 @@ def test_many_corners_in_bands_of_their_own(spark):
     for cell in (4000.0, 60.0):  # as small polygons, and as wide ones
         found = spatial.containing(spark.createDataFrame(points, POINT), spark.createDataFrame(sides, "fid int, x1 double, y1 double, x2 double, y2 double"), cell)
         assert {(r.pid, r.fid) for r in found.collect()} == want
+
+
+def test_sample_points_of_one_place_are_searched_once(spark, tmp_path, monkeypatch):
+    import datetime as dt
+
+    from emberline.plans import offshore
+
+    day = dt.datetime(2024, 1, 5, 12)
+    spark.createDataFrame([(2, day, 0, 1.0)], "event_id long, ts timestamp, user_id long, value double").write.parquet(f"{tmp_path}/events.parquet")
+    keys = [(102,), (102 + 158_800,), (102 + 2 * 158_800,), (303,), (303 + 158_800,)]  # the same place again each 158,800
+    spark.createDataFrame([(k, 1) for k, in keys], "c_custkey long, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    searched, plain = [], spatial.within
+    monkeypatch.setattr(spatial, "within", lambda points, *rest: searched.append(points.count()) or plain(points, *rest))
+    got = {r.sample_id for r in offshore.isolated_points(spark, str(tmp_path)).collect()}
+    assert got == {"G000000303", "G000159103"} and searched == [2]
