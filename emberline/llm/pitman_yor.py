@@ -37,8 +37,8 @@ BLOCK_BYTES, PART_BYTES = 12 << 20, 1 << 20
 #: Tokens for each bucket of words or pairs.
 BUCKET_TOKENS = 4_000_000
 #: Steps of the sampler in which parents and children exchange tables, of which the first BURN_IN give no sample. In a step every section
-#: (the customers of one dish in one restaurant) makes SWEEPS * min(customers, MOVES) moves of a random customer.
-STEPS, BURN_IN, SWEEPS, MOVES = 3, 1, 2, 16
+#: (the customers of one dish in one restaurant) makes SWEEPS moves of a random customer for each of its customers.
+STEPS, BURN_IN, SWEEPS = 3, 1, 2
 STRENGTH = 1.0
 END = 0  # the id of the end of a text, which is also the context of its first word
 
@@ -245,52 +245,81 @@ def start_tables(count: np.ndarray, weight: np.ndarray, discount: float) -> np.n
     return np.clip(np.rint(t), 1, count).astype(np.int64)
 
 
-def start_sizes(count: np.ndarray, tables: np.ndarray) -> np.ndarray:
-    """Customers of each table, section after section: one each, and of the others half to the first, a quarter to the second and so on."""
+def start_sizes(count: np.ndarray, tables: np.ndarray, discount: float = 0.5) -> np.ndarray:
+    """Customers of each table, section after section: falling by the power that the discount gives, up to half of what is more than one each;
+    the first table has the rest."""
     first = np.cumsum(tables) - tables
     nth = np.arange(tables.sum()) - np.repeat(first, tables)
-    more = np.floor(np.repeat(count - tables, tables) * 0.5 ** np.minimum(nth + 1, 60)).astype(np.int64)
-    if len(first):
-        more[first] += count - tables - np.add.reduceat(more, first)
+    if not len(first):
+        return nth
+    usual = (np.repeat(tables, tables) / (np.maximum(nth, 1) * math.gamma(1 - discount))) ** (1 / discount)
+    more = np.where(nth > 0, np.maximum(usual - 1, 0), 0)
+    share = (count - tables) / 2 / np.maximum(np.add.reduceat(more, first), 1e-9)
+    more = np.floor(more * np.repeat(np.minimum(share, 1), tables)).astype(np.int64)
+    more[first] += count - tables - np.add.reduceat(more, first)
     return 1 + more
 
 
+def _moves(x: np.ndarray, count: np.ndarray, weight: np.ndarray, discount: float, left: np.ndarray, rng: np.random.Generator) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, their tables) of ``x`` (a section a row, customers of its tables, 0: none) after ``left`` moves of each.
+
+    Most moves seat a customer where it sat. How many of these come before one that changes something is drawn at once, and the
+    change among the changes, so that the moves are all made and only the changes cost a step."""
+    rows, c, w = np.arange(len(x)), count.astype(float), weight
+    while len(rows):
+        t = (x > 0).sum(axis=1)
+        if (t == x.shape[1]).any():
+            x = np.pad(x, ((0, 0), (0, max(2, x.shape[1] // 2))))
+        alone = x == 1
+        # What draws a customer elsewhere, of all that draws it: one that sat alone leaves no table, and a new one is where it sat.
+        others = c - discount * (t - 1)
+        from_alone = (others - 1) / (others - 1 + w)
+        whole = np.maximum(others - 1 - discount + w, 1e-12)
+        cum = np.where(alone, from_alone[:, None], x * ((others + w)[:, None] - x) / whole[:, None]).cumsum(axis=1)
+        q = np.clip(cum[:, -1] / c, 1e-300, 1.0)
+        with np.errstate(divide="ignore"):
+            left = left - 1 - np.floor(np.log(1 - rng.random(len(x))) / np.log1p(-q))
+        i = np.flatnonzero(left >= 0)
+        if len(i):
+            y, sums = x[i], cum[i]
+            k, last = np.arange(len(i)), y.shape[1] - 1
+            out = np.minimum((sums <= (rng.random(len(i)) * sums[:, -1])[:, None]).sum(axis=1), last)
+            single = y[k, out] == 1
+            pull = np.where(y > 0, y - discount, 0.0)
+            pull[k, out] = 0.0
+            sums = pull.cumsum(axis=1)
+            new = np.where(single, 0.0, w[i])
+            v = rng.random(len(i)) * (sums[:, -1] + new)
+            opened = ~single & (v >= sums[:, -1])
+            to = np.where(opened, (y == 0).argmax(axis=1), np.minimum((sums <= v[:, None]).sum(axis=1), last))
+            x[i, out] -= 1
+            x[i, to] += 1
+        done = left < 0
+        if done.all() or done.sum() * 8 >= len(x):
+            yield rows[done], x[done]
+            rows, x, c, w, left = (a[~done] for a in (rows, x, c, w, left))
+
+
 def gibbs(count: np.ndarray, weight: np.ndarray, discount: float, tables: np.ndarray, sizes: np.ndarray, rng: np.random.Generator, sweeps: int | None = None):
     """(tables, sizes) after the moves of one step. ``weight``: of a new table, for each section; ``sizes``: customers of each table.
 
-    A move takes a random customer of the section away and seats it again. Sections of like width are moved together."""
+    A move takes a random customer of the section away and seats it again; a sweep has as many as the section has customers. Sections of like
+    width are moved together."""
     sweeps = SWEEPS if sweeps is None else sweeps
     first, out_tables = np.cumsum(tables) - tables, tables.copy()
-    room = np.minimum(count, tables + np.minimum(count, MOVES) * sweeps)
-    by_width = np.lexsort((-count, np.ceil(np.log2(np.maximum(room, 1))))) if len(count) else np.empty(0, np.int64)
-    cuts, lo = [], 0
-    widths = np.ceil(np.log2(np.maximum(room, 1))).astype(np.int64)[by_width]
+    widths = np.ceil(np.log2(tables + 2)).astype(np.int64)
+    by_width = np.lexsort((-count, widths))
+    kept, lo, widths = [], 0, widths[by_width]
     while lo < len(by_width):
-        hi = min(int(np.searchsorted(widths, widths[lo], "right")), lo + max(1, (1 << 20) >> int(widths[lo])))
-        cuts.append((lo, hi))
-        lo = hi
-    kept = []
-    for lo, hi in cuts:
-        own = by_width[lo:hi]
-        own = own[np.argsort(-count[own], kind="stable")]
-        n, c, w, width = len(own), count[own], weight[own], int(room[own].max())
-        x = np.zeros((n, width), dtype=np.int64)
-        row = np.repeat(np.arange(n), tables[own])
-        nth = np.arange(len(row)) - np.repeat(np.cumsum(tables[own]) - tables[own], tables[own])
-        x[row, nth] = sizes[np.repeat(first[own], tables[own]) + nth]
-        todo = np.minimum(c, MOVES) * sweeps
-        for step in range(int(todo.max(initial=0))):
-            m = int(np.searchsorted(-todo, -step, "left"))  # those with a move left come first
-            y, i = x[:m], np.arange(m)
-            leaves = np.floor(rng.random(m) * c[:m]).astype(np.int64)
-            y[i, (y.cumsum(axis=1) <= leaves[:, None]).sum(axis=1)] -= 1
-            pull = np.where(y > 0, y - discount, 0.0).cumsum(axis=1)
-            v = rng.random(m) * (pull[:, -1] + w[:m])
-            to = np.where(v >= pull[:, -1], (y == 0).argmax(axis=1), np.minimum((pull <= v[:, None]).sum(axis=1), width - 1))
-            y[i, to] += 1
-        taken = x > 0
-        out_tables[own] = taken.sum(axis=1)
-        kept.append((own, x[taken]))
+        hi = min(int(np.searchsorted(widths, widths[lo], "right")), lo + max(1, (1 << 19) >> int(widths[lo])))
+        own, lo = by_width[lo:hi], hi
+        x = np.zeros((len(own), int(tables[own].max()) + 2), dtype=np.int64)
+        nth = np.arange(tables[own].sum()) - np.repeat(np.cumsum(tables[own]) - tables[own], tables[own])
+        x[np.repeat(np.arange(len(own)), tables[own]), nth] = sizes[np.repeat(first[own], tables[own]) + nth]
+        for rows, y in _moves(x, count[own], weight[own], discount, count[own] * float(sweeps), rng):
+            taken = y > 0
+            out_tables[own[rows]] = taken.sum(axis=1)
+            kept.append((own[rows], y[taken]))
     start, out = np.cumsum(out_tables) - out_tables, np.empty(int(out_tables.sum()), dtype=np.int64)
     for own, flat in kept:
         t = out_tables[own]
@@ -329,7 +358,7 @@ def _seat_words(buckets: int, sizes: dict[int, int], new_table: float, discount:
         weight = np.full(len(served), new_table)
         t = start_tables(dish[served], weight, discount)
         tables = np.zeros(n, np.int64)
-        tables[served] = gibbs(dish[served], weight, discount, t, start_sizes(dish[served], t), np.random.default_rng([seed, bucket]))[0]
+        tables[served] = gibbs(dish[served], weight, discount, t, start_sizes(dish[served], t, discount), np.random.default_rng([seed, bucket]))[0]
         rows = [("parent", s, bucket, pack(slot=np.diff(at, prepend=0), context=context[at], dish=dish[at], tables=tables[at])) for s, at in asks]
         own = pack(context=context, dish=dish, tables=tables)
         seen = pack(sums=np.array([dish.sum(), tables.sum(), (dish == 1).sum(), (dish == 2).sum()]))
@@ -362,7 +391,7 @@ def _seat_pairs(buckets: int, root: Root, discount: float, seed: int, sample: bo
         t, sizes = state["tables"], state["sizes"]
         if not len(sizes):
             t = start_tables(c, weight, discount)
-            sizes = start_sizes(c, t)
+            sizes = start_sizes(c, t, discount)
         t, sizes = gibbs(c, weight, discount, t, sizes, np.random.default_rng([seed, bucket]))
         total = state["sum"] + t if sample else state["sum"]
         rows = _tables(bucket, keys, t, buckets, "tables")

@@ -170,6 +170,26 @@ def test_sampler_over_sections_of_all_widths():
     assert [len(x) for x in lm.gibbs(empty, empty.astype(float), 0.6, empty, empty, rng)] == [0, 0]
 
 
+def test_wide_sections_make_all_their_moves():
+    """Tables after whole sweeps, as with one plain move after the other, from a start far off."""
+    n, count, weight, discount, sweeps = 400, 60, 1.5, 0.6, 3
+    rng, plain = random.Random(1), []
+    start = lm.start_sizes(np.array([count]), np.array([30]))
+    for _ in range(n):
+        x = [int(s) for s in start]
+        for _ in range(count * sweeps):
+            x[rng.choices(range(len(x)), x)[0]] -= 1
+            x = [s for s in x if s] + [0]
+            x[rng.choices(range(len(x)), [s - discount for s in x[:-1]] + [weight])[0]] += 1
+            x = [s for s in x if s]
+        plain.append((len(x), max(x)))
+    c, t = np.full(n, count), np.full(n, 30)
+    t, sizes = lm.gibbs(c, np.full(n, weight), discount, t, np.tile(start, n), np.random.default_rng(2), sweeps=sweeps)
+    largest = np.maximum.reduceat(sizes, np.cumsum(t) - t)
+    for got, want in zip((t, largest), np.array(plain).T):
+        assert abs(got.mean() - want.mean()) < 4 * math.sqrt((got.var() + want.var()) / n)
+
+
 def test_packing():
     arrays = {"a": np.array([-1, 300]), "b": np.empty(0, np.int64), "c": np.array([1.5, -2.0]), "d": np.array([True, False]), "e": np.array([2**40, 0])}
     got = lm.unpack(lm.pack(**arrays))
