@@ -3,8 +3,9 @@
 Every word is a restaurant: its customers are the tokens that follow it, a dish is the word served. All of these
 restaurants share one parent, the restaurant of single words, whose customers are their tables; its own parent is uniform. A
 customer sits at a table of its dish with weight (customers there - discount), or opens one with weight (strength +
-discount * tables) * parent's probability, and a new table is a new customer of the parent. Predictive probabilities are
-averaged over samples of the seating.
+discount * tables) * parent's probability, and a new table is a new customer of the parent. A step of the sampler draws the tables
+of a section (the customers of one dish in one restaurant) at once, from their law given all other sections. Predictive
+probabilities are averaged over samples of the seating.
 
 Texts are read once into blocks: token sequences over a block's own words. Blocks, words and (context, word) pairs are spread
 over tasks by block number and by hash; they exchange arrays packed into one value for each block and bucket:
@@ -36,9 +37,13 @@ from .session import crc32_of_id, save
 BLOCK_BYTES, PART_BYTES = 12 << 20, 1 << 20
 #: Tokens for each bucket of words or pairs.
 BUCKET_TOKENS = 4_000_000
-#: Steps of the sampler in which parents and children exchange tables, of which the first BURN_IN give no sample. In a step every section
-#: (the customers of one dish in one restaurant) makes SWEEPS moves of a random customer for each of its customers.
+#: Steps of the sampler in which parents and children exchange tables, of which the first BURN_IN give no sample. SWEEPS: of ``gibbs``,
+#: moves of a random customer for each customer of a section.
 STEPS, BURN_IN, SWEEPS = 3, 1, 2
+#: Sections of more customers take the law of their tables from a series, where doubles hold it, instead of from those of fewer customers.
+FAR = 1 << 14
+#: What is left out of a law is less than about exp(-NEGLIGIBLE) of its largest weight.
+NEGLIGIBLE = 45.0
 STRENGTH = 1.0
 END = 0  # the id of the end of a text, which is also the context of its first word
 
@@ -221,8 +226,7 @@ def _count_pairs(buckets: int):
         cuts = np.cumsum([0, *map(len, asked)])
         rows = [("codes", bucket, s, pack(code=code[at[lo:hi]])) for (s, _), lo, hi in zip(asks, cuts, cuts[1:])]
         once, more = keys[count == 1], keys[count >= 2]
-        c, t = count[count >= 2], np.zeros(len(more), dtype=np.int64)
-        rows.append(("state", bucket, 0, pack(keys=np.diff(more, prepend=0), count=c, tables=t, sizes=t[:0], sum=t)))
+        rows.append(("state", bucket, 0, pack(keys=np.diff(more, prepend=0), count=count[count >= 2], sum=np.zeros(len(more), dtype=np.int64))))
         rows += _tables(bucket, once, np.ones(len(once), np.int64), buckets, "once") + _tables(bucket, more, np.ones(len(more), np.int64), buckets, "tables")
         return _rows([*rows, ("seen", int((count == 1).sum()), int((count == 2).sum()), None)])
 
@@ -304,7 +308,7 @@ def gibbs(count: np.ndarray, weight: np.ndarray, discount: float, tables: np.nda
     """(tables, sizes) after the moves of one step. ``weight``: of a new table, for each section; ``sizes``: customers of each table.
 
     A move takes a random customer of the section away and seats it again; a sweep has as many as the section has customers. Sections of like
-    width are moved together."""
+    width are moved together. The plain way, which a step's ``draw_tables`` is compared with."""
     sweeps = SWEEPS if sweeps is None else sweeps
     first, out_tables = np.cumsum(tables) - tables, tables.copy()
     widths = np.ceil(np.log2(tables + 2)).astype(np.int64)
@@ -327,6 +331,83 @@ def gibbs(count: np.ndarray, weight: np.ndarray, discount: float, tables: np.nda
     return out_tables, out
 
 
+def draw_tables(count: np.ndarray, weight: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
+    """Tables of each section, drawn from their law given the weight of a new table: what moves of single customers (``gibbs``) tend to.
+
+    With S(c, t) the ways to seat c customers at t tables, each of its product of (customers before - discount), the law is S(c, t) *
+    weight**t, which is rate**t / t! * b(t, c) for rate = weight / discount, and b(t, c) the probability that t independent tables have c
+    customers together. A law falls ever faster beyond its peak, so it is cut where its weight is negligible; sections that aren't
+    settled so are drawn again from a longer one in logarithms."""
+    out, rate, log = np.ones(len(count), dtype=np.int64), weight / discount, False
+    longest = np.minimum(count, np.ceil(rate + 12 * np.sqrt(rate) + 60)).astype(np.int64)
+    left = np.flatnonzero(count > 1)
+    while len(left):
+        left, again = left[np.argsort(count[left], kind="stable")], []
+        values, lo = np.unique(count[left], return_index=True)
+        widths = np.maximum.accumulate(np.maximum.reduceat(longest[left], lo)[::-1])[::-1]  # a law serves sections of more customers too
+        for c, own, law in zip(values.tolist(), np.split(left, lo[1:]), _laws(values.tolist(), widths.tolist(), discount, log)):
+            t = np.arange(1, len(law) + 1)
+            ways = law - np.log(t).cumsum()
+            for part in np.array_split(own, -(-len(own) * len(law) // (1 << 19))):
+                p = np.log(rate[part])[:, None] * t + ways
+                p -= p.max(axis=1)[:, None]
+                settled = (len(law) == c) | (p[:, -1] < -NEGLIGIBLE)
+                cum = np.exp(p).cumsum(axis=1)
+                out[part] = 1 + np.minimum((cum <= (rng.random(len(part)) * cum[:, -1])[:, None]).sum(axis=1), len(law) - 1)
+                again.append(part[~settled])
+        left, longest, log = np.concatenate(again), np.minimum(count, 4 * longest), True
+    return out
+
+
+def _laws(counts: list[int], widths: list[int], discount: float, log: bool) -> Iterator[np.ndarray]:
+    """log b(t, c) for t from 1 to a width at most, or to where it leaves the range of doubles, for rising ``counts`` c and falling widths.
+    With ``log`` the sums are of logarithms: slower, without that bound."""
+    dt = discount * np.arange(1, widths[0] + 1)
+    b, c = np.full(widths[0], -np.inf if log else 0.0), 1
+    b[0] = math.log(discount) if log else discount
+    for count, width in zip(counts, widths):
+        if count > FAR and not log:
+            yield _far(count, width, discount)
+            continue
+        b, dt = b[:width], dt[:width]
+        while c < count:  # the next customer sits alone at a new table, or at one of those there are
+            n = min(c + 1, width)
+            if log:
+                b[1:n] = np.logaddexp(b[: n - 1] + np.log(dt[1:n]), b[1:n] + np.log(np.maximum(c - dt[1:n], 1e-300)))
+                b[0] += math.log(c - discount)
+                b[:n] -= math.log(c + 1)
+            else:
+                alone = b[: n - 1] * dt[1:n]
+                b[:n] *= c - dt[:n]
+                b[1:n] += alone
+                b[:n] /= c + 1
+            c += 1
+        known = b[: min(count, width)]
+        if not log:
+            lost = np.flatnonzero(known < 1e-290)
+            known = np.log(known[: lost[0]] if len(lost) else known)
+        yield known
+
+
+def _far(count: int, width: int, discount: float) -> np.ndarray:
+    """log b(t, count) for t from 1 as long as doubles hold it. The sum of t tables has the generating function (1 - (1-x)**discount)**t: expanded,
+    the jth term has the coefficient of x**count in (1-x)**a, a = discount * j, which is gamma(count-a) / gamma(-a) / count!."""
+    j = np.arange(1, min(width, 200) + 1)
+    a, factorial = discount * j, np.r_[0.0, np.log(np.arange(1, width + 1)).cumsum()]
+    fall = (count - a - 0.5) * np.log1p(-(a + 1) / (count + 1)) - (a + 1) * math.log(count + 1) + a + 1 + (1 / (count - a) - 1 / (count + 1)) / 12
+    size = fall + np.array([math.lgamma(x + 1) for x in a]) - factorial[j] - math.log(math.pi)
+    sign = np.where(j % 2 == 1, 1.0, -1.0) * np.sin(math.pi * a)
+    b, good = np.empty(width), np.empty(width, dtype=bool)
+    for lo in range(0, width, 2_000):
+        t = np.arange(lo + 1, min(lo + 2_000, width) + 1)
+        rest = t[:, None] - j
+        with np.errstate(over="ignore", invalid="ignore"):
+            terms = np.exp(np.where(rest >= 0, size + factorial[t][:, None] - factorial[np.maximum(rest, 0)], -np.inf))
+            value = (terms * sign).sum(axis=1)
+        b[t - 1], good[t - 1] = value, (value > 1e-6 * terms.max(axis=1)) & (terms[:, -1] * (rest[:, -1] > 0) < 1e-9 * value)
+    return np.log(b[: width if good.all() else int(np.argmin(good))])
+
+
 @dataclass(frozen=True)
 class Root:
     """The parent restaurant as a whole: known words, customers, tables, discount."""
@@ -355,10 +436,8 @@ def _seat_words(buckets: int, sizes: dict[int, int], new_table: float, discount:
             if kind == "tables":
                 asks.append((sender, at))
         served = np.flatnonzero(dish)
-        weight = np.full(len(served), new_table)
-        t = start_tables(dish[served], weight, discount)
         tables = np.zeros(n, np.int64)
-        tables[served] = gibbs(dish[served], weight, discount, t, start_sizes(dish[served], t, discount), np.random.default_rng([seed, bucket]))[0]
+        tables[served] = draw_tables(dish[served], np.full(len(served), new_table), discount, np.random.default_rng([seed, bucket]))
         rows = [("parent", s, bucket, pack(slot=np.diff(at, prepend=0), context=context[at], dish=dish[at], tables=tables[at])) for s, at in asks]
         own = pack(context=context, dish=dish, tables=tables)
         seen = pack(sums=np.array([dish.sum(), tables.sum(), (dish == 1).sum(), (dish == 2).sum()]))
@@ -367,7 +446,7 @@ def _seat_words(buckets: int, sizes: dict[int, int], new_table: float, discount:
     return run
 
 
-def _seat_pairs(buckets: int, root: Root, discount: float, seed: int, sample: bool, last: bool):
+def _seat_pairs(buckets: int, root: Root, discount: float, seed: int, sample: bool):
     def run(key, table):
         """The sections' seating, given the parent's probabilities and the restaurants' tables of the step before."""
         bucket, state, ids, held = key[0].as_py(), None, [], []
@@ -388,14 +467,10 @@ def _seat_pairs(buckets: int, root: Root, discount: float, seed: int, sample: bo
         find = lambda words: np.searchsorted(ids[order], words)
         w = find(keys & 0xFFFFFFFF)
         weight = (STRENGTH + discount * context[find(keys >> 32)]) * root.probability(dish[w], tables[w])
-        t, sizes = state["tables"], state["sizes"]
-        if not len(sizes):
-            t = start_tables(c, weight, discount)
-            sizes = start_sizes(c, t, discount)
-        t, sizes = gibbs(c, weight, discount, t, sizes, np.random.default_rng([seed, bucket]))
+        t = draw_tables(c, weight, discount, np.random.default_rng([seed, bucket]))
         total = state["sum"] + t if sample else state["sum"]
         rows = _tables(bucket, keys, t, buckets, "tables")
-        return _rows([*rows, ("state", bucket, 0, pack(keys=state["keys"], count=c, tables=t, sizes=sizes[:0] if last else sizes, sum=total))])
+        return _rows([*rows, ("state", bucket, 0, pack(keys=state["keys"], count=c, sum=total))])
 
     return run
 
@@ -505,7 +580,7 @@ def score_documents(docs: DataFrame, steps: int = STEPS, burn_in: int = BURN_IN)
     samples, roots = [], []
     for step in range(1, steps + 1):
         sample = step > burn_in
-        seated = save(by(state.unionByName(kind(parents, "parent"))).applyInArrow(_seat_pairs(buckets, root, discount, step, sample, step == steps), _ROW), "lm_state")
+        seated = save(by(state.unionByName(kind(parents, "parent"))).applyInArrow(_seat_pairs(buckets, root, discount, step, sample), _ROW), "lm_state")
         state, tables = kind(seated, "state"), kind(seated, "tables")
         parents, root = seat_words(tables, step, root)
         if sample:

@@ -190,6 +190,45 @@ def test_wide_sections_make_all_their_moves():
         assert abs(got.mean() - want.mean()) < 4 * math.sqrt((got.var() + want.var()) / n)
 
 
+@pytest.mark.parametrize("count, weight, discount", [(2, 0.3, 0.5), (3, 1.2, 0.8), (6, 4.0, 0.9), (60, 1.5, 0.6), (400, 30.0, 0.7)])
+def test_drawn_tables_are_those_of_the_exact_law(count, weight, discount):
+    ways = [0.0, 1.0]  # of n customers at t tables, over their sum
+    for n in range(1, count):
+        ways = [(ways[t] * (n - discount * t) if t <= n else 0.0) + (ways[t - 1] * weight if t else 0.0) for t in range(n + 2)]
+        total = sum(ways)
+        ways = [x / total for x in ways]
+    law, n = np.array(ways) / sum(ways), 20_000
+    t = lm.draw_tables(np.full(n, count), np.full(n, weight), discount, np.random.default_rng(3))
+    got = np.bincount(t, minlength=count + 1) / n
+    assert (abs(got.cumsum() - law.cumsum()) < 4 * np.sqrt(0.25 / n)).all()
+    assert (got[law < 1e-12] == 0).all()
+
+
+def test_wide_sections_are_drawn_in_few_steps(monkeypatch):
+    """Sections of a million customers: their law comes from the series, the same as from all smaller ones, and no move is made."""
+    for discount in (0.3, 0.73, 0.9):
+        monkeypatch.setattr(lm, "FAR", 1 << 40)
+        rows = next(lm._laws([20_000], [200], discount, False))
+        logs = next(lm._laws([20_000], [200], discount, True))
+        far = lm._far(20_000, 200, discount)
+        assert len(logs) == len(rows) == 200 and len(far) > 40
+        assert logs == pytest.approx(rows, abs=1e-9) and far == pytest.approx(rows[: len(far)], abs=1e-6)
+    monkeypatch.undo()
+    monkeypatch.setattr(lm, "_moves", None)
+    c, w = np.r_[np.full(300, 1_000_000), np.arange(1, 50), 15_000, 40_000], np.r_[np.full(300, 100.0), np.full(49, 0.01), 90.0, 0.001]
+    t = lm.draw_tables(c, w, 0.73, np.random.default_rng(5))
+    assert (1 <= t).all() and (t <= c).all() and t[300] == 1
+    # b(t, c) is near t * c**(-1-d) there, so t - 1 is near a Poisson number of mean w / d
+    assert abs(t[:300].mean() - 1 - 100 / 0.73) < 5
+    assert len(lm.draw_tables(c[:0], w[:0], 0.73, np.random.default_rng(5))) == 0
+
+
+def test_laws_beyond_doubles_are_drawn_from_logarithms():
+    """As many tables as a law in doubles doesn't reach: all customers but a few sit alone."""
+    t = lm.draw_tables(np.full(50, 3_000), np.full(50, 1e7), 0.2, np.random.default_rng(6))
+    assert (t > 2_990).all() and (t <= 3_000).all()
+
+
 def test_packing():
     arrays = {"a": np.array([-1, 300]), "b": np.empty(0, np.int64), "c": np.array([1.5, -2.0]), "d": np.array([True, False]), "e": np.array([2**40, 0])}
     got = lm.unpack(lm.pack(**arrays))
