@@ -3,9 +3,11 @@
 import math
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from emberline.contract import CLASSES
 from emberline.fixtures import TABLES, view
 from emberline.operators import spatial
 from emberline.operators import clusters, history
@@ -202,3 +204,24 @@ def test_facility_columns_under_other_names(spark):
     assert [tuple(r) for r in catalog.load_facilities(rows).select("id", "latitude", "longitude", "facility_type").collect()] == [(1, 2.0, 3.0, "industrial")]
     with pytest.raises(ValueError):
         catalog.load_facilities(rows.drop("Long"))
+
+
+def test_map_points_in_draw_order(spark, monkeypatch):
+    rows = [
+        (7, "2023-12-25", 22.1, 69.1, "industrial", True), (9, "2023-12-22", 22.2, 69.2, "gas flare", False), (8, "2023-12-22", 30.123456789, 75.5, "wildfire", False),
+        (3, "2024-02-10", 30.5, 75.5, "agricultural burning", False), (2, "2024-02-10", 30.5, 75.6, "unknown", True), (1, None, 30.5, 75.7, "unknown", False),
+        (4, "2023-12-25", 22.3, 69.3, "wildfire", False), (4, "2023-12-25", 22.3, 69.2, "wildfire", False), (5, None, 22.4, 69.4, "industrial", False),
+    ]
+    table = spark.createDataFrame(rows, "det_id long, acq_date string, latitude double, longitude double, label string, is_anomalous boolean")
+    single = lambda x: float(np.float32(x))
+    want = [
+        (0, 5, single(75.6), single(30.5), 50, "unknown", 1), (1, 7, single(75.7), single(30.5), None, "unknown", 0), (2, 6, single(75.5), single(30.5), 50, "agricultural burning", 0),
+        (3, 0, single(75.5), single(30.123456789), 0, "wildfire", 0), (4, 2, single(69.2), single(22.3), 3, "wildfire", 0), (5, 3, single(69.3), single(22.3), 3, "wildfire", 0),
+        (6, 4, single(69.1), single(22.1), 3, "industrial", 1), (7, 8, single(69.4), single(22.4), None, "industrial", 0), (8, 1, single(69.2), single(22.2), 0, "gas flare", 0),
+    ]
+    for some in (table, table.repartition(7), table.orderBy(F.desc("det_id"))):  # whatever the rows' layout
+        monkeypatch.setattr(labels, "labelled", lambda s, d: some)
+        got = catalog.map_points(spark, "").collect()
+        assert [(r.point, r.row_id, r.longitude, r.latitude, r.day, CLASSES[r.class_id], r.anomaly) for r in got] == want
+    monkeypatch.setattr(labels, "labelled", lambda s, d: table.limit(0))
+    assert catalog.map_points(spark, "").count() == 0
